@@ -27,6 +27,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.materialize import materialize
 from tidemark.operators.rank import (default_bucket_count, dist_asof_next, dist_cumsum,
                                      unit_bucket, with_quantile_bucket)
 
@@ -71,6 +72,7 @@ def numeric_drift(ref_long: DataFrame, cur_long: DataFrame, group_by,
     merged = (rd.join(probes, ["column", "value"], "full")
               .fillna({"n_r": 0, "_probe": False})
               .join(stats.select("column", "ref_n"), "column", "inner"))
+    merged = materialize(merged)
     merged = with_quantile_bucket(merged, ["column"], "value", nb, name="_vb")
     merged = dist_cumsum(merged, ["column"], ["value"], "_vb",
                          {"cum_r": F.col("n_r").cast("double"),
@@ -80,6 +82,7 @@ def numeric_drift(ref_long: DataFrame, cur_long: DataFrame, group_by,
         (F.col("cum_r") / F.col("ref_n")).alias("F"),
         ((F.col("cum_r") - F.col("n_r")) / F.col("ref_n")).alias("F_lt"),
         (F.col("cum_rv") / F.col("ref_n")).alias("S"))
+    merged = materialize(merged)
 
     # Group side: running count per (group, column) in value order.
     pts = cd.join(merged.filter("_probe").drop("_probe", "n_r"), ["column", "value"], "inner")
@@ -89,6 +92,7 @@ def numeric_drift(ref_long: DataFrame, cur_long: DataFrame, group_by,
         *g, "column", "value", "F", "F_lt", "S",
         (F.col("cum_c") / F.col("n")).alias("c_hi"),
         ((F.col("cum_c") - F.col("n_c")) / F.col("n")).alias("c_lo"))
+    pts = materialize(pts)
 
     ks = pts.groupBy(*g, "column").agg(F.max(F.greatest(
         F.abs(F.col("F") - F.col("c_hi")), F.abs(F.col("F_lt") - F.col("c_lo")))).alias("ks"))

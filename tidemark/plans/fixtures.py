@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.materialize import materialize
 from tidemark.operators.rank import dist_rank, with_quantile_bucket, default_bucket_count
 from tidemark.sources.tables import read_table
 
@@ -58,7 +59,8 @@ def with_batches(df: DataFrame, size: int = BATCH_SIZE, partition_by=("data_sour
 
 
 def current_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_batches(current_slice(scored_events(spark, sf_dir)))
+    """Current slice with batch ids, written once (read by every metric)."""
+    return materialize(with_batches(current_slice(scored_events(spark, sf_dir))))
 
 
 def churn_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
