@@ -27,4 +27,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from tidemark.plans import queries_monitoring  # noqa: F401
+    from tidemark.plans import queries_monitoring, queries_tables  # noqa: F401
