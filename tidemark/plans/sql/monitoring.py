@@ -6,8 +6,8 @@ from tidemark.plans.sql.common import SCORED
 # integrate |F_ref - F_cur| between consecutive points.
 NUMERIC_W1 = """
 rnum AS (SELECT 'value' AS col, value AS v FROM ref UNION ALL SELECT 'p', p FROM ref),
-cnum AS (SELECT data_source, batch_id, 'value' AS col, value AS v FROM cur
-         UNION ALL SELECT data_source, batch_id, 'p', p FROM cur),
+cnum AS (SELECT * FROM (SELECT data_source, batch_id, 'value' AS col, value AS v FROM cur
+         UNION ALL SELECT data_source, batch_id, 'p', p FROM cur) WHERE v IS NOT NULL),
 rstat AS (SELECT col, avg(v) AS ref_mean,
                  CASE WHEN stddev_pop(v) > 0 THEN stddev_pop(v) ELSE 1.0 END AS ref_std FROM rnum GROUP BY col),
 rcdf AS (SELECT col, v, sum(count(*)) OVER (PARTITION BY col ORDER BY v) * 1.0
@@ -35,7 +35,7 @@ ndrift AS (SELECT w1.data_source, w1.batch_id, w1.col, w1.wasserstein,
 CATEGORICAL_JS = """
 rcat AS (SELECT 'event_type' AS col, event_type AS v FROM ref
          UNION ALL SELECT 'y', CAST(y AS VARCHAR) FROM ref WHERE y IS NOT NULL),
-ccat AS (SELECT data_source, batch_id, 'event_type' AS col, event_type AS v FROM cur
+ccat AS (SELECT data_source, batch_id, 'event_type' AS col, event_type AS v FROM cur WHERE event_type IS NOT NULL
          UNION ALL SELECT data_source, batch_id, 'y', CAST(y AS VARCHAR) FROM cur WHERE y IS NOT NULL),
 rs AS (SELECT col, v, count(*) * 1.0 / sum(count(*)) OVER (PARTITION BY col) AS q FROM rcat GROUP BY col, v),
 cs AS (SELECT data_source, batch_id, col, v,
