@@ -2,18 +2,22 @@
 
 Prefix sums and as-of lookups read their input twice (totals, then rows);
 nested, an uncut plan re-expands every upstream scan and shuffle.  At those
-boundaries the input is written once with a reliable ``checkpoint()`` into the
-shared folder named by ``spark.checkpoint.dir`` — it survives executor loss,
-and later stages read the written table instead of recomputing it.
+boundaries the input is written once as a parquet table under the shared
+folder named by ``spark.checkpoint.dir`` and read back: it survives executor
+loss, it is computed exactly once (a reliable RDD checkpoint recomputes its
+input to write it), and the re-read is a file scan with real size statistics
+for the adaptive planner, with column pruning for later stages.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tidemark.session import checkpoint_dir
+from tidemark.session import scratch_path
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
