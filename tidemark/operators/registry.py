@@ -103,4 +103,5 @@ def promotion_history(versions: DataFrame, metric: str = "auc", order: str = "ve
     prev_cnt = F.count(F.lit(1)).over(w)
     return versions.select(
         "name", order, metric,
-        ((prev_cnt == 0) | prev_best.isNull() | (F.col(metric) > prev_best)).alias("promoted"))
+        F.coalesce((prev_cnt == 0) | prev_best.isNull() | (F.col(metric) > prev_best), F.lit(False))
+        .alias("promoted"))

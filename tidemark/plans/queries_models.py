@@ -150,7 +150,7 @@ def q_best_trial(spark, sf):
 
 
 @register("promote", f"WITH {TRIALS_SQL}, v AS (SELECT 'churn' AS name, number + 1 AS version, value AS auc FROM trials) "
-          "SELECT name, version, auc, (count(*) OVER w = 0) OR (max(auc) OVER w IS NULL) OR (auc > max(auc) OVER w) AS promoted "
+          "SELECT name, version, auc, coalesce((count(*) OVER w = 0) OR (max(auc) OVER w IS NULL) OR (auc > max(auc) OVER w), false) AS promoted "
           "FROM v WINDOW w AS (PARTITION BY name ORDER BY version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
 def q_promote(spark, sf):
     t = center_trials(spark, sf)
