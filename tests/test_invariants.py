@@ -177,3 +177,15 @@ def test_promotion_history(spark):
                               "name string, version int, auc double")
     got = [r["promoted"] for r in REG.promotion_history(v).orderBy("version").collect()]
     assert got == [True, True, False, False, True]
+
+
+def test_pvalues_known_values(spark):
+    from tidemark.functions.stats import chi2_pvalue, ks_pvalue
+    df = spark.createDataFrame([(3.841458820694124, 1.0), (5.991464547107979, 2.0), (0.0, 3.0), (30.0, 10.0)],
+                               "s double, d double")
+    got = [r[0] for r in df.select(chi2_pvalue("s", "d")).collect()]
+    assert got[0] == pytest.approx(0.05, abs=1e-9) and got[1] == pytest.approx(0.05, abs=1e-9)
+    assert got[2] == 1.0 and got[3] == pytest.approx(0.000855, abs=1e-5)
+    k = spark.createDataFrame([(0.0, 100.0, 100.0), (0.5, 100.0, 100.0)], "d double, n double, m double")
+    kp = [r[0] for r in k.select(ks_pvalue("d", "n", "m")).collect()]
+    assert kp[0] == 1.0 and kp[1] < 1e-9

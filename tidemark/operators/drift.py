@@ -126,9 +126,23 @@ def numeric_drift(ref_long: DataFrame, cur_long: DataFrame, group_by,
                    F.greatest(F.col("ref_mean") + F.col("_phi"), F.lit(0.0)).alias("wasserstein"),
                    "ks", "ref_std"))
     out = out.withColumn("drift_score", F.col("wasserstein") / F.col("ref_std")).drop("ref_std")
+    sizes = n_tot.join(stats.select("column", "ref_n"), "column")
+    out = out.join(sizes, g + ["column"], "inner").withColumnRenamed("n", "cur_n")
     return out.withColumn("drifted", F.col("drift_score") >= F.lit(threshold))
 
 
+def with_pvalues(num: DataFrame | None = None, cat: DataFrame | None = None):
+    """Add KS and chi-square p-values (pandas UDFs over the result rows)."""
+    from tidemark.functions.stats import chi2_pvalue, ks_pvalue
+    out = []
+    if num is not None:
+        out.append(num.withColumn("ks_pvalue", ks_pvalue(F.col("ks"), F.col("ref_n").cast("double"),
+                                                         F.col("cur_n").cast("double"))))
+    if cat is not None:
+        out.append(cat.withColumn("chi2_pvalue", chi2_pvalue(F.col("chi2"), F.col("chi2_df").cast("double"))))
+    return out
+
+
 def _group_types(df: DataFrame, g):
     types = dict((f.name, f.dataType.simpleString()) for f in df.schema.fields)
     return [(c, types[c]) for c in g]

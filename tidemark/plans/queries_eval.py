@@ -187,3 +187,13 @@ def q_pred_drift(spark, sf):
 @register("mean_score", S.MEAN_SCORE)
 def q_mean_score(spark, sf):
     return current_batches(spark, sf).groupBy(*G).agg(F.avg("p").alias("mean_predicted_churn_prob"))
+
+
+@register("drift_pvalues")
+def q_drift_pvalues(spark, sf):
+    """KS and chi-square p-values per batch and column (no SQL counterpart)."""
+    num, cat = D.with_pvalues(_numeric(spark, sf), _categorical(spark, sf))
+    return (num.select(*G, "column", F.lit("ks").alias("test"), F.col("ks").alias("statistic"),
+                       F.col("ks_pvalue").alias("p_value"))
+            .unionByName(cat.select(*G, "column", F.lit("chi2").alias("test"), F.col("chi2").alias("statistic"),
+                                    F.col("chi2_pvalue").alias("p_value"))))

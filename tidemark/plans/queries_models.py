@@ -169,3 +169,18 @@ def q_champion_info(spark, sf):
         ver = REG.register_version(spark, root, "churn", f"trial-{r['number']}", f"{root}/m{r['number']}", r["value"])
         REG.promote_if_better(spark, root, "churn", ver, r["value"])
     return REG.champion(spark, root, "churn").select("name", "alias", "version", "auc")
+
+
+@register("register")
+def q_register(spark, sf):
+    """Save the CV models, register them as the next version with the mean
+    OOF AUC, promote by the rule; returns the versions table."""
+    spec, table, models = TR.cv_models(spark, sf)
+    auc = TR.oof_metrics(M.out_of_fold(table, models)).filter("metric = 'auc'").agg(F.avg("value")).first()[0]
+    root = scratch_path(spark, "registry_models")
+    uri = f"{root}/artifacts/v"
+    for (fam, i), m in models.items():
+        m.write().overwrite().save(f"{uri}/{fam}_{i}")
+    ver = REG.register_version(spark, root, "churn_ensemble", "run-1", uri, auc)
+    REG.promote_if_better(spark, root, "churn_ensemble", ver, auc)
+    return spark.read.parquet(f"{root}/model_versions")

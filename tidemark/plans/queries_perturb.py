@@ -172,3 +172,18 @@ def q_perturbed_metrics(spark, sf):
     ref, cur = perturbed_current(spark, sf)
     spec = MonitorSpec(numeric=("value",), categorical=("event_type",), intensity="intensity")
     return batch_metrics(ref, cur, spec)
+
+
+MISSING_SQL = _perturbed_metrics_sql().split("\nSELECT b.data_source")[0] + """
+SELECT data_source, batch_id,
+       sum(CAST(value IS NULL AS BIGINT) + CAST(event_type IS NULL AS BIGINT) + CAST(p IS NULL AS BIGINT))
+         * 1.0 / (count(*) * 3) AS share_missing_values
+FROM cur GROUP BY data_source, batch_id"""
+
+
+@register("missing_share", MISSING_SQL)
+def q_missing_share(spark, sf):
+    """Null cells / (rows x columns) of the feature + prediction projection of
+    the perturbed batches (cells blanked after scoring)."""
+    _, cur = perturbed_current(spark, sf)
+    return D.missing_share(cur, ["data_source", "batch_id"], ["value", "event_type", "p"])
