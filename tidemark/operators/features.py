@@ -54,14 +54,26 @@ def one_hot_columns(column: str, categories: Sequence[str], drop_first: bool = T
 
 
 def fit_categories(df: DataFrame, columns: Sequence[str], max_categories: int = MAX_CATEGORIES) -> dict:
-    """Observed categories per column, sorted — one aggregation for all columns."""
+    """Observed categories per column, sorted.
+
+    One distributed ``distinct`` over the unpivoted ``(column, value)`` pairs;
+    at most ``columns x (max_categories + 1)`` rows ever reach the driver, so
+    a high-cardinality column fails the check instead of the driver.
+    """
     if not columns:
         return {}
-    row = df.agg(*[F.sort_array(F.collect_set(q(c))).alias(c) for c in columns]).first()
-    out = {c: list(row[c]) for c in columns}
+    sel = df.select(*[q(c).cast("string").alias(c) for c in columns])
+    pairs = (sel.unpivot([], list(columns), "column", "value").filter(F.col("value").isNotNull())
+             .distinct())
+    bound = len(columns) * (max_categories + 1)
+    rows = pairs.limit(bound + 1).collect()
+    out = {c: [] for c in columns}
+    for r in rows:
+        out[r["column"]].append(r["value"])
     for c, v in out.items():
         if len(v) > max_categories:
-            raise ValueError(f"{c}: {len(v)} categories exceed {max_categories}")
+            raise ValueError(f"{c}: more than {max_categories} categories")
+        out[c] = sorted(v)
     return out
 
 

@@ -118,16 +118,20 @@ def dist_asof_next(df: DataFrame, partition_by, order_by: Sequence, bucket: Colu
     b = df.withColumn(BKT, F.col(bucket) if isinstance(bucket, str) else bucket) \
           .withColumn("_tgt", is_target)
     keys = parts + [BKT]
-    wr = Window.partitionBy(*keys).orderBy(*order_by).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    # "first target at or after" == "last target at or before" in reversed
+    # order; a growing frame keeps the window linear (a frame ending at
+    # UNBOUNDED FOLLOWING is re-evaluated per row).
+    desc = [(F.col(o) if isinstance(o, str) else o).desc() for o in order_by]
+    wr = Window.partitionBy(*keys).orderBy(*desc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     for p in payload:
-        b = b.withColumn("_loc_" + p, F.first(F.when(F.col("_tgt"), F.col(p)), ignorenulls=True).over(wr))
+        b = b.withColumn("_loc_" + p, F.last(F.when(F.col("_tgt"), F.col(p)), ignorenulls=True).over(wr))
     order_struct = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order_by])
     firsts = (b.filter(F.col("_tgt")).groupBy(*keys)
                .agg(F.min_by(F.struct(*[F.col(p).alias(p) for p in payload]), order_struct).alias("_first")))
     present = b.select(*keys).distinct()
-    wc = Window.partitionBy(*parts).orderBy(BKT).rowsBetween(1, Window.unboundedFollowing)
+    wc = Window.partitionBy(*parts).orderBy(F.col(BKT).desc()).rowsBetween(Window.unboundedPreceding, -1)
     carry = present.join(firsts, keys, "left").select(
-        *keys, *[F.first(F.col("_first." + p), ignorenulls=True).over(wc).alias("_car_" + p) for p in payload])
+        *keys, *[F.last(F.col("_first." + p), ignorenulls=True).over(wc).alias("_car_" + p) for p in payload])
     out = b.join(carry, keys, "left")
     for p in payload:
         out = out.withColumn("_next_" + p, F.coalesce(F.col("_loc_" + p), F.col("_car_" + p)))
