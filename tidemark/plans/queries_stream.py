@@ -91,9 +91,7 @@ FROM scored GROUP BY ALL"""
 
 @register("tumbling_metrics", TUMBLING_SQL)
 def q_tumbling(spark, sf):
-    out = ST.windowed_counts(scored_events(spark, sf), watermark=None)
-    return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")) \
-              .withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
+    return ST.windowed_counts(scored_events(spark, sf), watermark=None)
 
 
 @register("stream_tumbling")

@@ -29,6 +29,11 @@ DEFAULTS = {
 def get_session(master: str | None = None, app: str = "tidemark",
                 shuffle_partitions: int | None = None,
                 extra: dict | None = None) -> SparkSession:
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        # a running (cluster- or caller-configured) session is used as is
+        checkpoint_dir(active)
+        return active
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)

@@ -58,9 +58,11 @@ def windowed_counts(df: DataFrame, ts: str = "ts", size: str = "1 day", slide: s
     With a watermark the aggregation can run in append mode: a window is
     emitted once the watermark passes its end; late rows beyond it are
     dropped by the engine (state stays bounded)."""
-    d = df.withColumn("_ts", F.col(ts).cast("timestamp"))
     if watermark:
-        d = d.withWatermark("_ts", watermark)
+        # watermarks need TIMESTAMP; the naive parquet type is kept otherwise
+        d = df.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", watermark)
+    else:
+        d = df.withColumn("_ts", F.col(ts))
     win = F.window("_ts", size, slide) if slide else F.window("_ts", size)
     return (d.groupBy(win.alias("w"), *by)
              .agg(F.count(F.lit(1)).alias("n"), F.avg(p).alias("mean_score"),
