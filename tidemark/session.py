@@ -23,6 +23,7 @@ DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.locality.wait": "0s",
+    "spark.driver.memory": "8g",
 }
 
 
