@@ -48,26 +48,37 @@ def unit_bucket(c, n_buckets: int) -> Column:
     return F.greatest(F.least(F.floor(col * F.lit(n_buckets)), F.lit(n_buckets - 1)), F.lit(0)).cast("int")
 
 
+MAX_BOUNDARIES = 1_000_000
+
+
 def with_quantile_bucket(df: DataFrame, partition_by, value: str, n_buckets: int,
                          accuracy: int = 10000, name: str = BKT) -> DataFrame:
     """Add a bucket column from approximate quantiles of ``value`` per key.
 
-    The boundaries come from ``percentile_approx`` (a mergeable sketch, one
-    pass with partial aggregation); the bucket is the number of boundaries
-    at or below the value, so it is monotone in ``value`` and ties land in one
-    bucket.  Boundaries are one small array per key.
+    Boundaries come from ``percentile_approx`` (a mergeable sketch: one pass
+    with partial aggregation), one array per key.  The arrays of all keys are
+    merged into one sorted split list (keys x buckets values, checked against
+    ``MAX_BOUNDARIES``) and applied with a binary search (``Bucketizer``), so
+    a row costs O(log buckets).  A merged list is still monotone in
+    ``value``, and every key's own quantiles are in it, so each key is split
+    evenly.  Ties land in one bucket.
     """
+    from pyspark.ml.feature import Bucketizer
+
     parts = _names(partition_by)
     probs = F.array(*[F.lit(i / n_buckets) for i in range(1, n_buckets)])
-    bounds = df.groupBy(*parts).agg(
-        F.percentile_approx(F.col(value).cast("double"), probs, accuracy).alias("_bounds"))
-    if parts:
-        joined = df.join(bounds, parts, "left")
-    else:
-        joined = df.crossJoin(F.broadcast(bounds))  # exactly one row
-    return joined.withColumn(
-        name, F.size(F.filter(F.col("_bounds"), lambda b: b <= F.col(value).cast("double")))
-    ).drop("_bounds")
+    bounds = (df.groupBy(*parts)
+                .agg(F.percentile_approx(F.col(value).cast("double"), probs, accuracy).alias("_b"))
+                .select(F.explode("_b").alias("_b")).distinct())
+    rows = bounds.limit(MAX_BOUNDARIES + 1).collect()
+    if len(rows) > MAX_BOUNDARIES:
+        raise ValueError("too many bucket boundaries; lower n_buckets or use fewer keys")
+    splits = sorted(r["_b"] for r in rows if r["_b"] is not None)
+    splits = [float("-inf")] + [x for x in splits if x not in (float("-inf"), float("inf"))] + [float("inf")]
+    tmp = "_qb_in"
+    b = Bucketizer(splits=splits, inputCol=tmp, outputCol=name + "_d", handleInvalid="keep")
+    out = b.transform(df.withColumn(tmp, F.col(value).cast("double")))
+    return out.withColumn(name, F.col(name + "_d").cast("int")).drop(tmp, name + "_d")
 
 
 def dist_cumsum(df: DataFrame, partition_by, order_by: Sequence, bucket: Column | str,
