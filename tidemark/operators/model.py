@@ -21,7 +21,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import hash_uniform
 
 # Seed and fold count of the reference; family names.
 SEED = 42
@@ -153,7 +152,3 @@ def draw(seed, family: str, trial: int, space: dict | None = None) -> dict:
         else:
             out[name] = float(lo + u * (hi - lo))
     return out
-
-
-def hash_draw_column(seed, *parts):
-    return hash_uniform(seed, *parts)

@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import hash_uniform  # noqa: F401
 from tidemark.operators import drift as D
 from tidemark.operators import features as FE
 from tidemark.operators import perturb as X
