@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import hash_uniform
 from tidemark.operators import drift as D
 from tidemark.operators import evaluate as EV
-from tidemark.operators import perturb as X
 from tidemark.operators.rank import dist_rank, default_bucket_count, unit_bucket
 from tidemark.plans.catalog import register
 from tidemark.plans.fixtures import current_batches, reference_slice, scored_events
