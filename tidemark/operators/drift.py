@@ -22,6 +22,7 @@ the CDF axis).  Work is linear in reference + current rows.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from typing import Sequence
 
 from pyspark.sql import DataFrame
@@ -60,13 +61,44 @@ def reference_stats(ref_long: DataFrame) -> DataFrame:
      .drop("ref_std_raw")
 
 
-def numeric_drift(ref_long: DataFrame, cur_long: DataFrame, group_by,
-                  n_buckets: int | None = None, threshold: float = NUMERIC_THRESHOLD) -> DataFrame:
+@dataclass
+class ReferenceProfile:
+    """The reference side of every drift statistic, computed once.
+
+    ``counts``: ``(column, value, n_r)`` per distinct numeric value;
+    ``stats``: per numeric column count, mean, std (0 -> 1), min, max;
+    ``shares``: ``(column, value, ref_count, ref_total, q)`` per category.
+    A monitoring run or a stream builds it once (optionally written as
+    tables) instead of re-reading the reference for every batch.
+    """
+    counts: DataFrame | None
+    stats: DataFrame | None
+    shares: DataFrame | None
+
+    @staticmethod
+    def build(ref_num_long: DataFrame | None, ref_cat_long: DataFrame | None,
+              persist: bool = False) -> "ReferenceProfile":
+        counts = stats = shares = None
+        if ref_num_long is not None:
+            counts = ref_num_long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n_r"))
+            stats = reference_stats(ref_num_long)
+        if ref_cat_long is not None:
+            shares = reference_shares(ref_cat_long)
+        if persist:
+            counts = materialize(counts, "ref_counts") if counts is not None else None
+            stats = materialize(stats, "ref_stats") if stats is not None else None
+            shares = materialize(shares, "ref_shares") if shares is not None else None
+        return ReferenceProfile(counts, stats, shares)
+
+
+def numeric_drift(ref_long: DataFrame | None, cur_long: DataFrame, group_by,
+                  n_buckets: int | None = None, threshold: float = NUMERIC_THRESHOLD,
+                  profile: ReferenceProfile | None = None) -> DataFrame:
     """Exact W1 (raw and normalised) and KS per ``(group..., column)``."""
     g = _g(group_by)
-    nb = n_buckets or default_bucket_count(ref_long.sparkSession)
-    stats = reference_stats(ref_long)
-    rd = ref_long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n_r"))
+    nb = n_buckets or default_bucket_count(cur_long.sparkSession)
+    profile = profile or ReferenceProfile.build(ref_long, None)
+    stats, rd = profile.stats, profile.counts
     cd = cur_long.groupBy(*g, "column", "value").agg(F.count(F.lit(1)).alias("n_c"))
     probes = cd.select("column", "value").distinct().withColumn("_probe", F.lit(True))
     merged = (rd.join(probes, ["column", "value"], "full")
@@ -155,8 +187,9 @@ def reference_shares(ref_long: DataFrame) -> DataFrame:
     return c.join(t, "column").withColumn("q", F.col("ref_count") / F.col("ref_total"))
 
 
-def categorical_drift(ref_long: DataFrame, cur_long: DataFrame, group_by,
-                      threshold: float = CATEGORICAL_THRESHOLD) -> DataFrame:
+def categorical_drift(ref_long: DataFrame | None, cur_long: DataFrame, group_by,
+                      threshold: float = CATEGORICAL_THRESHOLD,
+                      profile: ReferenceProfile | None = None) -> DataFrame:
     """Jensen–Shannon distance and chi-square statistic per ``(group..., column)``.
 
     Reference categories absent from a group contribute ``q/2`` to the JS
@@ -164,7 +197,7 @@ def categorical_drift(ref_long: DataFrame, cur_long: DataFrame, group_by,
     present in the group are joined — the reference is not copied per group.
     """
     g = _g(group_by)
-    shares = reference_shares(ref_long)
+    shares = (profile or ReferenceProfile.build(None, ref_long)).shares
     ncat = shares.groupBy("column").agg(F.count(F.lit(1)).alias("n_ref_cats"))
     c = cur_long.groupBy(*g, "column", "value").agg(F.count(F.lit(1)).alias("n_c"))
     tot = c.groupBy(*g, "column").agg(F.sum("n_c").alias("n"))

@@ -37,21 +37,31 @@ METRIC_COLUMNS = ["data_source", "batch_id", "ts", "batch_size", "num_drifted_co
                   "drift_intensity"]
 
 
-def drift_table(reference: DataFrame, current: DataFrame, spec: MonitorSpec) -> DataFrame:
+def reference_profile(reference: DataFrame, spec: MonitorSpec, persist: bool = False) -> D.ReferenceProfile:
+    """Numeric counts/stats of features + prediction, shares of categorical
+    features + target — built once per monitoring run or stream."""
+    num_cols = list(spec.numeric) + [spec.prediction]
+    cat_cols = list(spec.categorical) + [spec.target]
+    return D.ReferenceProfile.build(D.to_long(reference, [], num_cols),
+                                    D.to_long(reference, [], cat_cols, "string"), persist)
+
+
+def drift_table(reference: DataFrame | None, current: DataFrame, spec: MonitorSpec,
+                profile: D.ReferenceProfile | None = None) -> DataFrame:
     """Long drift table ``(group..., column, kind, drift_score, drifted)``."""
     g = list(spec.group_by)
+    profile = profile or reference_profile(reference, spec)
     num_cols = list(spec.numeric) + [spec.prediction]
-    num = D.numeric_drift(D.to_long(reference, [], num_cols),
-                          D.to_long(current, g, num_cols), g)
+    num = D.numeric_drift(None, D.to_long(current, g, num_cols), g, profile=profile)
     cat_cols = list(spec.categorical) + [spec.target]
-    cat = D.categorical_drift(D.to_long(reference, [], cat_cols, "string"),
-                              D.to_long(current, g, cat_cols, "string"), g)
+    cat = D.categorical_drift(None, D.to_long(current, g, cat_cols, "string"), g, profile=profile)
     return (num.select(*g, "column", F.lit("numeric").alias("kind"), "drift_score", "drifted")
             .unionByName(cat.select(*g, "column", F.lit("categorical").alias("kind"),
                                     "drift_score", "drifted")))
 
 
-def batch_metrics(reference: DataFrame, current: DataFrame, spec: MonitorSpec = EVENTS_SPEC) -> DataFrame:
+def batch_metrics(reference: DataFrame | None, current: DataFrame, spec: MonitorSpec = EVENTS_SPEC,
+                  profile: D.ReferenceProfile | None = None) -> DataFrame:
     """The metrics row of every batch.
 
     Label metrics are null for batches without labels.  The target column is
@@ -63,7 +73,7 @@ def batch_metrics(reference: DataFrame, current: DataFrame, spec: MonitorSpec =
     base_cols = len(feats) + 1
     labelled = F.col("_n_labelled") > 0
 
-    drift = drift_table(reference, current, spec)
+    drift = drift_table(reference, current, spec, profile)
     dagg = drift.groupBy(*g).agg(
         F.sum(F.col("drifted").cast("int")).alias("num_drifted_columns"),
         F.max(F.when(F.col("column") == spec.prediction, F.col("drift_score"))).alias("prediction_drift"))

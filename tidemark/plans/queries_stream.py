@@ -9,7 +9,7 @@ from tidemark.operators import validate as V
 from tidemark.plans import training as TR
 from tidemark.plans.catalog import register
 from tidemark.plans.fixtures import churn_records, current_batches, reference_slice, scored_events
-from tidemark.plans.monitoring import EVENTS_SPEC, batch_metrics
+from tidemark.plans.monitoring import EVENTS_SPEC, batch_metrics, reference_profile
 from tidemark.plans.queries_reports import REC_SCHEMA
 from tidemark.plans.queries_tables import ALL_SQL, _rule_sql
 from tidemark.plans.sql.common import MART, SCORED
@@ -50,14 +50,15 @@ CUR_SCHEMA = ("id long, ts timestamp_ntz, value double, user_id long, event_type
 def q_stream_metrics(spark, sf):
     """Batches arrive as files (one folder per source); every micro-batch
     appends its metrics rows with foreachBatch."""
-    ref = reference_slice(scored_events(spark, sf))
+    # the reference side is profiled once and written; micro-batches reuse it
+    profile = reference_profile(reference_slice(scored_events(spark, sf)), EVENTS_SPEC, persist=True)
     src = scratch_path(spark, "stream_batches")
     _drop_files(current_batches(spark, sf), src, by="data_source")
     table = scratch_path(spark, "stream_metrics_table")
 
     def per_batch(df, epoch):
         # a file-source micro-batch is a stable file read: no copy needed
-        m = batch_metrics(ref, df, EVENTS_SPEC)
+        m = batch_metrics(None, df, EVENTS_SPEC, profile)
         K.append_metrics(m.withColumn("epoch", F.lit(epoch)), table, run_id="stream")
 
     ST.run_foreach_batch(ST.file_stream(spark, src, CUR_SCHEMA, max_files_per_trigger=1), per_batch,
