@@ -25,7 +25,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.materialize import materialize
@@ -100,21 +100,24 @@ def numeric_drift(ref_long: DataFrame | None, cur_long: DataFrame, group_by,
     profile = profile or ReferenceProfile.build(ref_long, None)
     stats, rd = profile.stats, profile.counts
     cd = cur_long.groupBy(*g, "column", "value").agg(F.count(F.lit(1)).alias("n_c"))
-    probes = cd.select("column", "value").distinct().withColumn("_probe", F.lit(True))
-    merged = (rd.join(probes, ["column", "value"], "full")
-              .fillna({"n_r": 0, "_probe": False})
-              .join(stats.select("column", "ref_n"), "column", "inner"))
-    merged = materialize(merged)
-    merged = with_quantile_bucket(merged, ["column"], "value", nb, name="_vb")
-    merged = dist_cumsum(merged, ["column"], ["value"], "_vb",
-                         {"cum_r": F.col("n_r").cast("double"),
-                          "cum_rv": F.col("n_r") * F.col("value")})
-    merged = merged.select(
-        "column", "value", "n_r", "_probe", "_vb",
+    # Reference values and the distinct probe values of all groups in one
+    # union (no join): ties sorted reference-first give F(x) = P(ref <= x) at
+    # a probe; the reference count at the same value gives P(ref < x).
+    probes = cd.select("column", "value").distinct()
+    u = (rd.select("column", "value", "n_r", F.lit(1).alias("_side"))
+         .unionByName(probes.select("column", "value", F.lit(0).cast("long").alias("n_r"),
+                                    F.lit(0).alias("_side"))))
+    u = materialize(u, "drift_union")
+    u = with_quantile_bucket(u, ["column"], "value", nb, name="_vb")
+    u = dist_cumsum(u, ["column"], ["value", F.col("_side").desc()], "_vb",
+                    {"cum_r": F.col("n_r").cast("double"), "cum_rv": F.col("n_r") * F.col("value")})
+    n_at = F.sum("n_r").over(Window.partitionBy("column", "_vb", "value"))
+    merged = u.join(stats.select("column", "ref_n"), "column", "inner").select(
+        "column", "value", "n_r", (F.col("_side") == 0).alias("_probe"), "_vb",
         (F.col("cum_r") / F.col("ref_n")).alias("F"),
-        ((F.col("cum_r") - F.col("n_r")) / F.col("ref_n")).alias("F_lt"),
+        ((F.col("cum_r") - n_at) / F.col("ref_n")).alias("F_lt"),
         (F.col("cum_rv") / F.col("ref_n")).alias("S"))
-    merged = materialize(merged)
+    merged = materialize(merged, "drift_merged")
 
     # Group side: running count per (group, column) in value order.
     pts = cd.join(merged.filter("_probe").drop("_probe", "n_r"), ["column", "value"], "inner")
