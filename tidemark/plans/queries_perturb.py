@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import drift as D
 from tidemark.operators import features as FE
 from tidemark.operators import perturb as X
+from tidemark.operators.materialize import materialize
 from tidemark.plans.catalog import register
 from tidemark.plans.fixtures import current_batches, reference_slice, scored_events
 from tidemark.plans.monitoring import MonitorSpec, batch_metrics
@@ -43,7 +44,8 @@ def perturbed_current(spark, sf, mode=MODE, blank_rate=BLANK_RATE):
               .withColumn("p", F.round(1 / (1 + F.exp(-(F.col("value") - 50) / 50)), 6)))
     cur = (cur.withColumn("value", X.blank_cells("value", inten, blank_rate))
               .withColumn("event_type", X.blank_cells("event_type", inten, blank_rate)))
-    return ref, cur.drop("_std_value")
+    # every metric reads the perturbed batches: compute the hash draws once
+    return ref, materialize(cur.drop("_std_value"), "perturbed_batches")
 
 
 GB_SQL = f"""WITH {SCORED},

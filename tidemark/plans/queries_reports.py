@@ -24,16 +24,17 @@ _MEMO: dict = {}
 
 
 def metrics_table(spark, sf):
-    """The metrics table: batch metrics appended once per session to a
-    partitioned parquet table in the shared checkpoint folder, read back with
-    schema merging."""
+    """The metrics table as reports see it: batch metrics appended once per
+    session to a partitioned parquet table in the shared checkpoint folder,
+    read back with schema merging, through the view that keeps one row per
+    ``(run_id, data_source, batch_id)`` (replayed appends do not repeat)."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _MEMO:
         path = scratch_path(spark, "monitoring_metrics")
         K.append_metrics(q_batch_metrics(spark, sf).withColumn("written_at", F.current_timestamp()),
                          path, run_id="run-1")
         _MEMO[key] = path
-    return K.read_metrics(spark, _MEMO[key], defaults={"drift_intensity": 0.0})
+    return K.latest_per_key(K.read_metrics(spark, _MEMO[key], defaults={"drift_intensity": 0.0}))
 
 
 LATEST = ("SELECT {c} FROM monitoring_metrics WHERE {w}{c} IS NOT NULL "

@@ -58,6 +58,13 @@ def append_metrics(df: DataFrame, path: str, run_id: str, partition_by: Sequence
        .write.mode("append").partitionBy(*partition_by).parquet(path))
 
 
+def append_metrics_jdbc(df: DataFrame, url: str, table: str, run_id: str, properties: dict | None = None) -> None:
+    """The same append to a relational table (``id`` and ``ts`` defaults are
+    the database's); one connection per task, batched inserts."""
+    (df.withColumn("run_id", F.lit(run_id)).write.mode("append")
+       .jdbc(url, table, properties=properties or {}))
+
+
 def read_metrics(spark: SparkSession, path: str, defaults: dict | None = None) -> DataFrame:
     """Read with ``mergeSchema``; columns added later are filled with their
     default in files written before they existed (additive evolution)."""
