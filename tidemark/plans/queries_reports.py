@@ -14,7 +14,7 @@ from tidemark.plans.queries_monitoring import q_batch_metrics
 from tidemark.plans.sql.common import MART, SCORED
 from tidemark.plans.sql.evaluation import FOLD_WIDE
 from tidemark.plans.sql.monitoring import BATCH_METRICS
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, session_key
 from tidemark.sources import sinks as K
 
 MM = f"WITH monitoring_metrics AS ({BATCH_METRICS})\n"
@@ -28,7 +28,7 @@ def metrics_table(spark, sf):
     session to a partitioned parquet table in the shared checkpoint folder,
     read back with schema merging, through the view that keeps one row per
     ``(run_id, data_source, batch_id)`` (replayed appends do not repeat)."""
-    key = (spark.sparkContext.applicationId, sf)
+    key = (session_key(spark), sf)
     if key not in _MEMO:
         path = scratch_path(spark, "monitoring_metrics")
         K.append_metrics(q_batch_metrics(spark, sf).withColumn("written_at", F.current_timestamp()),

@@ -16,7 +16,7 @@ from tidemark.operators import split as SP
 from tidemark.operators.evaluate import classification_metrics
 from tidemark.operators.materialize import materialize
 from tidemark.plans.fixtures import churn_records
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, session_key
 
 _MEMO: dict = {}
 
@@ -32,7 +32,7 @@ def training_frame(spark: SparkSession, sf: str):
 
 def cv_models(spark: SparkSession, sf: str, params: dict | None = None):
     """Fit (or reload) the 10 fold models; saved under the checkpoint folder."""
-    key = (spark.sparkContext.applicationId, sf, json.dumps(params, sort_keys=True))
+    key = (session_key(spark), sf, json.dumps(params, sort_keys=True))
     if key in _MEMO:
         spec, table, paths = _MEMO[key]
         return spec, table, {k: PipelineModel.load(p) for k, p in paths.items()}

@@ -60,11 +60,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    try:  # classic sessions: also the RDD checkpoint folder
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(d)
+    except Exception:  # noqa: BLE001 — no SparkContext (Spark Connect)
+        pass
     return d
 
 
+def session_key(spark: SparkSession) -> str:
+    """Identifies the running application (memo keys for per-run tables)."""
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     base = checkpoint_dir(spark).rstrip("/")
