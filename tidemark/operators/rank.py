@@ -74,7 +74,10 @@ def with_quantile_bucket(df: DataFrame, partition_by, value: str, n_buckets: int
     if len(rows) > MAX_BOUNDARIES:
         raise ValueError("too many bucket boundaries; lower n_buckets or use fewer keys")
     splits = sorted(r["_b"] for r in rows if r["_b"] is not None)
-    splits = [float("-inf")] + [x for x in splits if x not in (float("-inf"), float("inf"))] + [float("inf")]
+    inner = [x for x in splits if x not in (float("-inf"), float("inf"))]
+    if not inner:  # one bucket (or no values): nothing to search
+        return df.withColumn(name, F.lit(0))
+    splits = [float("-inf")] + inner + [float("inf")]
     tmp = "_qb_in"
     b = Bucketizer(splits=splits, inputCol=tmp, outputCol=name + "_d", handleInvalid="keep")
     out = b.transform(df.withColumn(tmp, F.col(value).cast("double")))
