@@ -27,3 +27,22 @@ def test_dist_cumsum_equals_window(spark, rows, buckets):
     bad = got.join(exp, "id").filter(F.col("c") != F.col("e")).count()
     assert bad == 0
     assert got.count() == len(data)
+
+
+asof_strategy = st.lists(st.tuples(st.sampled_from([0, 0, 1]), st.integers(min_value=0, max_value=12),
+                                   st.booleans()), min_size=1, max_size=80)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=asof_strategy, width=st.integers(min_value=1, max_value=5))
+def test_asof_next_equals_brute_force(spark, rows, width):
+    from tidemark.operators.rank import dist_asof_next
+    data = [(i, k, float(x), 1 if t else 0, i if t else None) for i, (k, x, t) in enumerate(rows)]
+    df = spark.createDataFrame(data, "id long, k int, key double, side int, payload long")
+    out = dist_asof_next(df, ["k"], ["key", "side", "id"], F.floor(F.col("key") / width),
+                         F.col("side") == 1, ["payload"])
+    got = {r["id"]: r["_next_payload"] for r in out.collect()}
+    order = sorted(data, key=lambda r: (r[1], r[2], r[3], r[0]))
+    for i, r in enumerate(order):
+        nxt = next((s[4] for s in order[i:] if s[1] == r[1] and s[3] == 1), None)
+        assert got[r[0]] == nxt
