@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import clip, decide, safe_ratio
 from tidemark.operators.rank import default_bucket_count, dist_cumsum, unit_bucket
 
-# Decision threshold and log-loss clipping used by the monitor.
+# Decision threshold; log-loss clipping in monitoring (1e-6)
+# and in training (machine epsilon of a double).
 THRESHOLD = 0.5
 LOGLOSS_EPS = 1e-6
+TRAINING_EPS = 2.220446049250313e-16
 
 
 def _g(group_by):
@@ -105,10 +107,10 @@ def roc_points(df: DataFrame, group_by=None, y: str = "y", p: str = "p",
 
 def classification_metrics(df: DataFrame, group_by=None, y: str = "y", p: str = "p",
                            pred: str | None = None, threshold: float = THRESHOLD,
-                           n_buckets: int | None = None) -> DataFrame:
+                           n_buckets: int | None = None, eps: float = LOGLOSS_EPS) -> DataFrame:
     """All metrics of one group in one row: threshold metrics joined to AUC."""
     g = _g(group_by)
-    t = threshold_metrics(df, g, y, p, pred, threshold)
+    t = threshold_metrics(df, g, y, p, pred, threshold, eps)
     a = roc_auc(df, g, y, p, n_buckets)
     if not g:
         return t.crossJoin(a)

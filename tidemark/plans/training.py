@@ -13,7 +13,7 @@ from tidemark.operators import features as FE
 from tidemark.operators import model as M
 from tidemark.operators import registry as REG
 from tidemark.operators import split as SP
-from tidemark.operators.evaluate import classification_metrics
+from tidemark.operators.evaluate import TRAINING_EPS, classification_metrics
 from tidemark.operators.materialize import materialize
 from tidemark.plans.fixtures import churn_records
 from tidemark.session import scratch_path, session_key
@@ -50,7 +50,8 @@ def cv_models(spark: SparkSession, sf: str, params: dict | None = None):
 
 def oof_metrics(oof: DataFrame) -> DataFrame:
     """Long fold metrics ``(family, fold, metric, value)`` from OOF scores."""
-    m = classification_metrics(oof.withColumnRenamed("label", "y"), ["family", "fold"], "y", "p")
+    m = classification_metrics(oof.withColumnRenamed("label", "y"), ["family", "fold"], "y", "p",
+                               eps=TRAINING_EPS)
     return m.select("family", "fold", F.col("roc_auc").alias("auc"), "accuracy", "precision", "recall",
                     "f1", "log_loss") \
             .unpivot(["family", "fold"], ["auc", "accuracy", "precision", "recall", "f1", "log_loss"],
