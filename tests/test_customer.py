@@ -1,5 +1,6 @@
 """End-to-end training and scoring on the customer-record format."""
 
+import json
 import random
 
 from pyspark.sql import functions as F
@@ -49,3 +50,19 @@ def test_train_and_score(spark, tmp_path):
     preds, bad = C.score(recs, res["models"])
     assert preds.count() == 40 and bad.count() == 0
     assert preds.filter((F.col("churn_probability") < 0) | (F.col("churn_probability") > 1)).count() == 0
+
+    # the same scoring as a stream of JSON record files, one bad record quarantined
+    src = tmp_path / "in"
+    src.mkdir()
+    for j in range(2):
+        recs = [{k: v for k, v in _record(rng, 5000 + 10 * j + i, label=False).items() if k != "gender"}
+                for i in range(10)]
+        for r in recs:
+            r["TotalCharges"] = float(r["TotalCharges"] or 0.0)
+        if j == 1:
+            recs[0]["tenure"] = -3
+        (src / f"b{j}.json").write_text("\n".join(json.dumps(r) for r in recs))
+    out, bad_out = str(tmp_path / "scores"), str(tmp_path / "bad")
+    C.score_stream(spark, str(src), res["models"], out, bad_out, str(tmp_path / "ck"), max_files_per_trigger=1)
+    assert spark.read.parquet(out).count() == 19
+    assert [r["errors"] for r in spark.read.parquet(bad_out).collect()] == ["tenure:range"]

@@ -74,3 +74,23 @@ def score(records: DataFrame, models: dict, spec=None) -> tuple[DataFrame, DataF
     out = s.select("id", round_score("churn_probability").alias("churn_probability"),
                    (decide("churn_probability") == 1).alias("churn"))
     return out, bad.select("id", "errors")
+
+
+RECORD_WITH_ID = StructType([SC.TRAIN_SCHEMA["id"]] + SC.RECORD_SCHEMA.fields)
+
+
+def score_stream(spark: SparkSession, src: str, models: dict, out: str, quarantine: str, checkpoint: str,
+                 once: bool = True, interval: str = "10 seconds", max_files_per_trigger: int | None = None):
+    """JSON record files arrive in ``src``; every micro-batch is validated,
+    scored and appended to ``out``; invalid records go to ``quarantine`` with
+    their reasons instead of failing the batch.  Restarting with the same
+    checkpoint resumes after the last committed batch."""
+    from tidemark.streaming import jobs as ST
+
+    def per_batch(df, epoch):
+        preds, bad = score(df, models)
+        preds.withColumn("batch", F.lit(epoch)).write.mode("append").parquet(out)
+        bad.withColumn("batch", F.lit(epoch)).write.mode("append").parquet(quarantine)
+
+    stream = ST.file_stream(spark, src, RECORD_WITH_ID, fmt="json", max_files_per_trigger=max_files_per_trigger)
+    return ST.run_foreach_batch(stream, per_batch, checkpoint, once=once, interval=interval)
