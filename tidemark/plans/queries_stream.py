@@ -105,7 +105,7 @@ def q_stream_tumbling(spark, sf):
     _drop_files(ev, src, by="day")
     schema = ("id long, ts timestamp_ntz, value double, user_id long, event_type string, data_source string, "
               "y int, p double, day date")
-    s = ST.file_stream(spark, src, schema, max_files_per_trigger=1)
+    s = ST.file_stream(spark, src, schema, max_files_per_trigger=8)
     out, ck = scratch_path(spark, "stream_windows"), scratch_path(spark, "stream_windows_ck")
     ST.run_to_files(ST.windowed_counts(s), out, ck)
     return spark.read.parquet(out)
