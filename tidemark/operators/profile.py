@@ -66,9 +66,22 @@ def skewness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return row.select(*adj).unpivot([], list(columns), "column", "skewness")
 
 
-def correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+WIDE_CORRELATION = 60
+
+
+def correlation(df: DataFrame, columns: Sequence[str], method: str | None = None) -> DataFrame:
     """Pearson correlation of every pair (upper triangle and diagonal mirrored),
-    long form ``(a, b, corr)``; pairs use rows where both are non-null."""
+    long form ``(a, b, corr)``.
+
+    ``pairwise`` (default up to 60 columns): one aggregation of all
+    ``corr(a, b)``; each pair uses the rows where both are non-null.
+    ``matrix`` (wider inputs): MLlib ``Correlation`` over assembled vectors —
+    one pass computing the whole matrix from partial sums; rows with a null
+    in any column are left out of it (complete rows).
+    """
+    method = method or ("matrix" if len(columns) > WIDE_CORRELATION else "pairwise")
+    if method == "matrix":
+        return _correlation_matrix(df, columns)
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
     wide = df.agg(*[F.corr(_q(a).cast("double"), _q(b).cast("double")).alias(f"{a}|{b}") for a, b in pairs])
     names = [f"{a}|{b}" for a, b in pairs]
@@ -79,6 +92,16 @@ def correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return upper.unionByName(lower).unionByName(diag)
 
 
+def _correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+    vec = VectorAssembler(inputCols=list(columns), outputCol="_v", handleInvalid="skip") \
+        .transform(df.select(*[_q(c).cast("double").alias(c) for c in columns]))
+    m = Correlation.corr(vec, "_v", "pearson").first()[0].toArray()  # columns x columns
+    rows = [(a, b, float(m[i][j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, corr double")
+
+
 def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     """Equal-width histogram over [min, max]; last bin closed; empty bins kept."""
     st = df.agg(F.min(_q(column)).cast("double").alias("lo"), F.max(_q(column)).cast("double").alias("hi"))
@@ -148,12 +171,16 @@ def exact_median(df: DataFrame, column: str, group_by: Sequence[str] = (), n_buc
     return mid.groupBy(*g).agg(F.avg("x").alias("median"))
 
 
-def score_summary(df: DataFrame, column: str, group_by: Sequence[str] = ()) -> DataFrame:
-    """Mean, population std, exact median, min, max."""
+def score_summary(df: DataFrame, column: str, group_by: Sequence[str] = (), approx: bool = False) -> DataFrame:
+    """Mean, population std, median (exact by default; ``approx`` uses the
+    mergeable ``percentile_approx`` sketch in the same aggregation), min, max."""
     g = list(group_by)
-    s = df.groupBy(*g).agg(F.avg(_q(column)).alias("mean"), F.stddev_pop(_q(column)).alias("std"),
-                           F.min(_q(column)).cast("double").alias("min"),
-                           F.max(_q(column)).cast("double").alias("max"))
+    aggs = [F.avg(_q(column)).alias("mean"), F.stddev_pop(_q(column)).alias("std"),
+            F.min(_q(column)).cast("double").alias("min"), F.max(_q(column)).cast("double").alias("max")]
+    if approx:
+        return df.groupBy(*g).agg(*aggs, F.percentile_approx(_q(column).cast("double"), 0.5, 10000)
+                                  .alias("median"))
+    s = df.groupBy(*g).agg(*aggs)
     m = exact_median(df, column, g)
     return s.join(m, g, "inner") if g else s.crossJoin(m)
 
