@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import schemas as SC
+from tidemark.operators import customer_record as SC
 from tidemark.plans import customer as C
 
 HEADER = ["id", "gender"] + [n for n, _ in SC.FIELDS] + ["Churn"]

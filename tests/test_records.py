@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import lenient_double
-from tidemark.operators import schemas as SC
+from tidemark.operators import customer_record as SC
 from tidemark.operators import validate as V
 
 SAMPLE = dict(SeniorCitizen=0, Partner="Yes", Dependents="Yes", tenure=29, PhoneService="Yes",

@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import lenient_double
-from tidemark.operators import schemas as SC
+from tidemark.operators import customer_record as SC
 from tidemark.sources import sinks as K
 
 HEADER = ["id", "gender"] + [n for n, _ in SC.FIELDS] + ["Churn"]

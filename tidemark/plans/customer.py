@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 from tidemark.functions.columns import decide, lenient_double, round_score
 from tidemark.operators import model as M
 from tidemark.operators import registry as REG
-from tidemark.operators import schemas as SC
+from tidemark.operators import customer_record as SC
 from tidemark.operators import split as SP
 from tidemark.operators import validate as V
 from tidemark.operators.evaluate import cv_summary
