@@ -209,3 +209,10 @@ def test_approx_median_close(spark):
     ap = {x["data_source"]: x["median"] for x in PR.score_summary(s, "p", ["data_source"], approx=True).collect()}
     for k in ex:
         assert ap[k] == pytest.approx(ex[k], abs=0.01)
+
+
+def test_null_keys_are_ranked_not_dropped(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0), ("a", 1.0)], "k string, x double")
+    r = dist_rank(df, ["k"], ["x"], unit_bucket(F.col("x") / 4, 4), "r")
+    got = sorted((row["k"] or "", row["r"]) for row in r.collect())
+    assert got == [("", 1), ("", 2), ("a", 1)]
