@@ -216,3 +216,9 @@ def test_null_keys_are_ranked_not_dropped(spark):
     r = dist_rank(df, ["k"], ["x"], unit_bucket(F.col("x") / 4, 4), "r")
     got = sorted((row["k"] or "", row["r"]) for row in r.collect())
     assert got == [("", 1), ("", 2), ("a", 1)]
+
+
+def test_null_label_rows_kept_in_folds(spark):
+    df = spark.range(20).select("id", F.when(F.col("id") < 5, None).otherwise(F.col("id") % 2).alias("y"))
+    f = SP.stratified_folds(df, "y", k=5)
+    assert f.count() == 20 and f.filter(F.col("y").isNull()).count() == 5

@@ -28,6 +28,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import join_keys
 from tidemark.operators.materialize import materialize
 from tidemark.operators.rank import (default_bucket_count, dist_asof_next, dist_cumsum,
                                      unit_bucket, with_quantile_bucket)
@@ -123,7 +124,7 @@ def numeric_drift(ref_long: DataFrame | None, cur_long: DataFrame, group_by,
     pts = cd.join(merged.filter("_probe").drop("_probe", "n_r"), ["column", "value"], "inner")
     n_tot = cd.groupBy(*g, "column").agg(F.sum("n_c").alias("n"))
     pts = dist_cumsum(pts, g + ["column"], ["value"], "_vb", {"cum_c": "n_c"})
-    pts = pts.join(n_tot, g + ["column"], "inner").select(
+    pts = join_keys(pts, n_tot, g + ["column"], "inner").select(
         *g, "column", "value", "F", "F_lt", "S",
         (F.col("cum_c") / F.col("n")).alias("c_hi"),
         ((F.col("cum_c") - F.col("n_c")) / F.col("n")).alias("c_lo"))
@@ -155,14 +156,14 @@ def numeric_drift(ref_long: DataFrame | None, cur_long: DataFrame, group_by,
                       - 2 * F.col("_next_G_m")))
     w = (u.filter(F.col("side") == 0)
          .groupBy(*g, "column").agg(F.sum(F.col("sign") * phi).alias("_phi")))
-    out = (w.join(ks, g + ["column"], "inner")
+    out = (join_keys(w, ks, g + ["column"], "inner")
            .join(stats.select("column", "ref_mean", "ref_std"), "column", "inner")
            .select(*g, "column",
                    F.greatest(F.col("ref_mean") + F.col("_phi"), F.lit(0.0)).alias("wasserstein"),
                    "ks", "ref_std"))
     out = out.withColumn("drift_score", F.col("wasserstein") / F.col("ref_std")).drop("ref_std")
     sizes = n_tot.join(stats.select("column", "ref_n"), "column")
-    out = out.join(sizes, g + ["column"], "inner").withColumnRenamed("n", "cur_n")
+    out = join_keys(out, sizes, g + ["column"], "inner").withColumnRenamed("n", "cur_n")
     return out.withColumn("drifted", F.col("drift_score") >= F.lit(threshold))
 
 
@@ -204,7 +205,7 @@ def categorical_drift(ref_long: DataFrame | None, cur_long: DataFrame, group_by,
     ncat = shares.groupBy("column").agg(F.count(F.lit(1)).alias("n_ref_cats"))
     c = cur_long.groupBy(*g, "column", "value").agg(F.count(F.lit(1)).alias("n_c"))
     tot = c.groupBy(*g, "column").agg(F.sum("n_c").alias("n"))
-    j = (c.join(tot, g + ["column"], "inner")
+    j = (join_keys(c, tot, g + ["column"], "inner")
          .join(shares.select("column", "value", "q"), ["column", "value"], "left")
          .fillna({"q": 0.0})
          .withColumn("p", F.col("n_c") / F.col("n"))
@@ -249,7 +250,7 @@ def psi(ref_long: DataFrame, cur_long: DataFrame, group_by, bins: int = PSI_BINS
     ct = cb.groupBy(*g, "column").agg(F.sum("c_n").alias("c_tot"))
     grid = (ct.select(*g, "column")
             .withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))))
-    j = (grid.join(cb, g + ["column", "bin"], "left").join(ct, g + ["column"], "inner")
+    j = (join_keys(join_keys(grid, cb, g + ["column", "bin"], "left"), ct, g + ["column"], "inner")
          .join(rb, ["column", "bin"], "left").join(rt, "column", "inner")
          .fillna({"c_n": 0, "r_n": 0}))
     a = F.greatest(F.col("c_n") / F.col("c_tot"), F.lit(floor))

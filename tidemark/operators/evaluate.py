@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import clip, decide, safe_ratio
+from tidemark.operators.joins import join_keys
 from tidemark.operators.rank import default_bucket_count, dist_cumsum, unit_bucket
 
 # Decision threshold; log-loss clipping in monitoring (1e-6)
@@ -98,7 +99,7 @@ def roc_points(df: DataFrame, group_by=None, y: str = "y", p: str = "p",
     g = _g(group_by)
     c = score_counts(df, g, y, p, n_buckets)
     tot = c.groupBy(*g).agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
-    j = c.join(tot, g, "inner") if g else c.crossJoin(F.broadcast(tot))
+    j = join_keys(c, tot, g, "inner") if g else c.crossJoin(F.broadcast(tot))
     return j.select(
         *g, F.col("score").alias("threshold"),
         safe_ratio(F.col("_P") - F.col("cum_pos") + F.col("pos"), F.col("_P")).alias("tpr"),
@@ -114,7 +115,7 @@ def classification_metrics(df: DataFrame, group_by=None, y: str = "y", p: str =
     a = roc_auc(df, g, y, p, n_buckets)
     if not g:
         return t.crossJoin(a)
-    return t.join(a, g, "left")
+    return join_keys(t, a, g, "left")
 
 
 def cv_summary(fold_metrics: DataFrame, by=("family", "metric"), value: str = "value") -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from tidemark.operators.joins import join_keys
 from tidemark.operators.rank import default_bucket_count, dist_rank, with_quantile_bucket
 
 
@@ -142,7 +143,7 @@ def density(df: DataFrame, column: str, by: str, grid_points: int = 200, fine_bi
              .select("gi", (F.col("lo") + F.col("gi") * (F.col("hi") - F.col("lo")) / (grid_points - 1)).alias("g"))
     h = F.col("sd") * F.pow(F.col("n"), F.lit(-0.2))
     k = F.col("nb") * F.exp(-0.5 * F.pow((F.col("g") - F.col("xb")) / h, 2))
-    j = fine.join(cls, "cls").crossJoin(F.broadcast(grid))  # grid: grid_points rows
+    j = join_keys(fine, cls, ["cls"]).crossJoin(F.broadcast(grid))  # grid: grid_points rows
     return (j.groupBy("cls", "gi", "g", "n", "sd")
             .agg(F.sum(k).alias("_s"))
             .select(F.col("cls").alias(by), "gi", "g",
@@ -166,7 +167,7 @@ def exact_median(df: DataFrame, column: str, group_by: Sequence[str] = (), n_buc
     b = with_quantile_bucket(x, g, "x", nb, name="_qb")
     # Ties share a value, so the value at a rank does not depend on tie order.
     r = dist_rank(b, g, ["x"], "_qb", name="_r")
-    r = r.join(cnt, g, "inner") if g else r.crossJoin(F.broadcast(cnt))
+    r = join_keys(r, cnt, g, "inner") if g else r.crossJoin(F.broadcast(cnt))
     mid = r.filter((F.col("_r") == F.floor((F.col("_n") + 1) / 2)) | (F.col("_r") == F.ceil((F.col("_n") + 1) / 2)))
     return mid.groupBy(*g).agg(F.avg("x").alias("median"))
 
@@ -182,7 +183,7 @@ def score_summary(df: DataFrame, column: str, group_by: Sequence[str] = (), appr
                                   .alias("median"))
     s = df.groupBy(*g).agg(*aggs)
     m = exact_median(df, column, g)
-    return s.join(m, g, "inner") if g else s.crossJoin(m)
+    return join_keys(s, m, g, "inner") if g else s.crossJoin(m)
 
 
 def head(df: DataFrame, n: int = 5, order: str = "id") -> DataFrame:

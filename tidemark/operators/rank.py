@@ -26,6 +26,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import join_keys
+
 BKT = "_bkt"
 
 
@@ -37,13 +39,6 @@ def _names(cols) -> list[str]:
     return list(cols)
 
 
-def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Equi-join on ``keys`` treating null = null (``<=>``), keeping the left names."""
-    r = right.select(*[F.col(c).alias("_r_" + c) if c in keys else F.col(c) for c in right.columns])
-    cond = [F.col(k).eqNullSafe(F.col("_r_" + k)) for k in keys]
-    return left.join(r, cond, how).drop(*["_r_" + k for k in keys])
-
-
 def default_bucket_count(spark) -> int:
     """Four buckets per shuffle partition, at least 64."""
     n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
@@ -110,7 +105,7 @@ def dist_cumsum(df: DataFrame, partition_by, order_by: Sequence, bucket: Column
     wb = Window.partitionBy(*parts).orderBy(BKT).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, *[
         F.coalesce(F.sum(t + "_tot").over(wb), F.lit(0)).alias(t + "_off") for t in tmp.values()])
-    joined = _join_on(b, offsets, keys, "inner")
+    joined = join_keys(b, offsets, keys, "inner")
     hi = Window.currentRow if inclusive else -1
     wr = Window.partitionBy(*keys).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, hi)
     for name, t in tmp.items():
@@ -152,9 +147,9 @@ def dist_asof_next(df: DataFrame, partition_by, order_by: Sequence, bucket: Colu
                .agg(F.min_by(F.struct(*[F.col(p).alias(p) for p in payload]), order_struct).alias("_first")))
     present = b.select(*keys).distinct()
     wc = Window.partitionBy(*parts).orderBy(F.col(BKT).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    carry = _join_on(present, firsts, keys, "left").select(
+    carry = join_keys(present, firsts, keys, "left").select(
         *keys, *[F.last(F.col("_first." + p), ignorenulls=True).over(wc).alias("_car_" + p) for p in payload])
-    out = _join_on(b, carry, keys, "left")
+    out = join_keys(b, carry, keys, "left")
     for p in payload:
         out = out.withColumn("_next_" + p, F.coalesce(F.col("_loc_" + p), F.col("_car_" + p)))
     return out.drop(BKT, "_tgt", *["_loc_" + p for p in payload], *["_car_" + p for p in payload])

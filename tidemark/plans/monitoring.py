@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import drift as D
 from tidemark.operators.evaluate import classification_metrics
+from tidemark.operators.joins import join_keys
 
 
 @dataclass(frozen=True)
@@ -97,7 +98,7 @@ def batch_metrics(reference: DataFrame | None, current: DataFrame, spec: Monitor
     q = q.select(*g, F.col("positive_rate").alias("churn_rate"), "accuracy", "roc_auc", "log_loss")
 
     ncols = F.lit(base_cols) + F.when(labelled, 1).otherwise(0)
-    out = (basic.join(dagg, g, "left").join(q, g, "left")
+    out = (join_keys(join_keys(basic, dagg, g, "left"), q, g, "left")
            .withColumn("num_drifted_columns", F.coalesce(F.col("num_drifted_columns"), F.lit(0)).cast("int"))
            .withColumn("share_drifted_columns", F.col("num_drifted_columns") / ncols)
            .withColumn("share_missing_values",
