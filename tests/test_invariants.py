@@ -222,3 +222,12 @@ def test_null_label_rows_kept_in_folds(spark):
     df = spark.range(20).select("id", F.when(F.col("id") < 5, None).otherwise(F.col("id") % 2).alias("y"))
     f = SP.stratified_folds(df, "y", k=5)
     assert f.count() == 20 and f.filter(F.col("y").isNull()).count() == 5
+
+
+def test_psi_quantile_bins(spark):
+    s = scored_events(spark, SF_SMALL)
+    long = D.to_long(s, [], ["value"])
+    same = D.to_long(s.withColumn("g", F.lit(1)), ["g"], ["value"])
+    shifted = D.to_long(s.withColumn("g", F.lit(2)).withColumn("value", F.col("value") + 40), ["g"], ["value"])
+    out = {r["g"]: r["psi"] for r in D.psi(long, same.unionByName(shifted), ["g"], binning="quantile").collect()}
+    assert out[1] == pytest.approx(0.0, abs=1e-12) and out[2] > 0.5

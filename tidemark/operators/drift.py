@@ -230,18 +230,25 @@ def categorical_drift(ref_long: DataFrame | None, cur_long: DataFrame, group_by,
 
 
 def psi(ref_long: DataFrame, cur_long: DataFrame, group_by, bins: int = PSI_BINS,
-        floor: float = PSI_FLOOR) -> DataFrame:
-    """Population stability index on equal-width reference bins.
-
-    Bins span the reference [min, max]; values outside fall in the edge bins.
-    Empty shares are floored at ``floor``.  The bin table is
-    ``columns x bins`` rows, built by ``sequence`` and joined per column.
+        floor: float = PSI_FLOOR, binning: str = "width") -> DataFrame:
+    """Population stability index per ``(group..., column)``.
+
+    ``binning="width"``: equal-width bins over the reference [min, max], values
+    outside fall in the edge bins.  ``binning="quantile"``: reference deciles
+    (``bins`` equal-frequency bins from the approximate-percentile sketch;
+    the bin is the number of boundaries at or below the value).  Empty shares
+    are floored at ``floor``.  The bin grid is ``groups x columns x bins``.
     """
     g = _g(group_by)
-    st = reference_stats(ref_long).select("column", "ref_min", "ref_max")
-    width = F.greatest(F.col("ref_max") - F.col("ref_min"), F.lit(1e-12)) / bins
-    binexpr = F.least(F.greatest(F.floor((F.col("value") - F.col("ref_min")) / width), F.lit(0)),
-                      F.lit(bins - 1)).cast("int")
+    if binning == "quantile":
+        probs = F.array(*[F.lit(i / bins) for i in range(1, bins)])
+        st = ref_long.groupBy("column").agg(F.percentile_approx("value", probs, 10000).alias("bounds"))
+        binexpr = F.size(F.filter(F.col("bounds"), lambda b: b <= F.col("value"))).cast("int")
+    else:
+        st = reference_stats(ref_long).select("column", "ref_min", "ref_max")
+        width = F.greatest(F.col("ref_max") - F.col("ref_min"), F.lit(1e-12)) / bins
+        binexpr = F.least(F.greatest(F.floor((F.col("value") - F.col("ref_min")) / width), F.lit(0)),
+                          F.lit(bins - 1)).cast("int")
     rb = (ref_long.join(st, "column").withColumn("bin", binexpr)
           .groupBy("column", "bin").agg(F.count(F.lit(1)).alias("r_n")))
     rt = rb.groupBy("column").agg(F.sum("r_n").alias("r_tot"))
