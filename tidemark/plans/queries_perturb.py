@@ -188,3 +188,22 @@ def q_missing_share(spark, sf):
     the perturbed batches (cells blanked after scoring)."""
     _, cur = perturbed_current(spark, sf)
     return D.missing_share(cur, ["data_source", "batch_id"], ["value", "event_type", "p"])
+
+
+SHIFT_HOUR = (f"CASE WHEN c.intensity > 0 THEN CAST(round(greatest(c.hour + c.intensity * 1.5 * sh.s "
+              f"+ {_z('hour')} * 0.5 * sh.s, 0.0)) AS INTEGER) ELSE c.hour END")
+SHIFT_INT_SQL = CUR_I.replace("SELECT c.*, g.global_batch", "SELECT c.*, CAST(hour(c.ts) AS INTEGER) AS hour, g.global_batch") \
+    + """,
+sh AS (SELECT CASE WHEN stddev_pop(hour(ts)) > 0 THEN stddev_pop(hour(ts)) ELSE 1.0 END AS s FROM ref)""" \
+    + f"\nSELECT c.id, {SHIFT_HOUR} AS hour_shifted FROM ci c, sh"
+
+
+@register("shift_integral", SHIFT_INT_SQL)
+def q_shift_integral(spark, sf):
+    """X2 on an integer column (hour of the event): shifted, clipped at 0,
+    rounded back to an integer."""
+    ref = reference_slice(scored_events(spark, sf)).withColumn("hour", F.hour("ts"))
+    cur = with_intensity(current_batches(spark, sf)).withColumn("hour", F.hour("ts"))
+    cur = cur.crossJoin(F.broadcast(ref_std(ref, "hour")))  # one row
+    return cur.select("id", X.shift_numeric("hour", F.col("_std_hour"), F.col("intensity"), integral=True)
+                      .alias("hour_shifted"))
