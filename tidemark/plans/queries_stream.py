@@ -109,3 +109,17 @@ def q_stream_tumbling(spark, sf):
     out, ck = scratch_path(spark, "stream_windows"), scratch_path(spark, "stream_windows_ck")
     ST.run_to_files(ST.windowed_counts(s), out, ck)
     return spark.read.parquet(out)
+
+
+SLIDING_SQL = f"""WITH {SCORED},
+w AS (SELECT time_bucket(INTERVAL '1 day', ts) AS window_start, * FROM scored
+      UNION ALL SELECT time_bucket(INTERVAL '1 day', ts) - INTERVAL '1 day', * FROM scored)
+SELECT window_start, window_start + INTERVAL '2 days' AS window_end, data_source, count(*) AS n,
+       avg(p) AS mean_score, avg(CAST(y AS DOUBLE)) AS positive_rate, CAST(sum(y) AS BIGINT) AS positives
+FROM w GROUP BY window_start, data_source"""
+
+
+@register("sliding_metrics", SLIDING_SQL)
+def q_sliding(spark, sf):
+    """Two-day windows sliding by one day (each event is in two windows)."""
+    return ST.windowed_counts(scored_events(spark, sf), size="2 days", slide="1 day", watermark=None)
