@@ -46,3 +46,31 @@ def test_asof_next_equals_brute_force(spark, rows, width):
     for i, r in enumerate(order):
         nxt = next((s[4] for s in order[i:] if s[1] == r[1] and s[3] == 1), None)
         assert got[r[0]] == nxt
+
+
+vals = st.lists(st.integers(min_value=-6, max_value=6), min_size=1, max_size=40)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(ref=vals, g1=vals, g2=vals)
+def test_exact_w1_ks_property(spark, ref, g1, g2):
+    import numpy as np
+    import pytest
+
+    from tidemark.operators import drift as D
+
+    def brute(a, b):
+        a, b = np.array(a, float), np.array(b, float)
+        z = np.unique(np.concatenate([a, b]))
+        fa = np.searchsorted(np.sort(a), z, side="right") / len(a)
+        fb = np.searchsorted(np.sort(b), z, side="right") / len(b)
+        return float(np.sum(np.abs(fa - fb)[:-1] * np.diff(z))), float(np.max(np.abs(fa - fb)))
+
+    rdf = spark.createDataFrame([("x", float(v) / 2) for v in ref], "column string, value double")
+    cdf = spark.createDataFrame([(g, "x", float(v) / 2) for g, vs in ((1, g1), (2, g2)) for v in vs],
+                                "g int, column string, value double")
+    out = {r["g"]: r for r in D.numeric_drift(rdf, cdf, ["g"], n_buckets=3).collect()}
+    for g, vs in ((1, g1), (2, g2)):
+        w, ks = brute([v / 2 for v in ref], [v / 2 for v in vs])
+        assert out[g]["wasserstein"] == pytest.approx(w, abs=1e-9)
+        assert out[g]["ks"] == pytest.approx(ks, abs=1e-12)
