@@ -42,6 +42,18 @@ def q_model_inputs(spark, sf):
     return FE.model_inputs(churn_records(spark, sf), exclude=("id", "gender", "churn"))
 
 
+TYPED_SQL = "SELECT * FROM (VALUES " + ", ".join(
+    f"('{c}', '{'numeric' if c in ('id', *NUMERIC_REC) else 'string'}')" for c in REC_COLS) + ") AS t(column, kind)"
+
+
+@register("typed_columns", TYPED_SQL)
+def q_typed_columns(spark, sf):
+    """Columns of the churn records split by Spark type (numeric / string)."""
+    num, oth = FE.typed_columns(churn_records(spark, sf))
+    return spark.createDataFrame([(c, "numeric") for c in num] + [(c, "string") for c in oth],
+                                 "column string, kind string")
+
+
 RAW_SQL = ("CASE WHEN event_type = 'error' THEN ' ' WHEN event_type = 'view' THEN 'x' || CAST(value AS VARCHAR) "
            "ELSE CAST(value AS VARCHAR) END")
 
