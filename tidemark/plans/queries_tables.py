@@ -43,7 +43,7 @@ def q_model_inputs(spark, sf):
 
 
 TYPED_SQL = "SELECT * FROM (VALUES " + ", ".join(
-    f"('{c}', '{'numeric' if c in ('id', *NUMERIC_REC) else 'string'}')" for c in REC_COLS) + ") AS t(column, kind)"
+    f"('{c}', '{'numeric' if c in ('id', *NUMERIC_REC) else 'string'}')" for c in REC_COLS) + ") AS t(\"column\", kind)"
 
 
 @register("typed_columns", TYPED_SQL)
