@@ -3,6 +3,8 @@
 import json
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import customer_record as SC
@@ -66,3 +68,16 @@ def test_train_and_score(spark, tmp_path):
     C.score_stream(spark, str(src), res["models"], out, bad_out, str(tmp_path / "ck"), max_files_per_trigger=1)
     assert spark.read.parquet(out).count() == 19
     assert [r["errors"] for r in spark.read.parquet(bad_out).collect()] == ["tenure:range"]
+
+    # monitoring replay with gradual drift against a stratified reference
+    m = C.monitor(spark, str(tmp_path / "train.csv"), str(tmp_path / "test.csv"), res["models"],
+                  str(tmp_path / "mm"), "run-1", mode="gradual", batch_size=60, missing_rate=0.2)
+    rows = m.orderBy("data_source", "batch_id").collect()
+    hold = [r for r in rows if r["data_source"] == "train_holdout"]
+    test = [r for r in rows if r["data_source"] == "test"]
+    assert len(test) == 1 and test[0]["accuracy"] is None and test[0]["roc_auc"] is None
+    assert all(r["accuracy"] is not None for r in hold) and len(hold) >= 3
+    # gradual ramp over 5 batches, numbered across pools (labelled pool first)
+    assert [r["drift_intensity"] for r in hold] == pytest.approx([min(1.0, (i + 1) / 5) for i in range(len(hold))])
+    assert test[0]["drift_intensity"] == pytest.approx(min(1.0, (len(hold) + 1) / 5))
+    assert max(r["share_missing_values"] for r in rows) > 0

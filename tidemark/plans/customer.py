@@ -94,3 +94,68 @@ def score_stream(spark: SparkSession, src: str, models: dict, out: str, quaranti
 
     stream = ST.file_stream(spark, src, RECORD_WITH_ID, fmt="json", max_files_per_trigger=max_files_per_trigger)
     return ST.run_foreach_batch(stream, per_batch, checkpoint, once=once, interval=interval)
+
+
+NUMERICAL_FEATURES = ["SeniorCitizen", "tenure", "MonthlyCharges", "TotalCharges"]
+CATEGORICAL_FEATURES = ["Partner", "Dependents", "PhoneService", "MultipleLines", "InternetService",
+                        "OnlineSecurity", "OnlineBackup", "DeviceProtection", "TechSupport", "StreamingTV",
+                        "StreamingMovies", "Contract", "PaperlessBilling", "PaymentMethod"]
+
+
+def _scored(df: DataFrame, models: dict, spec, carry) -> DataFrame:
+    """Score while carrying the raw columns (prefixed) through one narrow stage."""
+    raw = df.select(*[F.col(f"`{c}`").alias("raw__" + c) for c in carry], *[F.col(f"`{c}`") for c in df.columns])
+    feats = spec.transform(raw, keep=["raw__" + c for c in carry], with_target=False)
+    s = M.fold_mean_score(feats, models, keep=["raw__" + c for c in carry])
+    return s.select(*[F.col("raw__" + c).alias(c) for c in carry],
+                    round_score("churn_probability").alias("churn_probability"))
+
+
+def monitor(spark: SparkSession, train_path: str, test_path: str, models: dict, metrics_path: str,
+            run_id: str, mode: str = "none", batch_size: int = 1000, reference_frac: float = 0.2,
+            missing_rate: float = 0.0, seed: int = 42) -> DataFrame:
+    """Replay the labelled holdout and the unlabelled test table in fixed-size
+    batches against a stratified reference sample, as one grouped job.
+
+    Optional drift injection (``mode``: sustained / gradual / cycle) shifts
+    the inputs before scoring; cells are blanked after scoring; labels are
+    untouched.  One metrics row per batch is appended to ``metrics_path``
+    (partitioned by source, keyed by ``run_id``) and returned.
+    """
+    from tidemark.functions.columns import dict_map
+    from tidemark.operators import perturb as X
+    from tidemark.operators.features import BINARY_MAP, fit_categories
+    from tidemark.plans.fixtures import with_batches
+    from tidemark.plans.monitoring import MonitorSpec, batch_metrics
+
+    spec = SC.frozen_customer_spec()
+    tr = load_customers(spark, train_path).withColumn("label", dict_map("Churn", BINARY_MAP).cast("int"))
+    te = load_customers(spark, test_path, with_label=False)
+    split = SP.stratified_split(tr, "label", reference_frac, seed)
+    ref = split.filter("split = 'reference'").drop("split")
+    hold = split.filter("split = 'holdout'").drop("split")
+    cur = with_batches(SP.pools(hold, te), size=batch_size)
+    cur = X.global_batch_number(cur).withColumn("intensity", X.intensity("global_batch", mode))
+    cur = materialize(cur, "customer_batches")
+    inten = F.col("intensity")
+    if mode != "none":
+        stds = ref.agg(*[F.stddev_pop(c).alias(c) for c in NUMERICAL_FEATURES if c != "SeniorCitizen"]).first()
+        for c in ("tenure", "MonthlyCharges", "TotalCharges"):
+            std = float(stds[c] or 0.0) or 1.0
+            cur = cur.withColumn(c, X.shift_numeric(c, std, inten, integral=(c == "tenure")))
+        cur = cur.withColumn("SeniorCitizen", X.flip_binary("SeniorCitizen", inten))
+        cats = fit_categories(ref, CATEGORICAL_FEATURES)
+        for c in CATEGORICAL_FEATURES:
+            cur = cur.withColumn(c, X.swap_category(c, cats[c], inten))
+    carry = ["id", "label"] + NUMERICAL_FEATURES + CATEGORICAL_FEATURES
+    ref_s = _scored(ref, models, spec, carry)
+    cur_s = _scored(cur, models, spec, carry + ["data_source", "batch_id", "intensity"])
+    if mode != "none" and missing_rate > 0:
+        for c in NUMERICAL_FEATURES + CATEGORICAL_FEATURES:
+            cur_s = cur_s.withColumn(c, X.blank_cells(c, inten, missing_rate))
+    cur_s = materialize(cur_s, "customer_scored")
+    mspec = MonitorSpec(numeric=tuple(NUMERICAL_FEATURES), categorical=tuple(CATEGORICAL_FEATURES),
+                        prediction="churn_probability", target="label", ts=None, intensity="intensity")
+    m = batch_metrics(ref_s, cur_s, mspec)
+    K.append_metrics(m, metrics_path, run_id)
+    return spark.read.parquet(metrics_path).filter(F.col("run_id") == run_id)
