@@ -27,3 +27,25 @@ def test_filter_and_columns_reach_the_scan(spark):
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(value), GreaterThan(value,10.0)]" in p
     assert "ReadSchema: struct<event_id:bigint,value:double>" in p
+
+
+def _final_plan(df):
+    df.write.format("noop").mode("overwrite").save()  # settle the adaptive plan
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_flagship_has_no_pairwise_joins(spark):
+    import __spark_entry__ as E
+    p = _final_plan(E.entry(spark))
+    assert "NestedLoopJoin" not in p and "CartesianProduct" not in p
+
+
+def test_reports_use_top_k_and_partial_aggregates(spark):
+    import __spark_entry__ as E
+    q = E.queries()
+    recent = q["recent_batches"](spark, SF_SMALL)
+    assert "TakeOrderedAndProject" in recent._jdf.queryExecution().executedPlan().toString()
+    latest = _final_plan(q["latest_auc"](spark, SF_SMALL))
+    # the panel is a keyless partial aggregate (max_by), never a sort by time
+    assert "Aggregate(key=[]" in latest or "Aggregate(keys=[]" in latest
+    assert "Sort [ts" not in latest
