@@ -15,6 +15,14 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+try:  # ship these UDFs by value: Python workers need not import this package
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cp
+    _cp.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # noqa: BLE001 — older cloudpickle: by-reference pickling
+    pass
+
 
 def _gammaincc(a: float, x: float) -> float:
     if a <= 0 or x is None or math.isnan(x):
