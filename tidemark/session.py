@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -68,6 +69,30 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Functions that run on the executors import it; ``addPyFile`` makes that
+    work from any working directory and without an installation there.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tidemark-"), "tidemark.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for top, _, names in os.walk(here):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(top, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(here)))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
 def session_key(spark: SparkSession) -> str:
     """Identifies the running application (memo keys for per-run tables)."""
     return spark.conf.get("spark.app.id", None) or str(id(spark))
