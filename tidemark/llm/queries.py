@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
+from tidemark.session import ship_package
 from tidemark.sources.tables import read_table
 
 QUERIES = {}
@@ -12,7 +15,12 @@ ORACLE = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def query(spark, sf_dir):
+            ship_package(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = query
         if sql:
             ORACLE[name] = sql
         return fn
@@ -53,3 +61,15 @@ def op5(spark, sf_dir):
     from tidemark.llm.mixing import mix_sources
     mixed = mix_sources(read_table(spark, sf_dir, "documents"))
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source", "copies")
+
+
+@register("op7_minhash_dedup")
+def op7(spark, sf_dir):
+    from tidemark.llm.minhash_dedup import near_duplicates
+    return near_duplicates(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@register("op10_embed_dedup")
+def op10(spark, sf_dir):
+    from tidemark.llm.embed_dedup import near_duplicate_vectors
+    return near_duplicate_vectors(read_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
