@@ -73,3 +73,10 @@ def op7(spark, sf_dir):
 def op10(spark, sf_dir):
     from tidemark.llm.embed_dedup import near_duplicate_vectors
     return near_duplicate_vectors(read_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+@register("op1_substring_dedup")
+def op1(spark, sf_dir):
+    from tidemark.llm.substring_dedup import substring_dedup
+    found = substring_dedup(read_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
