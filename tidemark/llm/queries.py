@@ -80,3 +80,19 @@ def op1(spark, sf_dir):
     from tidemark.llm.substring_dedup import substring_dedup
     found = substring_dedup(read_table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
+@register("op9_warc_dictionary", """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages),
+    h AS (SELECT *, sha1(html) AS x FROM p)
+    SELECT page_id, octet_length(encode(html)) AS payload_bytes,
+           list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                                  1 + CAST((('0x' || substr(x, 1 + 10 * (i // 8), 10))::BIGINT >> (35 - 5 * (i % 8))) & 31 AS INT), 1)
+                           for i in range(0, 32)], 'string_agg', '') AS payload_digest,
+           CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+    FROM h""")
+def op9(spark, sf_dir):
+    from tidemark.llm.warc_zstd import archive_and_read
+    back = archive_and_read(read_table(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
