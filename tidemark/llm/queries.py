@@ -96,3 +96,10 @@ def op9(spark, sf_dir):
     from tidemark.llm.warc_zstd import archive_and_read
     back = archive_and_read(read_table(spark, sf_dir, "pages"))
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op6_piece_sampling")
+def op6(spark, sf_dir):
+    import public_tokenizers
+    from tidemark.llm.piece_sampling import sample_pieces
+    return sample_pieces(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
