@@ -103,3 +103,28 @@ def op6(spark, sf_dir):
     import public_tokenizers
     from tidemark.llm.piece_sampling import sample_pieces
     return sample_pieces(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@register("op8_lm_score", r"""
+    WITH t AS (SELECT doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS i
+               FROM (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM documents)),
+    g AS (SELECT doc_id, i, w, lag(w) OVER d AS h1, lag(w, 2) OVER d AS h2 FROM t WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+    c1 AS (SELECT w, count(*) AS n FROM t GROUP BY ALL),
+    c2 AS (SELECT h1, w, count(*) AS n FROM g WHERE h1 IS NOT NULL GROUP BY ALL),
+    c3 AS (SELECT h2, h1, w, count(*) AS n FROM g WHERE h2 IS NOT NULL GROUP BY ALL),
+    s AS (SELECT g.doc_id,
+                 CASE WHEN c3.n >= 2 THEN ln(c3.n / hh.n)
+                      WHEN c2.n >= 2 THEN ln(c2.n / h.n) + (CASE WHEN i > 2 THEN ln(0.4) ELSE 0 END)
+                      ELSE ln(c1.n / (SELECT count(*) FROM t)) + least(i - 1, 2) * ln(0.4) END AS s,
+                 CASE WHEN c3.n >= 2 THEN 3 WHEN c2.n >= 2 THEN 2 ELSE 1 END AS k
+          FROM g JOIN c1 ON c1.w = g.w LEFT JOIN c1 AS h ON h.w = g.h1
+          LEFT JOIN c2 ON c2.h1 = g.h1 AND c2.w = g.w LEFT JOIN c2 AS hh ON hh.h1 = g.h2 AND hh.w = g.h1
+          LEFT JOIN c3 ON c3.h2 = g.h2 AND c3.h1 = g.h1 AND c3.w = g.w)
+    SELECT d.doc_id, count(s.doc_id) AS n_words, coalesce(sum(s.s), 0.0) AS log_score, sum(s.s) / nullif(count(s.doc_id), 0) AS mean_log,
+           count(*) FILTER (k = 1) AS n_unigram, count(*) FILTER (k = 2) AS n_bigram, count(*) FILTER (k = 3) AS n_trigram
+    FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id GROUP BY d.doc_id""")
+def op8(spark, sf_dir):
+    from tidemark.llm.lm_score import lm_scores
+    scored = lm_scores(read_table(spark, sf_dir, "documents"))
+    return scored.select(F.col("id").alias("doc_id"), "n_words", "log_score", "mean_log",
+                         *[F.element_at("n_by_order", k).alias(name) for k, name in enumerate(("n_unigram", "n_bigram", "n_trigram"), 1)])
