@@ -250,3 +250,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = SHINGLE,
     out = out.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.when(F.col("id").isNull(), F.col("id")).otherwise(F.coalesce("component", "rep", "id"))
     return out.select("id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)))
+
+
+def drop_near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that represent their group, with all columns."""
+    gone = materialize(near_duplicates(docs, percent, id_col=id_col, text_col=text_col).filter(~F.col("kept")).select(F.col("id").alias("_gone")).distinct(), "gone")
+    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")

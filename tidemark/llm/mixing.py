@@ -106,3 +106,15 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), budget_sh
     end = ordered.filter(F.col("_run") <= F.lit(budget)).agg(F.max("_v").alias("v")).first()["v"]
     n_copies = sum((F.coalesce(finish(F.lit(e)) <= F.lit(end if end is not None else -1.0), F.lit(False)).cast("int") for e in range(max_repeat)), F.lit(0))
     return queued.select("id", "source", "size", "source_size", "target", n_copies.alias("copies"), (n_copies * F.col("size")).cast("long").alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", **options) -> DataFrame:
+    """The rows of ``docs`` in the mix, each as often as it is taken, with all columns.
+
+    Rows that repeat an id and source share their copies evenly, rounded up.
+    """
+    mix = mix_sources(docs, id_col=id_col, source_col=source_col, **options)
+    taken = mix.groupBy(F.col("id").alias("_id"), F.col("source").alias("_source")).agg(F.ceil(F.avg("copies")).cast("int").alias("_copies"))
+    taken = materialize(taken.filter("_copies > 0"), "taken")
+    rows = docs.join(taken, docs[id_col].eqNullSafe(taken["_id"]) & docs[source_col].eqNullSafe(taken["_source"]))
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[docs[c] for c in docs.columns])

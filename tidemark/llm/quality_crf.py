@@ -245,6 +245,12 @@ def train_field(docs: DataFrame, labels: DataFrame, max_docs: int = 1200, id_col
     return fit_field(x, length, state)
 
 
+def _verdict(m: Lines, content: np.ndarray, min_words: int, max_repeat_pct: int, min_share: float) -> tuple[np.ndarray, np.ndarray]:
+    """(base rules fail, document stays)."""
+    failed = (m.n_words < min_words) | (100 * m.n_repeat_words > max_repeat_pct * m.n_words)
+    return failed, ~failed & (content >= min_share * m.n_words)
+
+
 def quality(docs: DataFrame, crf: Field, min_words: int = 20, max_repeat_pct: int = 30, min_share: float = 0.5,
             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, base counts, ``base_failed``, ``kept``, ``content_words``, ``line_labels``.
@@ -263,8 +269,7 @@ def quality(docs: DataFrame, crf: Field, min_words: int = 20, max_repeat_pct: in
                 content = counts_in(m.first_line, state * m.words_in_line)
                 text = letters[state].tobytes().decode()
                 labels = [text[p:q] for p, q in zip(m.first_line[:-1], m.first_line[1:])]
-                failed = (m.n_words < min_words) | (100 * m.n_repeat_words > max_repeat_pct * m.n_words)
-                kept = ~failed & (content >= min_share * m.n_words)
+                failed, kept = _verdict(m, content, min_words, max_repeat_pct, min_share)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), *(pa.array(np.asarray(v, np.int64)) for v in (
                         m.n_words, m.word_chars, m.n_symbols, m.n_dup_lines, m.n_repeat_words)),
@@ -274,3 +279,18 @@ def quality(docs: DataFrame, crf: Field, min_words: int = 20, max_repeat_pct: in
 
     return src.mapInArrow(run, f"`{id_col}` {id_type}, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
                                "n_repeat_words long, base_failed boolean, kept boolean, content_words long, line_labels string")
+
+
+def keep_quality(docs: DataFrame, crf: Field, min_words: int = 20, max_repeat_pct: int = 30, min_share: float = 0.5,
+                 text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with all columns; no shuffle."""
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            for a, b, data, off in segments(batch.column(at)):
+                m = measure(data, off)
+                content = counts_in(m.first_line, crf.viterbi(m.features, m.first_line) * m.words_in_line)
+                yield batch.slice(a, b - a).filter(pa.array(_verdict(m, content, min_words, max_repeat_pct, min_share)[1]))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -128,3 +128,9 @@ def op8(spark, sf_dir):
     scored = lm_scores(read_table(spark, sf_dir, "documents"))
     return scored.select(F.col("id").alias("doc_id"), "n_words", "log_score", "mean_log",
                          *[F.element_at("n_by_order", k).alias(name) for k, name in enumerate(("n_unigram", "n_bigram", "n_trigram"), 1)])
+
+
+@register("pipeline")
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)

@@ -210,3 +210,38 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     return src.mapInArrow(run, f"`{id_col}` {id_type}, spans array<struct<kind:string,start:int,end:int>>, redacted string")
 
+
+
+def redact_secrets(docs: DataFrame, rule: EntropyRule = EntropyRule(), text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
+    """``docs`` with every secret replaced by its kind, and the length column (if there is one) brought up to date; no shuffle."""
+    at = docs.columns.index(text_col)
+    long_at = docs.columns.index(length_col) if length_col in docs.columns else None
+    least = min(24, rule.window)
+
+    def run(batches):
+        scanner = Scanner(rule)
+        for batch in batches:
+            for a, b, data, off in segments(batch.column(at)):
+                part = batch.slice(a, b - a)
+                raw = data.tobytes()
+                changed = {}
+                for k, (x, y, long_run) in enumerate(zip(off[:-1], off[1:], long_runs(data, off, least))):
+                    text = raw[x:y].decode("utf-8", "replace")
+                    if spans := scanner.scan(text, bool(long_run)):
+                        changed[k] = redact(text, spans)
+                if changed:
+                    columns = list(part.columns)
+                    texts = columns[at].to_pylist()
+                    for k, text in changed.items():
+                        texts[k] = text
+                    columns[at] = pa.array(texts, columns[at].type)
+                    if long_at is not None:
+                        sizes = columns[long_at].to_pylist()
+                        for k, text in changed.items():
+                            sizes[k] = len(text)
+                        columns[long_at] = pa.array(sizes, columns[long_at].type)
+                    part = pa.RecordBatch.from_arrays(columns, names=docs_columns)
+                yield part
+
+    docs_columns = docs.columns
+    return docs.mapInArrow(run, docs.schema)
