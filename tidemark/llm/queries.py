@@ -63,19 +63,48 @@ def op5(spark, sf_dir):
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source", "copies")
 
 
-@register("op7_minhash_dedup")
+_LINKED = """
+    r(a, b) AS (SELECT id, id FROM nodes UNION SELECT r.a, l.b FROM r JOIN links l ON l.a = r.b)"""
+
+
+@register("op7_minhash_dedup", r"""
+    WITH RECURSIVE w AS (SELECT doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                                '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (SELECT DISTINCT id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                                     ELSE [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)] END) AS g FROM w),
+    nodes AS (SELECT id, count(s.g) AS n FROM w LEFT JOIN s USING (id) GROUP BY id),
+    p AS (SELECT x.id AS a, y.id AS b, count(*) AS c FROM s AS x JOIN s AS y ON x.g = y.g AND x.id <> y.id GROUP BY ALL),
+    links AS MATERIALIZED (SELECT a, b FROM p JOIN nodes AS m ON m.id = a JOIN nodes AS k ON k.id = b WHERE 100 * c >= 85 * (m.n + k.n - c)),"""
+          + _LINKED + """
+    SELECT id AS doc_id, any_value(n) AS n_shingles, min(b) AS component_id, id = min(b) AS kept FROM nodes JOIN r ON r.a = id GROUP BY id""")
 def op7(spark, sf_dir):
     from tidemark.llm.minhash_dedup import near_duplicates
     return near_duplicates(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
-@register("op10_embed_dedup")
+@register("op10_embed_dedup", """
+    WITH RECURSIVE nodes AS (SELECT vec_id AS id, label, embedding::DOUBLE[] AS v FROM embeddings),
+    ok AS (SELECT * FROM nodes WHERE v IS NOT NULL AND label IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+           AND list_dot_product(v, v) > 0),
+    links AS MATERIALIZED (SELECT x.id AS a, y.id AS b FROM ok AS x JOIN ok AS y ON x.label = y.label AND x.id <> y.id AND len(x.v) = len(y.v)
+                           WHERE list_cosine_similarity(x.v, y.v) >= 0.98),"""
+          + _LINKED + """
+    SELECT id AS vec_id, (SELECT count(*) FROM links WHERE a = id) AS n_links, min(b) AS component_id, id = min(b) AS kept
+    FROM nodes JOIN r ON r.a = id GROUP BY id""")
 def op10(spark, sf_dir):
     from tidemark.llm.embed_dedup import near_duplicate_vectors
     return near_duplicate_vectors(read_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
 
 
-@register("op1_substring_dedup")
+@register("op1_substring_dedup", r"""
+    WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    g AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM w)),
+    f AS (SELECT g, min(doc_id) AS first FROM g GROUP BY g),
+    lost AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM g JOIN f USING (g) WHERE first < doc_id),
+    l AS (SELECT doc_id, list(i) AS i FROM lost GROUP BY doc_id)
+    SELECT w.doc_id, len(w) AS n_words, coalesce(len(l.i), 0) AS n_removed,
+           sha256(array_to_string(CASE WHEN l.i IS NULL THEN w ELSE [w[k] for k in range(1, len(w) + 1) if NOT list_contains(l.i, k)] END, ' ')) AS kept_sha256
+    FROM w LEFT JOIN l USING (doc_id)""")
 def op1(spark, sf_dir):
     from tidemark.llm.substring_dedup import substring_dedup
     found = substring_dedup(read_table(spark, sf_dir, "documents"))
