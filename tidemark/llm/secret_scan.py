@@ -74,14 +74,14 @@ def window_entropies(s: str, window: int) -> list[float]:
     out = []
     base = math.log2(window)
     for i, ch in enumerate(s):
-        k = count.get(ch, 0)
-        total += term[k + 1] - term[k] if k < window else 0.0
-        count[ch] = k + 1
-        if i >= window:
+        if i >= window:  # one leaves first: no count exceeds the window
             old = s[i - window]
             k = count[old]
             total += term[k - 1] - term[k]
             count[old] = k - 1
+        k = count.get(ch, 0)
+        total += term[k + 1] - term[k]
+        count[ch] = k + 1
         if i >= window - 1:
             out.append(base - total / window)
     return out
