@@ -31,8 +31,13 @@ def hash_uniform(seed, *parts) -> Column:
 
 
 def lenient_double(c) -> Column:
-    """Bad or blank numbers become 0.0 (``to_numeric(errors='coerce').fillna(0)``)."""
-    return F.coalesce(F.expr(f"try_cast(trim(cast({_sql(c)} as string)) as double)"), F.lit(0.0))
+    """Bad, blank or NaN numbers become 0.0 (``to_numeric(errors='coerce').fillna(0)``).
+
+    Java's number suffixes (``1d``, ``1f``) and hexadecimal forms are bad numbers too.
+    """
+    text = f"trim(cast({_sql(c)} as string))"
+    value = F.nanvl(F.expr(f"try_cast({text} as double)"), F.lit(0.0))
+    return F.when(F.expr(f"{text} rlike '(?i)^[+-]?0x|[0-9.][df]$'"), F.lit(0.0)).otherwise(F.coalesce(value, F.lit(0.0)))
 
 
 def _sql(c) -> str:

@@ -9,61 +9,67 @@ Kolmogorov distribution.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-try:  # ship these UDFs by value: Python workers need not import this package
-    import sys as _sys
+# these functions travel by value: Python workers need not import this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-    from pyspark import cloudpickle as _cp
-    _cp.register_pickle_by_value(_sys.modules[__name__])
-except Exception:  # noqa: BLE001 — older cloudpickle: by-reference pickling
-    pass
+_lgamma = np.vectorize(math.lgamma, otypes=[float])
 
 
-def _gammaincc(a: float, x: float) -> float:
-    if a <= 0 or x is None or math.isnan(x):
-        return float("nan")
-    if x <= 0:
-        return 1.0
-    lg = math.lgamma(a)
-    if x < a + 1:  # series for P, then Q = 1 - P
-        term = s = 1.0 / a
-        ap = a
-        for _ in range(1000):
-            ap += 1
-            term *= x / ap
-            s += term
-            if abs(term) < abs(s) * 1e-15:
-                break
-        return max(0.0, 1.0 - s * math.exp(-x + a * math.log(x) - lg))
-    b = x + 1 - a  # continued fraction for Q (modified Lentz)
-    c = 1.0 / 1e-300
+def _gammaincc(a: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Regularised upper incomplete gamma function, element by element (a > 0, x > 0).
+
+    Series for the lower part where x < a + 1, continued fraction (modified
+    Lentz) elsewhere; every step advances the whole array.
+    """
+    scale = np.exp(-x + a * np.log(x) - _lgamma(a))
+    term = total = 1.0 / a
+    ap = a.copy()
+    for _ in range(1000):
+        ap = ap + 1
+        term = term * x / ap
+        total = total + term
+        if (np.abs(term) < np.abs(total) * 1e-15)[x < a + 1].all():
+            break
+    lower = np.maximum(0.0, 1.0 - total * scale)
+    tiny = 1e-300
+    b = x + 1 - a
+    b = np.where(b == 0, tiny, b)
+    c = np.full_like(x, 1.0 / tiny)
     d = 1.0 / b
     h = d
     for i in range(1, 1000):
         an = -i * (i - a)
-        b += 2
+        b = b + 2
         d = an * d + b
-        d = 1e-300 if abs(d) < 1e-300 else d
+        d = 1.0 / np.where(np.abs(d) < tiny, tiny, d)
         c = b + an / c
-        c = 1e-300 if abs(c) < 1e-300 else c
-        d = 1.0 / d
-        delta = d * c
-        h *= delta
-        if abs(delta - 1) < 1e-15:
+        c = np.where(np.abs(c) < tiny, tiny, c)
+        h = h * d * c
+        if (np.abs(d * c - 1) < 1e-15)[x >= a + 1].all():
             break
-    return math.exp(-x + a * math.log(x) - lg) * h
+    return np.where(x < a + 1, lower, scale * h)
 
 
 @F.pandas_udf(DoubleType())
 def chi2_pvalue(stat: pd.Series, dof: pd.Series) -> pd.Series:
-    """P(X >= stat) for X ~ chi-square(dof)."""
-    return pd.Series([_gammaincc(d / 2.0, s / 2.0) if d and d > 0 else float("nan")
-                      for s, d in zip(stat, dof)])
+    """P(X >= stat) for X ~ chi-square(dof); null or NaN statistics and dof <= 0 give NaN."""
+    x, a = stat.to_numpy(float) / 2, dof.to_numpy(float) / 2
+    out = np.full(len(x), np.nan)
+    ok = np.isfinite(x) & (a > 0)
+    out[ok] = 1.0
+    more = ok & (x > 0)
+    if more.any():
+        with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
+            out[more] = np.clip(_gammaincc(a[more], x[more]), 0.0, 1.0)
+    return pd.Series(out)
 
 
 @F.pandas_udf(DoubleType())

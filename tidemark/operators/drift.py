@@ -30,8 +30,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.joins import join_keys
 from tidemark.operators.materialize import materialize
-from tidemark.operators.rank import (default_bucket_count, dist_asof_next, dist_cumsum,
-                                     unit_bucket, with_quantile_bucket)
+from tidemark.operators.rank import default_bucket_count, dist_asof_next, dist_cumsum, with_quantile_bucket
 
 # Drift thresholds.
 NUMERIC_THRESHOLD = 0.1
@@ -94,13 +93,24 @@ class ReferenceProfile:
 
 def numeric_drift(ref_long: DataFrame | None, cur_long: DataFrame, group_by,
                   n_buckets: int | None = None, threshold: float = NUMERIC_THRESHOLD,
-                  profile: ReferenceProfile | None = None) -> DataFrame:
-    """Exact W1 (raw and normalised) and KS per ``(group..., column)``."""
+                  profile: ReferenceProfile | None = None, bounded: bool = False) -> DataFrame:
+    """Exact W1 (raw and normalised) and KS per ``(group..., column)``.
+
+    Values are centred by the reference mean first: neither statistic changes,
+    and prefix sums of values far from zero keep their digits.  ``bounded``
+    says that groups are small by definition (batches of fixed size).
+    """
     g = _g(group_by)
     nb = n_buckets or default_bucket_count(cur_long.sparkSession)
     profile = profile or ReferenceProfile.build(ref_long, None)
-    stats, rd = profile.stats, profile.counts
-    cd = cur_long.groupBy(*g, "column", "value").agg(F.count(F.lit(1)).alias("n_c"))
+    stats = profile.stats
+    centre = F.broadcast(stats.select("column", "ref_mean"))  # a row per column of the table
+
+    def centred(df):
+        return df.join(centre, "column").withColumn("value", F.col("value") - F.col("ref_mean")).drop("ref_mean")
+
+    rd = centred(profile.counts)
+    cd = materialize(centred(cur_long.groupBy(*g, "column", "value").agg(F.count(F.lit(1)).alias("n_c"))), "drift_counts")
     # Reference values and the distinct probe values of all groups in one
     # union (no join): ties sorted reference-first give F(x) = P(ref <= x) at
     # a probe; the reference count at the same value gives P(ref < x).
@@ -123,7 +133,7 @@ def numeric_drift(ref_long: DataFrame | None, cur_long: DataFrame, group_by,
     # Group side: running count per (group, column) in value order.
     pts = cd.join(merged.filter("_probe").drop("_probe", "n_r"), ["column", "value"], "inner")
     n_tot = cd.groupBy(*g, "column").agg(F.sum("n_c").alias("n"))
-    pts = dist_cumsum(pts, g + ["column"], ["value"], "_vb", {"cum_c": "n_c"})
+    pts = dist_cumsum(pts, g + ["column"], ["value"], None if bounded else "_vb", {"cum_c": "n_c"})
     pts = join_keys(pts, n_tot, g + ["column"], "inner").select(
         *g, "column", "value", "F", "F_lt", "S",
         (F.col("cum_c") / F.col("n")).alias("c_hi"),
@@ -133,33 +143,37 @@ def numeric_drift(ref_long: DataFrame | None, cur_long: DataFrame, group_by,
     ks = pts.groupBy(*g, "column").agg(F.max(F.greatest(
         F.abs(F.col("F") - F.col("c_hi")), F.abs(F.col("F_lt") - F.col("c_lo")))).alias("ks"))
 
-    # Two probes per point on the CDF axis: +Phi(x, c_lo) and -Phi(x, c_hi).
-    probe_rows = pts.select(
+    # Two probes per point: +Phi(x, c_lo) and -Phi(x, c_hi).  At c = 0 and c = 1
+    # - the first and last point of every group - Phi needs no lookup: F never
+    # lies below 0 or above 1, so Phi(x, 0) = G(x) and Phi(x, 1) = x - G(x).
+    probes = pts.select(
         *g, "column", "value", (F.col("value") * F.col("F") - F.col("S")).alias("G_x"),
         F.explode(F.array(
             F.struct(F.col("c_lo").alias("c"), F.lit(1.0).alias("sign")),
             F.struct(F.col("c_hi").alias("c"), F.lit(-1.0).alias("sign")))).alias("_pr")
-    ).select(*g, "column", "value", "G_x", "_pr.c", "_pr.sign",
-             F.col("_pr.c").alias("key"), F.lit(0).alias("side"),
-             F.lit(None).cast("double").alias("m"), F.lit(None).cast("double").alias("G_m"))
+    ).select(*g, "column", "value", "G_x", "_pr.c", "_pr.sign")
+    ends = (F.col("c") <= 0) | (F.col("c") >= 1)
+    at_ends = probes.filter(ends).select(
+        *g, "column", (F.col("sign") * F.when(F.col("c") <= 0, F.col("G_x")).otherwise(F.col("value") - F.col("G_x"))).alias("_term"))
+    probe_rows = probes.filter(~ends).withColumn("key", F.col("c")).withColumn("side", F.lit(0)) \
+        .withColumn("m", F.lit(None).cast("double")).withColumn("G_m", F.lit(None).cast("double"))
     ref_rows = merged.filter(F.col("n_r") > 0).select(
         *[F.lit(None).cast(t).alias(c) for c, t in _group_types(cur_long, g)],
         "column", F.lit(None).cast("double").alias("value"), F.lit(None).cast("double").alias("G_x"),
         F.lit(None).cast("double").alias("c"), F.lit(None).cast("double").alias("sign"),
         F.col("F").alias("key"), F.lit(1).alias("side"),
         F.col("value").alias("m"), (F.col("value") * F.col("F") - F.col("S")).alias("G_m"))
-    u = probe_rows.unionByName(ref_rows)
-    u = dist_asof_next(u, ["column"], ["key", "side"], unit_bucket("key", nb),
-                       F.col("side") == 1, ["m", "G_m"])
+    u = with_quantile_bucket(materialize(probe_rows.unionByName(ref_rows), "drift_axis"), ["column"], "key", nb, name="_cb")
+    u = dist_asof_next(u, ["column"], ["key", "side"], "_cb", F.col("side") == 1, ["m", "G_m"])
     phi = (F.when(F.col("value") <= F.col("_next_m"), F.col("c") * F.col("value") - F.col("G_x"))
            .otherwise(F.col("c") * (2 * F.col("_next_m") - F.col("value")) + F.col("G_x")
                       - 2 * F.col("_next_G_m")))
-    w = (u.filter(F.col("side") == 0)
-         .groupBy(*g, "column").agg(F.sum(F.col("sign") * phi).alias("_phi")))
+    inner = u.filter(F.col("side") == 0).select(*g, "column", (F.col("sign") * phi).alias("_term"))
+    w = inner.unionByName(at_ends).groupBy(*g, "column").agg(F.sum("_term").alias("_phi"))
     out = (join_keys(w, ks, g + ["column"], "inner")
-           .join(stats.select("column", "ref_mean", "ref_std"), "column", "inner")
+           .join(stats.select("column", "ref_std"), "column", "inner")
            .select(*g, "column",
-                   F.greatest(F.col("ref_mean") + F.col("_phi"), F.lit(0.0)).alias("wasserstein"),
+                   F.greatest(F.col("_phi"), F.lit(0.0)).alias("wasserstein"),  # the centred reference mean is 0
                    "ks", "ref_std"))
     out = out.withColumn("drift_score", F.col("wasserstein") / F.col("ref_std")).drop("ref_std")
     sizes = n_tot.join(stats.select("column", "ref_n"), "column")

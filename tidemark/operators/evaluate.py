@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import clip, decide, safe_ratio
 from tidemark.operators.joins import join_keys
-from tidemark.operators.rank import default_bucket_count, dist_cumsum, unit_bucket
+from tidemark.operators.materialize import materialize
+from tidemark.operators.rank import default_bucket_count, dist_cumsum, with_quantile_bucket
 
 # Decision threshold; log-loss clipping in monitoring (1e-6)
 # and in training (machine epsilon of a double).
@@ -27,9 +28,14 @@ def _g(group_by):
     return [group_by] if isinstance(group_by, str) else list(group_by or [])
 
 
-def confusion_aggs(y: str = "y", pred: str = "pred"):
+def scored(p: str = "p"):
+    """Rows with a usable score: null and NaN scores are left out of label metrics (and counted)."""
+    return F.col(p).isNotNull() & ~F.isnan(F.col(p).cast("double"))
+
+
+def confusion_aggs(y: str = "y", pred: str = "pred", p: str | None = None):
     yc, pc = F.col(y), F.col(pred)
-    lab = yc.isNotNull()
+    lab = yc.isNotNull() & (scored(p) if p else F.lit(True))
     return {
         "tp": F.sum(F.when(lab & (yc == 1) & (pc == 1), 1).otherwise(0)).cast("long"),
         "fp": F.sum(F.when(lab & (yc == 0) & (pc == 1), 1).otherwise(0)).cast("long"),
@@ -44,21 +50,24 @@ def threshold_metrics(df: DataFrame, group_by=None, y: str = "y", p: str = "p",
     """Confusion counts, accuracy, precision, recall, F1, log loss, rates.
 
     Precision/recall/F1 are 0 when their denominator is 0; accuracy, log loss
-    and positive rate are null when the group has no labelled row.
+    and positive rate are null when the group has no labelled row.  Labelled
+    rows with a null or NaN score are left out and counted in ``n_unscored``.
     """
     g = _g(group_by)
     d = df.withColumn("_pred", F.col(pred).cast("int") if pred else decide(p, threshold))
     pc = clip(p, eps, 1 - eps)
     yc = F.col(y)
     ll = -(yc * F.log(pc) + (1 - yc) * F.log(1 - pc))
-    conf = confusion_aggs(y, "_pred")
+    conf = confusion_aggs(y, "_pred", p)
+    lab = yc.isNotNull() & scored(p)
     agg = d.groupBy(*g).agg(
         *[v.alias(k) for k, v in conf.items()],
-        F.count(yc).alias("n_labelled"),
-        F.avg(F.when(yc.isNotNull(), (yc == F.col("_pred")).cast("double"))).alias("accuracy"),
-        F.avg(F.when(yc.isNotNull(), ll)).alias("log_loss"),
-        F.avg(yc.cast("double")).alias("positive_rate"),
-        F.avg(F.col(p)).alias("mean_score"),
+        F.count(F.when(lab, 1)).alias("n_labelled"),
+        F.count(F.when(yc.isNotNull() & ~scored(p), 1)).alias("n_unscored"),
+        F.avg(F.when(lab, (yc == F.col("_pred")).cast("double"))).alias("accuracy"),
+        F.avg(F.when(lab, ll)).alias("log_loss"),
+        F.avg(F.when(lab, yc.cast("double"))).alias("positive_rate"),
+        F.avg(F.when(scored(p), F.col(p))).alias("mean_score"),
     )
     return (agg
             .withColumn("precision", safe_ratio(F.col("tp"), F.col("tp") + F.col("fp")))
@@ -67,24 +76,28 @@ def threshold_metrics(df: DataFrame, group_by=None, y: str = "y", p: str = "p",
 
 
 def score_counts(df: DataFrame, group_by=None, y: str = "y", p: str = "p",
-                 n_buckets: int | None = None) -> DataFrame:
+                 n_buckets: int | None = None, bounded: bool = False) -> DataFrame:
     """Positives/negatives per distinct score with the running count of
-    negatives (inclusive) in ascending score order, per group."""
+    negatives (inclusive) in ascending score order, per group.  ``bounded``:
+    groups are small by definition (batches of fixed size)."""
     g = _g(group_by)
     nb = n_buckets or default_bucket_count(df.sparkSession)
-    c = (df.filter(F.col(y).isNotNull())
+    c = (df.filter(F.col(y).isNotNull() & scored(p))
            .groupBy(*g, F.col(p).alias("score"))
            .agg(F.sum(F.col(y).cast("long")).alias("pos"),
                 F.sum((1 - F.col(y)).cast("long")).alias("neg")))
-    return dist_cumsum(c, g, ["score"], unit_bucket("score", nb),
-                       {"cum_neg": "neg", "cum_pos": "pos"})
+    sums = {"cum_neg": "neg", "cum_pos": "pos"}
+    if bounded:
+        return dist_cumsum(c, g, ["score"], None, sums)
+    c = materialize(c, "score-counts")  # scores may crowd anywhere in [0, 1]: buckets by share
+    return dist_cumsum(with_quantile_bucket(c, g, "score", nb, name="_sb"), g, ["score"], "_sb", sums).drop("_sb")
 
 
 def roc_auc(df: DataFrame, group_by=None, y: str = "y", p: str = "p",
-            n_buckets: int | None = None) -> DataFrame:
-    """Exact ROC AUC per group; null when a group has one class only."""
+            n_buckets: int | None = None, bounded: bool = False) -> DataFrame:
+    """Exact ROC AUC per group over scored rows; null when a group has one class only."""
     g = _g(group_by)
-    c = score_counts(df, g, y, p, n_buckets)
+    c = score_counts(df, g, y, p, n_buckets, bounded)
     per = c.groupBy(*g).agg(
         F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") / 2.0)).alias("_s"),
         F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
@@ -108,11 +121,11 @@ def roc_points(df: DataFrame, group_by=None, y: str = "y", p: str = "p",
 
 def classification_metrics(df: DataFrame, group_by=None, y: str = "y", p: str = "p",
                            pred: str | None = None, threshold: float = THRESHOLD,
-                           n_buckets: int | None = None, eps: float = LOGLOSS_EPS) -> DataFrame:
+                           n_buckets: int | None = None, eps: float = LOGLOSS_EPS, bounded: bool = False) -> DataFrame:
     """All metrics of one group in one row: threshold metrics joined to AUC."""
     g = _g(group_by)
     t = threshold_metrics(df, g, y, p, pred, threshold, eps)
-    a = roc_auc(df, g, y, p, n_buckets)
+    a = roc_auc(df, g, y, p, n_buckets, bounded)
     if not g:
         return t.crossJoin(a)
     return join_keys(t, a, g, "left")

@@ -21,8 +21,6 @@ from tidemark.functions.columns import count_equal, dict_map, smoothed_ratio
 # The binary dictionary of the reference.
 BINARY_MAP = {"Yes": 1, "No": 0}
 
-MAX_CATEGORIES = 1000
-
 
 def q(name: str):
     """Column by name; names may hold spaces or brackets."""
@@ -53,25 +51,29 @@ def one_hot_columns(column: str, categories: Sequence[str], drop_first: bool = T
     return [F.coalesce((q(column) == F.lit(v)).cast("int"), F.lit(0)).alias(f"{column}_{v}") for v in cats]
 
 
-def fit_categories(df: DataFrame, columns: Sequence[str], max_categories: int = MAX_CATEGORIES) -> dict:
+def category_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column, value)`` of every observed category: one distributed distinct."""
+    sel = df.select(*[q(c).cast("string").alias(c) for c in columns])
+    return sel.unpivot([], list(columns), "column", "value").filter(F.col("value").isNotNull()).distinct()
+
+
+def fit_categories(df: DataFrame, columns: Sequence[str], max_categories: int | None = None) -> dict:
     """Observed categories per column, sorted.
 
-    One distributed ``distinct`` over the unpivoted ``(column, value)`` pairs;
-    at most ``columns x (max_categories + 1)`` rows ever reach the driver, so
-    a high-cardinality column fails the check instead of the driver.
+    The result names output columns, so it lives on the driver.  With
+    ``max_categories`` a column that has more raises an error, and at most
+    ``columns x (max_categories + 1)`` rows are fetched; by default there is
+    no limit.
     """
     if not columns:
         return {}
-    sel = df.select(*[q(c).cast("string").alias(c) for c in columns])
-    pairs = (sel.unpivot([], list(columns), "column", "value").filter(F.col("value").isNotNull())
-             .distinct())
-    bound = len(columns) * (max_categories + 1)
-    rows = pairs.limit(bound + 1).collect()
+    pairs = category_table(df, columns)
+    rows = (pairs if max_categories is None else pairs.limit(len(columns) * (max_categories + 1) + 1)).collect()
     out = {c: [] for c in columns}
     for r in rows:
         out[r["column"]].append(r["value"])
     for c, v in out.items():
-        if len(v) > max_categories:
+        if max_categories is not None and len(v) > max_categories:
             raise ValueError(f"{c}: more than {max_categories} categories")
         out[c] = sorted(v)
     return out

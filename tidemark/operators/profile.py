@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from tidemark.operators.joins import join_keys
-from tidemark.operators.rank import default_bucket_count, dist_rank, with_quantile_bucket
+from tidemark.operators.materialize import materialize
+from tidemark.operators.rank import default_bucket_count, dist_cumsum, with_quantile_bucket
 
 
 def _q(c):
@@ -67,40 +68,52 @@ def skewness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return row.select(*adj).unpivot([], list(columns), "column", "skewness")
 
 
-WIDE_CORRELATION = 60
+def correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Pearson correlation of every pair of columns, long form ``(a, b, corr)``.
 
-
-def correlation(df: DataFrame, columns: Sequence[str], method: str | None = None) -> DataFrame:
-    """Pearson correlation of every pair (upper triangle and diagonal mirrored),
-    long form ``(a, b, corr)``.
-
-    ``pairwise`` (default up to 60 columns): one aggregation of all
-    ``corr(a, b)``; each pair uses the rows where both are non-null.
-    ``matrix`` (wider inputs): MLlib ``Correlation`` over assembled vectors —
-    one pass computing the whole matrix from partial sums; rows with a null
-    in any column are left out of it (complete rows).
+    Each pair uses the rows where both are non-null, at any width.  One pass
+    over Arrow batches adds up products of zero-filled centred values, their
+    squares and presence masks (four small matrix products per batch); partial
+    sums per task are added by an aggregate over the pairs.  Centring by the
+    column means keeps the sums accurate.  A pair without variance is null.
     """
-    method = method or ("matrix" if len(columns) > WIDE_CORRELATION else "pairwise")
-    if method == "matrix":
-        return _correlation_matrix(df, columns)
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    wide = df.agg(*[F.corr(_q(a).cast("double"), _q(b).cast("double")).alias(f"{a}|{b}") for a, b in pairs])
-    names = [f"{a}|{b}" for a, b in pairs]
-    long = wide.unpivot([], [F.col(f"`{n}`") for n in names], "pair", "corr")
-    upper = long.select(F.split("pair", r"\|")[0].alias("a"), F.split("pair", r"\|")[1].alias("b"), "corr")
-    lower = upper.select(F.col("b").alias("a"), F.col("a").alias("b"), "corr")
-    diag = df.sparkSession.createDataFrame([(c, c, 1.0) for c in columns], "a string, b string, corr double")
-    return upper.unionByName(lower).unionByName(diag)
-
-
-def _correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-    vec = VectorAssembler(inputCols=list(columns), outputCol="_v", handleInvalid="skip") \
-        .transform(df.select(*[_q(c).cast("double").alias(c) for c in columns]))
-    m = Correlation.corr(vec, "_v", "pearson").first()[0].toArray()  # columns x columns
-    rows = [(a, b, float(m[i][j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
-    return df.sparkSession.createDataFrame(rows, "a string, b string, corr double")
+    cols = list(columns)
+    k = len(cols)
+    sel = df.select(*[_q(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    means = sel.agg(*[F.avg(f"c{i}").alias(f"c{i}") for i in range(k)]).first()
+    centre = [float(m) if m is not None and math.isfinite(m) else 0.0 for m in means]
+
+    def gram(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        total = np.zeros((4, k, k))  # rows of both; sums of a; sums of a squared; products
+        for batch in batches:
+            x = np.column_stack([np.asarray(c.to_numpy(zero_copy_only=False), float) for c in batch.columns])
+            there = ~np.column_stack([np.asarray(c.is_null()) for c in batch.columns])
+            x = np.where(there, x - centre, 0.0)
+            m = there.astype(float)
+            total += np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
+        i, j = np.divmod(np.arange(k * k), k)
+        names = ("n", "s", "ss", "p")
+        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), *(pa.array(t.ravel()) for t in total)], names=["i", "j", *names])
+
+    sums = (sel.mapInArrow(gram, "i long, j long, n double, s double, ss double, p double")
+            .groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "s", "ss", "p")]))
+    # sums of b come from the mirrored pair: least / greatest make both rows meet
+    pair = sums.groupBy(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b")).agg(
+        F.max("n").alias("n"), F.max("p").alias("p"),
+        *[F.max(F.when(F.col("i") <= F.col("j"), F.col(c))).alias(f"{c}a") for c in ("s", "ss")],
+        *[F.max(F.when(F.col("i") >= F.col("j"), F.col(c))).alias(f"{c}b") for c in ("s", "ss")])
+    cov = F.col("p") - F.col("sa") * F.col("sb") / F.col("n")
+    var = (F.col("ssa") - F.col("sa") * F.col("sa") / F.col("n")) * (F.col("ssb") - F.col("sb") * F.col("sb") / F.col("n"))
+    corr = F.when(F.col("a") == F.col("b"), F.lit(1.0)).when((F.col("n") > 1) & (var > 0), cov / F.sqrt(var))
+    names = F.array(*[F.lit(c) for c in cols])
+    upper = pair.select("a", "b", corr.alias("corr"))
+    both = upper.select("corr", F.explode(F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b"))).otherwise(
+        F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))).alias("x"))
+    return both.select(F.element_at(names, (F.col("x.a") + 1).cast("int")).alias("a"),
+                       F.element_at(names, (F.col("x.b") + 1).cast("int")).alias("b"), "corr")
 
 
 def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
@@ -158,18 +171,23 @@ def contingency(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
 
 
 def exact_median(df: DataFrame, column: str, group_by: Sequence[str] = (), n_buckets: int | None = None) -> DataFrame:
-    """Exact median (mean of the two middle values) from a distributed rank —
-    no per-group collection of values."""
+    """Exact median (mean of the two middle values) from running counts.
+
+    Rows are first reduced to counts per distinct value, so ties - a 0/1
+    column, say - cost a row; the running counts are a distributed prefix sum.
+    """
     g = list(group_by)
     nb = n_buckets or default_bucket_count(df.sparkSession)
-    x = df.select(*g, _q(column).cast("double").alias("x")).filter(F.col("x").isNotNull())
-    cnt = x.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
-    b = with_quantile_bucket(x, g, "x", nb, name="_qb")
-    # Ties share a value, so the value at a rank does not depend on tie order.
-    r = dist_rank(b, g, ["x"], "_qb", name="_r")
+    c = (df.select(*g, _q(column).cast("double").alias("x")).filter(F.col("x").isNotNull())
+         .groupBy(*g, "x").agg(F.count(F.lit(1)).alias("_k")))
+    c = materialize(c, "value-counts")
+    cnt = c.groupBy(*g).agg(F.sum("_k").alias("_n"))
+    r = dist_cumsum(with_quantile_bucket(c, g, "x", nb, name="_qb"), g, ["x"], "_qb", {"_r": "_k"})
     r = join_keys(r, cnt, g, "inner") if g else r.crossJoin(F.broadcast(cnt))
-    mid = r.filter((F.col("_r") == F.floor((F.col("_n") + 1) / 2)) | (F.col("_r") == F.ceil((F.col("_n") + 1) / 2)))
-    return mid.groupBy(*g).agg(F.avg("x").alias("median"))
+    lo, hi = F.floor((F.col("_n") + 1) / 2), F.ceil((F.col("_n") + 1) / 2)
+    holds = lambda at: (F.col("_r") >= at) & (F.col("_r") - F.col("_k") < at)
+    mid = r.filter(holds(lo) | holds(hi))
+    return mid.groupBy(*g).agg((F.min("x") / 2 + F.max("x") / 2).alias("median"))
 
 
 def score_summary(df: DataFrame, column: str, group_by: Sequence[str] = (), approx: bool = False) -> DataFrame:

@@ -51,33 +51,23 @@ def unit_bucket(c, n_buckets: int) -> Column:
     return F.greatest(F.least(F.floor(col * F.lit(n_buckets)), F.lit(n_buckets - 1)), F.lit(0)).cast("int")
 
 
-MAX_BOUNDARIES = 1_000_000
-
-
 def with_quantile_bucket(df: DataFrame, partition_by, value: str, n_buckets: int,
-                         accuracy: int = 10000, name: str = BKT) -> DataFrame:
-    """Add a bucket column from approximate quantiles of ``value`` per key.
-
-    Boundaries come from ``percentile_approx`` (a mergeable sketch: one pass
-    with partial aggregation), one array per key.  The arrays of all keys are
-    merged into one sorted split list (keys x buckets values, checked against
-    ``MAX_BOUNDARIES``) and applied with a binary search (``Bucketizer``), so
-    a row costs O(log buckets).  A merged list is still monotone in
-    ``value``, and every key's own quantiles are in it, so each key is split
-    evenly.  Ties land in one bucket.
+                         accuracy: int | None = None, name: str = BKT) -> DataFrame:
+    """Add a bucket column from approximate quantiles of ``value`` over the whole table.
+
+    Buckets are monotone in ``value``, so they serve every key: no ``(key,
+    bucket)`` holds more than about ``1 / n_buckets`` of all rows, however the
+    rows spread over keys.  The ``n_buckets - 1`` boundaries come from
+    ``percentile_approx`` (a mergeable sketch, one pass) and are applied with a
+    binary search (``Bucketizer``).  Ties land in one bucket; callers that
+    expect many reduce their rows to counts per distinct value first.
+    ``partition_by`` names the keys for the reader's sake.
     """
     from pyspark.ml.feature import Bucketizer
 
-    parts = _names(partition_by)
     probs = F.array(*[F.lit(i / n_buckets) for i in range(1, n_buckets)])
-    bounds = (df.groupBy(*parts)
-                .agg(F.percentile_approx(F.col(value).cast("double"), probs, accuracy).alias("_b"))
-                .select(F.explode("_b").alias("_b")).distinct())
-    rows = bounds.limit(MAX_BOUNDARIES + 1).collect()
-    if len(rows) > MAX_BOUNDARIES:
-        raise ValueError("too many bucket boundaries; lower n_buckets or use fewer keys")
-    splits = sorted(r["_b"] for r in rows if r["_b"] is not None)
-    inner = [x for x in splits if x not in (float("-inf"), float("inf"))]
+    row = df.agg(F.percentile_approx(F.col(value).cast("double"), probs, accuracy or max(10000, 10 * n_buckets)).alias("_b")).first()
+    inner = sorted({x for x in (row["_b"] or []) if x is not None and x == x and abs(x) != float("inf")})
     if not inner:  # one bucket (or no values): nothing to search
         return df.withColumn(name, F.lit(0))
     splits = [float("-inf")] + inner + [float("inf")]
@@ -87,15 +77,23 @@ def with_quantile_bucket(df: DataFrame, partition_by, value: str, n_buckets: int
     return out.withColumn(name, F.col(name + "_d").cast("int")).drop(tmp, name + "_d")
 
 
-def dist_cumsum(df: DataFrame, partition_by, order_by: Sequence, bucket: Column | str,
+def dist_cumsum(df: DataFrame, partition_by, order_by: Sequence, bucket: Column | str | None,
                 sums: dict[str, Column | str], inclusive: bool = True) -> DataFrame:
     """Running sums in ``order_by`` order within ``partition_by``.
 
-    ``bucket`` must be non-decreasing in ``order_by`` within each key.
-    ``sums`` maps output name -> column to accumulate.  With ``inclusive``
-    the current row is included (ROWS UNBOUNDED PRECEDING .. CURRENT ROW).
+    ``bucket`` must be non-decreasing in ``order_by`` within each key; None
+    says that every key is small by definition (a batch of fixed size), and a
+    plain window does.  ``sums`` maps output name -> column to accumulate.
+    With ``inclusive`` the current row is included (ROWS UNBOUNDED PRECEDING
+    .. CURRENT ROW).
     """
     parts = _names(partition_by)
+    if bucket is None:
+        hi = Window.currentRow if inclusive else -1
+        w = Window.partitionBy(*parts).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, hi)
+        for name, expr in sums.items():
+            df = df.withColumn(name, F.coalesce(F.sum(F.col(expr) if isinstance(expr, str) else expr).over(w), F.lit(0)))
+        return df
     b = df.withColumn(BKT, F.col(bucket) if isinstance(bucket, str) else bucket)
     tmp = {name: f"_v_{i}" for i, name in enumerate(sums)}
     for name, expr in sums.items():

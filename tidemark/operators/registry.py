@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 from typing import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,15 +20,25 @@ ALIASES_SCHEMA = "name string, alias string, version int, set_at timestamp"
 
 
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The table, or an empty one if its folder does not exist yet; any other error is raised."""
     try:
         return spark.read.schema(schema).parquet(path)
-    except Exception:  # noqa: BLE001 — table not created yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 
-def log_run(spark: SparkSession, root: str, run_id: str, params: dict, metrics: dict, tags: dict | None = None):
-    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    spark.createDataFrame([(run_id, now, str(tags or {}))], "run_id string, started_at timestamp, tags string") \
+def _now() -> _dt.datetime:
+    """An instant (with its zone, so that the driver's zone does not matter)."""
+    return _dt.datetime.now(_dt.timezone.utc)
+
+
+def log_run(spark: SparkSession, root: str, run_id: str, params: dict, metrics: dict, tags: dict | None = None,
+            parent: str | None = None):
+    """One run: its row (with the parent run, if it is a fold of one), parameters and metrics."""
+    spark.createDataFrame([(run_id, parent, _now(), {k: str(v) for k, v in (tags or {}).items()})],
+                          "run_id string, parent string, started_at timestamp, tags map<string,string>") \
         .write.mode("append").parquet(f"{root}/runs")
     spark.createDataFrame([(run_id, k, str(v)) for k, v in params.items()] or [(run_id, "", "")],
                           "run_id string, key string, value string").write.mode("append").parquet(f"{root}/run_params")
@@ -42,23 +53,23 @@ def append_trials(spark: SparkSession, root: str, study: str, family: str, trial
     prev = _read(spark, path, "study string, family string, number int, params string, value double")
     start = prev.filter((F.col("study") == study) & (F.col("family") == family)) \
                 .agg(F.coalesce(F.max("number") + 1, F.lit(0))).first()[0]
-    rows = [(study, family, start + i, p, float(v)) for i, (p, v) in enumerate(trials)]
+    rows = [(study, family, start + i, p, None if v is None else float(v)) for i, (p, v) in enumerate(trials)]
     spark.createDataFrame(rows, "study string, family string, number int, params string, value double") \
         .write.mode("append").parquet(path)
 
 
 def best_trial(trials: DataFrame) -> DataFrame:
-    """Best over all stored trials per study/family; ties -> lowest number."""
+    """Best over all stored trials per study/family; ties -> lowest number.  A trial without a value (null, NaN) loses to any other."""
+    value = F.coalesce(F.nanvl("value", F.lit(None).cast("double")), F.lit(float("-inf")))
     return trials.groupBy("study", "family").agg(
-        F.max_by(F.struct("number", "params", "value"),
-                 F.struct(F.col("value"), -F.col("number"))).alias("b")
+        F.max_by(F.struct("number", "params", "value"), F.struct(value, -F.col("number"))).alias("b")
     ).select("study", "family", "b.number", "b.params", "b.value")
 
 
 def register_version(spark: SparkSession, root: str, name: str, run_id: str, uri: str, auc) -> int:
     versions = _read(spark, f"{root}/model_versions", VERSIONS_SCHEMA)
     nxt = versions.filter(F.col("name") == name).agg(F.coalesce(F.max("version") + 1, F.lit(1))).first()[0]
-    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    now = _now()
     spark.createDataFrame([(name, int(nxt), run_id, uri, None if auc is None else float(auc), now)],
                           VERSIONS_SCHEMA).write.mode("append").parquet(f"{root}/model_versions")
     return int(nxt)
@@ -68,13 +79,14 @@ def champion(spark: SparkSession, root: str, name: str, alias: str = "champion")
     """Current alias target joined to its version row (model information)."""
     aliases = _read(spark, f"{root}/model_aliases", ALIASES_SCHEMA).filter(
         (F.col("name") == name) & (F.col("alias") == alias))
-    cur = aliases.groupBy("name", "alias").agg(F.max_by("version", "set_at").alias("version"))
+    cur = aliases.groupBy("name", "alias").agg(F.max_by("version", F.struct("set_at", "version")).alias("version"))
     versions = _read(spark, f"{root}/model_versions", VERSIONS_SCHEMA)
     return cur.join(versions, ["name", "version"], "left")
 
 
 def should_promote(champion_auc, new_auc) -> bool:
-    return champion_auc is None or (new_auc is not None and new_auc > champion_auc)
+    known = lambda v: v is not None and v == v  # noqa: E731  NaN is no metric
+    return not known(champion_auc) or (known(new_auc) and new_auc > champion_auc)
 
 
 def promote_if_better(spark: SparkSession, root: str, name: str, version: int, new_auc,
@@ -83,7 +95,7 @@ def promote_if_better(spark: SparkSession, root: str, name: str, version: int, n
     champ_auc = ch[0]["auc"] if ch else None
     if ch and not should_promote(champ_auc, new_auc):
         return False
-    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    now = _now()
     spark.createDataFrame([(name, alias, int(version), now)], ALIASES_SCHEMA) \
         .write.mode("append").parquet(f"{root}/model_aliases")
     return True

@@ -44,14 +44,17 @@ def range_rule(field: str, ge=None, le=None) -> Rule:
         ok = ok & (c >= F.lit(ge))
     if le is not None:
         ok = ok & (c <= F.lit(le))
-    return Rule(field, "range", c.isNull() | ok)
+    return Rule(field, "range", c.isNull() | (~F.isnan(c) & ok))  # NaN is in no range
 
 
 def required_rule(field: str, type_name: str | None = None) -> Rule:
-    """Present, non-null and castable to ``type_name``."""
+    """Present, non-null (NaN counts as missing) and castable to ``type_name``."""
     ok = _q(field).isNotNull()
     if type_name:
-        ok = ok & F.expr(f"try_cast(`{field}` as {type_name})").isNotNull()
+        value = F.expr(f"try_cast(`{field}` as {type_name})")
+        ok = ok & value.isNotNull()
+        if type_name in ("double", "float"):
+            ok = ok & ~F.coalesce(F.isnan(value), F.lit(False))
     return Rule(field, "required", ok)
 
 

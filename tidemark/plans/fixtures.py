@@ -67,23 +67,23 @@ def churn_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders")
     cust = read_table(spark, sf_dir, "customer")
     cutoff = F.lit(CHURN_CUTOFF).cast("timestamp_ntz")
-    hist = (orders.filter(F.col("o_orderdate") < cutoff)
-            .groupBy("o_custkey")
-            .agg(F.count(F.lit(1)).alias("n_orders"),
-                 F.sum("o_totalprice").alias("total_spend"),
-                 F.datediff(cutoff, F.min("o_orderdate")).alias("tenure_days"),
-                 F.max(F.when(F.col("o_orderpriority") == "1-URGENT", 1).otherwise(0)).alias("has_urgent"),
-                 F.max(F.when(F.col("o_orderpriority") == "5-LOW", 1).otherwise(0)).alias("has_low"),
-                 F.max(F.when(F.col("o_orderstatus") == "P", 1).otherwise(0)).alias("has_pending")))
-    later = (orders.filter(F.col("o_orderdate") >= cutoff)
-             .select(F.col("o_custkey").alias("_later")).distinct())
-    m = (cust.select(F.col("c_custkey").alias("id"), "c_mktsegment", "c_acctbal")
-         .join(hist, F.col("id") == F.col("o_custkey"), "inner")
-         .join(later, F.col("id") == F.col("_later"), "left"))
+    before = F.col("o_orderdate") < cutoff
+    flag = lambda hit: F.max(F.when(before & hit, 1).otherwise(0))
+    # one scan and one aggregate of the orders: history before the cut-off, and whether any follows
+    hist = (orders.groupBy("o_custkey")
+            .agg(F.count(F.when(before, 1)).alias("n_orders"),
+                 F.sum(F.when(before, F.col("o_totalprice"))).alias("total_spend"),
+                 F.datediff(cutoff, F.min(F.when(before, F.col("o_orderdate")))).alias("tenure_days"),
+                 flag(F.col("o_orderpriority") == "1-URGENT").alias("has_urgent"),
+                 flag(F.col("o_orderpriority") == "5-LOW").alias("has_low"),
+                 flag(F.col("o_orderstatus") == "P").alias("has_pending"),
+                 F.max((F.col("o_orderdate") >= cutoff).cast("int")).alias("_later"))
+            .filter("n_orders > 0"))
+    m = cust.select(F.col("c_custkey").alias("id"), "c_mktsegment", "c_acctbal").join(hist, F.col("id") == F.col("o_custkey"))
     return m.select(
         "id", "c_mktsegment", "c_acctbal", "o_custkey", "n_orders", "total_spend", "tenure_days",
         "has_urgent", "has_low", "has_pending",
-        F.when(F.col("_later").isNull(), F.lit("Yes")).otherwise(F.lit("No")).alias("churn"))
+        F.when(F.col("_later") == 1, F.lit("No")).otherwise(F.lit("Yes")).alias("churn"))
 
 
 def yes_no(c) -> F.Column:

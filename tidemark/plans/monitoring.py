@@ -7,7 +7,7 @@ loop over batches.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from typing import Sequence
 
 from pyspark.sql import DataFrame
@@ -27,7 +27,7 @@ class MonitorSpec:
     group_by: Sequence[str] = ("data_source", "batch_id")
     ts: str | None = "ts"
     intensity: str | None = None
-    extra: dict = field(default_factory=dict)
+    bounded: bool = True  # groups are batches of a fixed size
 
 
 EVENTS_SPEC = MonitorSpec(numeric=("value",), categorical=("event_type",))
@@ -53,7 +53,7 @@ def drift_table(reference: DataFrame | None, current: DataFrame, spec: MonitorSp
     g = list(spec.group_by)
     profile = profile or reference_profile(reference, spec)
     num_cols = list(spec.numeric) + [spec.prediction]
-    num = D.numeric_drift(None, D.to_long(current, g, num_cols), g, profile=profile)
+    num = D.numeric_drift(None, D.to_long(current, g, num_cols), g, profile=profile, bounded=spec.bounded)
     cat_cols = list(spec.categorical) + [spec.target]
     cat = D.categorical_drift(None, D.to_long(current, g, cat_cols, "string"), g, profile=profile)
     return (num.select(*g, "column", F.lit("numeric").alias("kind"), "drift_score", "drifted")
@@ -94,7 +94,7 @@ def batch_metrics(reference: DataFrame | None, current: DataFrame, spec: Monitor
         basic_aggs.append(F.max(F.col(spec.intensity)).alias("drift_intensity"))
     basic = current.groupBy(*g).agg(*basic_aggs)
 
-    q = classification_metrics(current, g, spec.target, spec.prediction)
+    q = classification_metrics(current, g, spec.target, spec.prediction, bounded=spec.bounded)
     q = q.select(*g, F.col("positive_rate").alias("churn_rate"), "accuracy", "roc_auc", "log_loss")
 
     ncols = F.lit(base_cols) + F.when(labelled, 1).otherwise(0)

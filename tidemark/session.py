@@ -9,8 +9,10 @@ never overridden.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import SparkSession
@@ -33,9 +35,7 @@ def get_session(master: str | None = None, app: str = "tidemark",
                 extra: dict | None = None) -> SparkSession:
     active = SparkSession.getActiveSession()
     if active is not None:
-        # a running (cluster- or caller-configured) session is used as is
-        checkpoint_dir(active)
-        return active
+        return active  # a running (cluster- or caller-configured) session is used as is
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
@@ -47,26 +47,29 @@ def get_session(master: str | None = None, app: str = "tidemark",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark
 
 
+_local_scratch: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names shared storage and is read as is.  Only
-    when it is unset (local tests) a scratch folder is created and set.
+    The setting is read, never changed.  Where it is unset, a local session
+    (one machine) gets a temporary folder; on a cluster that is an error,
+    because other machines would not see such a folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    try:  # classic sessions: also the RDD checkpoint folder
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(d)
-    except Exception:  # noqa: BLE001 — no SparkContext (Spark Connect)
-        pass
-    return d
+    if d:
+        return d
+    app = session_key(spark)
+    if app not in _local_scratch:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        _local_scratch[app] = tempfile.mkdtemp(prefix="tidemark-")
+    return _local_scratch[app]
 
 
 _shipped: set[str] = set()
@@ -98,17 +101,29 @@ def session_key(spark: SparkSession) -> str:
     return spark.conf.get("spark.app.id", None) or str(id(spark))
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for intermediate tables."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{os.getpid()}-{next(_seq)}"
+def scratch_folder(spark: SparkSession) -> str:
+    """This application's folder of intermediate tables under the checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/tidemark-{session_key(spark)}"
+
 
+_used: dict[str, SparkSession] = {}
 
-def _counter():
-    i = 0
-    while True:
-        i += 1
-        yield i
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path for an intermediate table; the tables go when the application ends."""
+    folder = scratch_folder(spark)
+    if folder not in _used:
+        _used[folder] = spark
+        atexit.register(clear_scratch, spark)
+    return f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-_seq = _counter()
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables (results that still read them become invalid)."""
+    sc = spark.sparkContext
+    if sc._jsc is None:  # already stopped: the folder could only be reached by another session
+        return
+    folder = scratch_folder(spark)
+    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    _used.pop(folder, None)
