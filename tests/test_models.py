@@ -27,14 +27,14 @@ def test_cv_and_scoring(spark):
 def test_search_draws_are_seeded():
     a = M.draw(42, "boost", 3)
     assert a == M.draw(42, "boost", 3) and a != M.draw(42, "boost", 4)
-    assert 10 <= a["maxIter"] <= 60 and 0.01 <= a["stepSize"] <= 0.3
+    assert 300 <= a["maxIter"] <= 2000 and 0.01 <= a["stepSize"] <= 0.3 and 0.4 <= float(a["featureSubsetStrategy"]) <= 1
 
 
 def test_search_resumes_and_best_is_over_all_runs(spark, tmp_path):
     from tidemark.operators import registry as REG
     root = str(tmp_path / "reg")
-    TR.search(spark, SF_SMALL, "forest", 1, root)
-    trials = TR.search(spark, SF_SMALL, "forest", 1, root)
+    TR.search(spark, SF_SMALL, "forest", 1, root, space=M.SMALL_SPACE)
+    trials = TR.search(spark, SF_SMALL, "forest", 1, root, space=M.SMALL_SPACE)
     assert sorted(r["number"] for r in trials.collect()) == [0, 1]
     best = REG.best_trial(trials).first()
     assert best["value"] == max(r["value"] for r in trials.collect())

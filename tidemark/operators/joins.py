@@ -20,4 +20,5 @@ def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str] | str, how:
         raise ValueError("no join keys; cross-join one-row tables explicitly")
     r = right.select(*[F.col(f"`{c}`").alias("_r_" + c) if c in keys else F.col(f"`{c}`") for c in right.columns])
     cond = [F.col(f"`{k}`").eqNullSafe(F.col(f"`_r_{k}`")) for k in keys]
-    return left.join(r, cond, how).drop(*["_r_" + k for k in keys])
+    out = left.join(r, cond, how)
+    return out if how in ("left_semi", "left_anti") else out.drop(*["_r_" + k for k in keys])

@@ -11,6 +11,7 @@ projection — no join, no shuffle.
 
 from __future__ import annotations
 
+import json
 from concurrent.futures import ThreadPoolExecutor
 from typing import Sequence
 
@@ -90,26 +91,31 @@ def out_of_fold(df: DataFrame, models: dict, fold_col: str = "fold", keep=("id",
     return out
 
 
+def mean_of(columns: Sequence[str]):
+    """Equal-weight mean of score columns: folds of a family (M5), families of the ensemble (M6)."""
+    return sum((F.col(c) for c in columns[1:]), F.col(columns[0])) / len(columns)
+
+
 def fold_mean_score(df: DataFrame, models: dict, keep=("id",)) -> DataFrame:
     """Score with every fold model: per family the mean of its K fold
     probabilities (M5), and the equal-weight ensemble of family means (M6).
 
-    The transforms are chained on one frame (each adds a probability column,
-    the vectors are dropped right away), then one projection averages.
+    The feature vector is assembled once; the tree stages are chained on one
+    frame (each adds a probability column), then one projection averages.
     """
-    cur = df
+    ordered = sorted(models.items())
+    first = ordered[0][1].stages[0]
+    if any(m.stages[0].getInputCols() != first.getInputCols() for _, m in ordered):
+        raise ValueError("the fold models were fitted on different feature lists")
+    cur = first.transform(df)
     cols = {}
-    for n, ((fam, i), m) in enumerate(sorted(models.items())):
-        model_out = m.transform(cur)
+    for (fam, i), m in ordered:
         name = f"_p_{fam}_{i}"
-        cur = model_out.withColumn(name, vector_to_array("probability")[1]) \
-                       .drop("features", "rawPrediction", "probability", "prediction")
+        cur = m.stages[-1].transform(cur).withColumn(name, vector_to_array("probability")[1]) \
+               .drop("rawPrediction", "probability", "prediction")
         cols.setdefault(fam, []).append(name)
-    fam_means = {f: sum((F.col(c) for c in cs[1:]), F.col(cs[0])) / len(cs) for f, cs in cols.items()}
-    out = cur.select(*keep, *[e.alias(f"p_{f}") for f, e in fam_means.items()])
-    fams = list(fam_means)
-    ens = sum((F.col(f"p_{f}") for f in fams[1:]), F.col(f"p_{fams[0]}")) / len(fams)
-    return out.withColumn("churn_probability", ens)
+    out = cur.select(*keep, *[mean_of(cs).alias(f"p_{f}") for f, cs in cols.items()])
+    return out.withColumn("churn_probability", mean_of([f"p_{f}" for f in cols]))
 
 
 def top_importance(spark, models: dict, features: Sequence[str], n: int = 15) -> DataFrame:
@@ -127,18 +133,51 @@ def top_importance(spark, models: dict, features: Sequence[str], n: int = 15) ->
     return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
+# ---------------------------------------------------------------- artifacts
+
+MANIFEST_SCHEMA = "family string, fold int, path string, params string, features array<string>"
+
+
+def save_models(spark, models: dict, uri: str, features: Sequence[str], params: dict | None = None) -> None:
+    """Save every fold model under ``uri`` (never over an existing one) with a
+    manifest: path, parameters and the ordered feature list of each."""
+    rows = []
+    for (fam, i), m in sorted(models.items()):
+        m.save(f"{uri}/{fam}_{i}")
+        rows.append((fam, int(i), f"{uri}/{fam}_{i}", json.dumps({**DEFAULT_PARAMS[fam], **((params or {}).get(fam) or {})}, sort_keys=True), list(features)))
+    spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.parquet(f"{uri}/manifest")
+
+
+def load_models(spark, uri: str) -> tuple[dict, list[str]]:
+    """({(family, fold): model}, feature list) from a manifest."""
+    rows = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{uri}/manifest").collect()  # a row per fold model
+    return {(r["family"], r["fold"]): PipelineModel.load(r["path"]) for r in rows}, list(rows[0]["features"])
+
+
 # ---------------------------------------------------------------- search
 
+# The reference's search ranges, for the parameters that MLlib
+# has (trees, depth, step size, row and column sampling, leaf size, minimum
+# gain).  Leaf counts and leaf penalties have no MLlib counterpart.
 SPACE = {
-    "boost": {"maxIter": ("int", 10, 60), "maxDepth": ("int", 3, 5), "stepSize": ("log", 0.01, 0.3),
-              "subsamplingRate": ("uniform", 0.6, 1.0), "minInstancesPerNode": ("int", 1, 20)},
-    "forest": {"numTrees": ("int", 10, 60), "maxDepth": ("int", 3, 6),
-               "subsamplingRate": ("uniform", 0.6, 1.0), "minInstancesPerNode": ("int", 1, 20)},
+    "boost": {"maxIter": ("int", 300, 2000), "maxDepth": ("int", 3, 10), "stepSize": ("log", 0.01, 0.3),
+              "subsamplingRate": ("uniform", 0.5, 1.0), "featureSubsetStrategy": ("share", 0.4, 1.0),
+              "minInstancesPerNode": ("int", 5, 50)},
+    "forest": {"numTrees": ("int", 300, 2000), "maxDepth": ("int", 3, 10),
+               "subsamplingRate": ("uniform", 0.5, 1.0), "featureSubsetStrategy": ("share", 0.4, 1.0),
+               "minInfoGain": ("uniform", 0.0, 5.0)},
+}
+#: a cheap space for tests and small tables; pass it explicitly
+SMALL_SPACE = {
+    "boost": {"maxIter": ("int", 2, 5), "maxDepth": ("int", 2, 3), "stepSize": ("log", 0.01, 0.3),
+              "featureSubsetStrategy": ("share", 0.4, 1.0)},
+    "forest": {"numTrees": ("int", 3, 8), "maxDepth": ("int", 2, 4), "featureSubsetStrategy": ("share", 0.4, 1.0),
+               "minInfoGain": ("uniform", 0.0, 0.01)},
 }
 
 
 def draw(seed, family: str, trial: int, space: dict | None = None) -> dict:
-    """Seeded draws for one trial: int-uniform, uniform, log-uniform."""
+    """Seeded draws for one trial: int-uniform, uniform, log-uniform; a share is passed as text (MLlib's form)."""
     import hashlib
     import math
     out = {}
@@ -149,6 +188,8 @@ def draw(seed, family: str, trial: int, space: dict | None = None) -> dict:
             out[name] = int(lo + math.floor(u * (hi - lo + 1)))
         elif kind == "log":
             out[name] = float(math.exp(math.log(lo) + u * (math.log(hi) - math.log(lo))))
+        elif kind == "share":
+            out[name] = str(round(lo + u * (hi - lo), 6))
         else:
             out[name] = float(lo + u * (hi - lo))
     return out

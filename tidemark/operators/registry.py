@@ -9,13 +9,11 @@ champion, its metric is missing, or the new AUC is strictly greater.
 from __future__ import annotations
 
 import datetime as _dt
-from typing import Sequence
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-VERSIONS_SCHEMA = "name string, version int, run_id string, uri string, auc double, created_at timestamp"
+VERSIONS_SCHEMA = "name string, version int, run_id string, uri string, families string, auc double, created_at timestamp"
 ALIASES_SCHEMA = "name string, alias string, version int, set_at timestamp"
 
 
@@ -46,16 +44,19 @@ def log_run(spark: SparkSession, root: str, run_id: str, params: dict, metrics:
                           "run_id string, key string, value double").write.mode("append").parquet(f"{root}/run_metrics")
 
 
-def append_trials(spark: SparkSession, root: str, study: str, family: str, trials: Sequence[tuple]):
-    """Append ``(params_json, value)`` trials; numbers continue after the
-    stored maximum so a resumed study keeps counting."""
-    path = f"{root}/trials"
-    prev = _read(spark, path, "study string, family string, number int, params string, value double")
-    start = prev.filter((F.col("study") == study) & (F.col("family") == family)) \
-                .agg(F.coalesce(F.max("number") + 1, F.lit(0))).first()[0]
-    rows = [(study, family, start + i, p, None if v is None else float(v)) for i, (p, v) in enumerate(trials)]
-    spark.createDataFrame(rows, "study string, family string, number int, params string, value double") \
-        .write.mode("append").parquet(path)
+TRIALS_SCHEMA = "study string, family string, number int, params string, value double"
+
+
+def next_trial(spark: SparkSession, root: str, study: str, family: str) -> int:
+    """Number of the next trial: a resumed study keeps counting."""
+    prev = _read(spark, f"{root}/trials", TRIALS_SCHEMA).filter((F.col("study") == study) & (F.col("family") == family))
+    return prev.agg(F.coalesce(F.max("number") + 1, F.lit(0))).first()[0]
+
+
+def append_trial(spark: SparkSession, root: str, study: str, family: str, number: int, params: str, value) -> None:
+    """Store one trial when it ends, so that a later failure loses none."""
+    spark.createDataFrame([(study, family, number, params, None if value is None else float(value))], TRIALS_SCHEMA) \
+        .write.mode("append").parquet(f"{root}/trials")
 
 
 def best_trial(trials: DataFrame) -> DataFrame:
@@ -66,11 +67,11 @@ def best_trial(trials: DataFrame) -> DataFrame:
     ).select("study", "family", "b.number", "b.params", "b.value")
 
 
-def register_version(spark: SparkSession, root: str, name: str, run_id: str, uri: str, auc) -> int:
+def register_version(spark: SparkSession, root: str, name: str, run_id: str, uri: str, auc, families: str = "") -> int:
     versions = _read(spark, f"{root}/model_versions", VERSIONS_SCHEMA)
     nxt = versions.filter(F.col("name") == name).agg(F.coalesce(F.max("version") + 1, F.lit(1))).first()[0]
     now = _now()
-    spark.createDataFrame([(name, int(nxt), run_id, uri, None if auc is None else float(auc), now)],
+    spark.createDataFrame([(name, int(nxt), run_id, uri, families, None if auc is None else float(auc), now)],
                           VERSIONS_SCHEMA).write.mode("append").parquet(f"{root}/model_versions")
     return int(nxt)
 

@@ -10,6 +10,8 @@ decision.  Every step is a Spark job; the driver only submits fits.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -22,11 +24,9 @@ from tidemark.operators import split as SP
 from tidemark.operators import validate as V
 from tidemark.operators.evaluate import cv_summary
 from tidemark.operators.materialize import materialize
-from tidemark.plans.training import oof_metrics
+from tidemark.plans.training import best_params, by_fold, log_cv, oof_metrics, search_table
 from tidemark.sources import sinks as K
 
-MODEL_NAME = "CustomerChurnEnsemble"
-
 
 def load_customers(spark: SparkSession, path: str, with_label: bool = True) -> DataFrame:
     """Header CSV with the explicit schema; blank or bad TotalCharges -> 0.0."""
@@ -36,33 +36,53 @@ def load_customers(spark: SparkSession, path: str, with_label: bool = True) -> D
 
 
 def train(spark: SparkSession, train_path: str, test_path: str, out_root: str,
-          params: dict | None = None, k: int = 5, seed: int = 42) -> dict:
+          params: dict | None = None, k: int = 5, seed: int = 42, n_trials: int = 0, space: dict | None = None,
+          name: str = "churn", run_id: str | None = None) -> dict:
+    """Load, search (``n_trials`` per family; the best stored trial feeds the
+    fits), fit, log, save, register and promote by the rule.
+
+    Every run saves its models under its own uri, so an older version keeps
+    the files it was registered with.
+    """
+    run_id = run_id or uuid.uuid4().hex
     tr = load_customers(spark, train_path)
     te = load_customers(spark, test_path, with_label=False)
     checked = V.check(tr, SC.record_rules())
     valid = checked.filter("n_errors = 0").drop("errors", "n_errors", "warnings")
     quarantine = checked.filter("n_errors > 0").select("id", "errors")
     spec = SC.frozen_customer_spec()
-    feats = spec.transform(valid)
-    table = materialize(SP.stratified_folds(feats, "label", k=k, seed=seed), "customer_train")
+    table = by_fold(SP.stratified_folds(spec.transform(valid), "label", k=k, seed=seed))
+    registry = f"{out_root}/registry"
+    if n_trials:
+        for family in M.FAMILIES:
+            trials = search_table(spark, spec, table, family, n_trials, registry, study=name, seed=seed, space=space, k=k)
+        params = {**best_params(trials, name), **(params or {})}
     models = M.cv_fit(table, spec.columns, params=params, k=k)
-    oof = M.out_of_fold(table, models)
-    metrics = materialize(oof_metrics(oof), "customer_fold_metrics")
-    summary = cv_summary(metrics)
+    metrics = materialize(oof_metrics(M.out_of_fold(table, models)), "customer_fold_metrics")
+    log_cv(spark, registry, run_id, spec, table, metrics, params, {"model": name})
     scores = M.fold_mean_score(spec.transform(te, with_target=False), models, keep=("id",))
     submission = f"{out_root}/submission"
     K.write_predictions(scores.select("id", F.col("churn_probability").alias("Churn")), submission,
                         score="Churn")
-    uri = f"{out_root}/models"
-    for (fam, i), m in models.items():
-        m.write().overwrite().save(f"{uri}/{fam}_{i}")
+    uri = f"{out_root}/models/{run_id}"
+    M.save_models(spark, models, uri, spec.columns, params)
+    K.export_fold_metrics(metrics, f"{uri}/fold_metrics")
     fam_auc = (metrics.filter("metric = 'auc'").groupBy("family").agg(F.avg("value").alias("m"))
                .agg(F.avg("m")).first()[0])  # mean of the family mean AUCs
-    version = REG.register_version(spark, f"{out_root}/registry", MODEL_NAME, "run", uri, fam_auc)
-    promoted = REG.promote_if_better(spark, f"{out_root}/registry", MODEL_NAME, version, fam_auc)
-    return {"spec": spec, "models": models, "fold_metrics": metrics, "summary": summary,
-            "quarantine": quarantine, "submission": submission, "ensemble_auc": fam_auc,
-            "version": version, "promoted": promoted}
+    version = REG.register_version(spark, registry, name, run_id, uri, fam_auc, "+".join(M.FAMILIES))
+    promoted = REG.promote_if_better(spark, registry, name, version, fam_auc)
+    return {"spec": spec, "models": models, "fold_metrics": metrics, "summary": cv_summary(metrics),
+            "quarantine": quarantine, "submission": submission, "ensemble_auc": fam_auc, "run_id": run_id,
+            "version": version, "promoted": promoted, "uri": uri, "params": params}
+
+
+def load_champion(spark: SparkSession, out_root: str, name: str = "churn") -> tuple[dict, dict]:
+    """(fold models of the champion, its information row) by alias -> version -> uri."""
+    row = REG.champion(spark, f"{out_root}/registry", name).first()
+    if row is None or row["uri"] is None:
+        raise LookupError(f"no champion of {name}")
+    models, features = M.load_models(spark, row["uri"])
+    return models, {**row.asDict(), "features": features}
 
 
 def score(records: DataFrame, models: dict, spec=None) -> tuple[DataFrame, DataFrame]:
@@ -83,23 +103,22 @@ def score_stream(spark: SparkSession, src: str, models: dict, out: str, quaranti
                  once: bool = True, interval: str = "10 seconds", max_files_per_trigger: int | None = None):
     """JSON record files arrive in ``src``; every micro-batch is validated,
     scored and appended to ``out``; invalid records go to ``quarantine`` with
-    their reasons instead of failing the batch.  Restarting with the same
+    their reasons instead of failing the batch.  Both tables are partitioned by
+    micro-batch, so a replayed one replaces its own rows.  Restarting with the same
     checkpoint resumes after the last committed batch."""
     from tidemark.streaming import jobs as ST
 
     def per_batch(df, epoch):
-        preds, bad = score(df, models)
-        preds.withColumn("batch", F.lit(epoch)).write.mode("append").parquet(out)
-        bad.withColumn("batch", F.lit(epoch)).write.mode("append").parquet(quarantine)
+        preds, bad = score(materialize(df, "micro-batch"), models)
+        ST.write_epoch(preds, out, epoch)
+        ST.write_epoch(bad, quarantine, epoch)
 
     stream = ST.file_stream(spark, src, RECORD_WITH_ID, fmt="json", max_files_per_trigger=max_files_per_trigger)
     return ST.run_foreach_batch(stream, per_batch, checkpoint, once=once, interval=interval)
 
 
-NUMERICAL_FEATURES = ["SeniorCitizen", "tenure", "MonthlyCharges", "TotalCharges"]
-CATEGORICAL_FEATURES = ["Partner", "Dependents", "PhoneService", "MultipleLines", "InternetService",
-                        "OnlineSecurity", "OnlineBackup", "DeviceProtection", "TechSupport", "StreamingTV",
-                        "StreamingMovies", "Contract", "PaperlessBilling", "PaymentMethod"]
+NUMERICAL_FEATURES = [n for n, _ in SC.FIELDS if n not in SC.ENUMS]
+CATEGORICAL_FEATURES = [n for n, _ in SC.FIELDS if n in SC.ENUMS]
 
 
 def _scored(df: DataFrame, models: dict, spec, carry) -> DataFrame:

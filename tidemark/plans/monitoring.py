@@ -111,3 +111,42 @@ def batch_metrics(reference: DataFrame | None, current: DataFrame, spec: Monitor
     if not spec.ts:
         out = out.withColumn("ts", F.current_timestamp())
     return out.select(*g, *[c for c in METRIC_COLUMNS if c not in g])
+
+
+def metrics_per_epoch(spark, root: str, spec: MonitorSpec, profile: D.ReferenceProfile, batch_size: int):
+    """A ``foreachBatch`` function that keeps one metrics row per batch right
+    although a batch may arrive in several micro-batches.
+
+    ``root/state/epoch=N`` holds the rows of all batches that are still open
+    after epoch N (fewer than ``batch_size`` rows; at most one open batch per
+    source in a stream that is in order), ``root/metrics/epoch=N`` the rows of
+    the batches that epoch touched, computed over everything they have so
+    far.  Both are written over on a replay, which reads the state of the
+    epoch before again: the result does not change.
+    """
+    g = list(spec.group_by)
+
+    def per_epoch(df: DataFrame, epoch: int) -> None:
+        from tidemark.operators.materialize import materialize
+        from tidemark.streaming.jobs import write_epoch
+
+        rows = materialize(df, "micro-batch")
+        if epoch > 0:
+            before = spark.read.schema(rows.schema).parquet(f"{root}/state/epoch={epoch - 1}")
+            touched = rows.select(*g).distinct()
+            merged = materialize(before.unionByName(rows), "open-batches")
+        else:
+            touched, merged = rows.select(*g).distinct(), rows
+        current = join_keys(merged, touched, g, "left_semi")
+        write_epoch(batch_metrics(None, current, spec, profile), f"{root}/metrics", epoch, "epoch")
+        sizes = merged.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") < batch_size).drop("_n")
+        write_epoch(join_keys(merged, sizes, g, "left_semi"), f"{root}/state", epoch, "epoch")
+
+    return per_epoch
+
+
+def stream_metrics_table(spark, root: str, key: Sequence[str] = ("data_source", "batch_id")) -> DataFrame:
+    """The latest row of every batch."""
+    rows = spark.read.parquet(f"{root}/metrics")
+    names = [c for c in rows.columns]
+    return rows.groupBy(*key).agg(F.max_by(F.struct(*names), "epoch").alias("r")).select("r.*")

@@ -69,7 +69,7 @@ def q_calibration(spark, sf):
     return EV.calibration(labelled_batches(spark, sf), G, "y", "p")
 
 
-def fold_metrics(spark, sf):
+def fold_metrics(spark, sf, metrics=("auc", "accuracy", "log_loss")):
     """Long fold metrics of two scoring families over stratified folds.
 
     Folds: rank by the hash draw within each class (distributed rank),
@@ -87,8 +87,8 @@ def fold_metrics(spark, sf):
                  F.round(1 / (1 + F.exp(-(F.col("value") - 40) / 60)), 6).alias("p"))
     both = a.unionByName(b)
     m = EV.classification_metrics(both, ["family", "fold"], "y", "p")
-    return m.select("family", "fold", F.col("roc_auc").alias("auc"), "accuracy", "log_loss") \
-            .unpivot(["family", "fold"], ["auc", "accuracy", "log_loss"], "metric", "value")
+    return m.select("family", "fold", F.col("roc_auc").alias("auc"), "accuracy", "log_loss", "f1") \
+            .unpivot(["family", "fold"], list(metrics), "metric", "value")
 
 
 @register("fold_metrics", S.FOLD_METRICS)

@@ -14,27 +14,22 @@ from tidemark.plans.queries_monitoring import q_batch_metrics
 from tidemark.plans.sql.common import MART, SCORED
 from tidemark.plans.sql.evaluation import FOLD_WIDE
 from tidemark.plans.sql.monitoring import BATCH_METRICS
-from tidemark.session import scratch_path, session_key
+from tidemark.session import scratch_path
 from tidemark.sources import sinks as K
 
 MM = f"WITH monitoring_metrics AS ({BATCH_METRICS})\n"
 T0, T1 = "2024-01-15 00:00:00", "2024-01-31 00:00:00"
 WHERE_T = f"ts >= TIMESTAMP '{T0}' AND ts <= TIMESTAMP '{T1}'"
-_MEMO: dict = {}
 
 
 def metrics_table(spark, sf):
-    """The metrics table as reports see it: batch metrics appended once per
-    session to a partitioned parquet table in the shared checkpoint folder,
-    read back with schema merging, through the view that keeps one row per
-    ``(run_id, data_source, batch_id)`` (replayed appends do not repeat)."""
-    key = (session_key(spark), sf)
-    if key not in _MEMO:
-        path = scratch_path(spark, "monitoring_metrics")
-        K.append_metrics(q_batch_metrics(spark, sf).withColumn("written_at", F.current_timestamp()),
-                         path, run_id="run-1")
-        _MEMO[key] = path
-    return K.latest_per_key(K.read_metrics(spark, _MEMO[key], defaults={"drift_intensity": 0.0}))
+    """The metrics table as reports see it: batch metrics appended to a
+    partitioned parquet table in the shared checkpoint folder, read back with
+    schema merging, through the view that keeps one row per ``(run_id,
+    data_source, batch_id)`` (replayed appends do not repeat)."""
+    path = scratch_path(spark, "monitoring_metrics")
+    K.append_metrics(q_batch_metrics(spark, sf).withColumn("written_at", F.current_timestamp()), path, run_id="run-1")
+    return K.latest_per_key(K.read_metrics(spark, path, defaults={"drift_intensity": 0.0}))
 
 
 LATEST = ("SELECT {c} FROM monitoring_metrics WHERE {w}{c} IS NOT NULL "
@@ -207,10 +202,9 @@ def q_submission(spark, sf):
 @register("fold_metrics_wide", FOLD_WIDE)
 def q_fold_wide(spark, sf):
     path = scratch_path(spark, "fold_metrics_wide")
-    wide = K.fold_metrics_wide(fold_metrics(spark, sf), ["a", "b"], ["auc", "accuracy", "log_loss"])
-    K.write_csv(wide, path)
-    return K.read_csv(spark, path, "fold int, a_auc double, b_auc double, a_accuracy double, b_accuracy double, "
-                                   "a_log_loss double, b_log_loss double")
+    names = ("auc", "accuracy", "log_loss", "f1")
+    K.export_fold_metrics(fold_metrics(spark, sf, names), path, ("a", "b"), names)
+    return K.read_csv(spark, path, "fold int, " + ", ".join(f"{f}_{m} double" for m in names for f in ("a", "b")))
 
 
 FEATURE_NAMES = ["c_acctbal", "n_orders", "total_spend", "tenure_days", "urgent", "low", "pending",

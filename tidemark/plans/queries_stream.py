@@ -8,14 +8,14 @@ from tidemark.operators import model as M
 from tidemark.operators import validate as V
 from tidemark.plans import training as TR
 from tidemark.plans.catalog import register
-from tidemark.plans.fixtures import churn_records, current_batches, reference_slice, scored_events
-from tidemark.plans.monitoring import EVENTS_SPEC, batch_metrics, reference_profile
+from tidemark.operators.materialize import materialize
+from tidemark.plans.fixtures import BATCH_SIZE, churn_records, current_batches, reference_slice, scored_events
+from tidemark.plans.monitoring import EVENTS_SPEC, metrics_per_epoch, reference_profile, stream_metrics_table
 from tidemark.plans.queries_reports import REC_SCHEMA
 from tidemark.plans.queries_tables import ALL_SQL, _rule_sql
 from tidemark.plans.sql.common import MART, SCORED
 from tidemark.plans.sql.monitoring import BATCH_METRICS
 from tidemark.session import scratch_path
-from tidemark.sources import sinks as K
 from tidemark.streaming import jobs as ST
 
 
@@ -27,7 +27,7 @@ def _drop_files(df, path, by=None):
     w.parquet(path)
 
 
-@register("stream_score")
+@register("stream_score", f"WITH {MART} SELECT id, true AS score_ok FROM records")
 def q_stream_score(spark, sf):
     """Record files arrive; each micro-batch is featurised with the frozen
     spec and scored by the fold models (stateless, no shuffle)."""
@@ -39,7 +39,8 @@ def q_stream_score(spark, sf):
     scored = M.fold_mean_score(feats, models, keep=("id",))
     out, ck = scratch_path(spark, "stream_scores"), scratch_path(spark, "stream_scores_ck")
     ST.run_to_files(scored.select("id", "churn_probability"), out, ck)
-    return spark.read.parquet(out)
+    p = F.col("churn_probability")
+    return spark.read.parquet(out).select("id", F.coalesce((p >= 0) & (p <= 1), F.lit(False)).alias("score_ok"))
 
 
 CUR_SCHEMA = ("id long, ts timestamp_ntz, value double, user_id long, event_type string, "
@@ -48,22 +49,17 @@ CUR_SCHEMA = ("id long, ts timestamp_ntz, value double, user_id long, event_type
 
 @register("stream_metrics", f"WITH monitoring_metrics AS ({BATCH_METRICS}) SELECT * FROM monitoring_metrics")
 def q_stream_metrics(spark, sf):
-    """Batches arrive as files (one folder per source); every micro-batch
-    appends its metrics rows with foreachBatch."""
+    """Batches arrive in parts, four files per source; every micro-batch
+    brings the metrics row of each batch it touches up to date."""
     # the reference side is profiled once and written; micro-batches reuse it
     profile = reference_profile(reference_slice(scored_events(spark, sf)), EVENTS_SPEC, persist=True)
     src = scratch_path(spark, "stream_batches")
-    _drop_files(current_batches(spark, sf), src, by="data_source")
-    table = scratch_path(spark, "stream_metrics_table")
-
-    def per_batch(df, epoch):
-        # a file-source micro-batch is a stable file read: no copy needed
-        m = batch_metrics(None, df, EVENTS_SPEC, profile)
-        K.append_metrics(m.withColumn("epoch", F.lit(epoch)), table, run_id="stream")
-
-    ST.run_foreach_batch(ST.file_stream(spark, src, CUR_SCHEMA, max_files_per_trigger=1), per_batch,
-                         scratch_path(spark, "stream_metrics_ck"))
-    return spark.read.parquet(table).drop("run_id", "epoch")
+    cur = current_batches(spark, sf)
+    _drop_files(cur.repartition(4, F.xxhash64("id")), src, by="data_source")
+    root = scratch_path(spark, "stream_metrics")
+    ST.run_foreach_batch(ST.file_stream(spark, src, CUR_SCHEMA, max_files_per_trigger=3),
+                         metrics_per_epoch(spark, root, EVENTS_SPEC, profile, BATCH_SIZE), f"{root}/checkpoint")
+    return stream_metrics_table(spark, root).drop("epoch")
 
 
 @register("stream_quarantine", f"WITH {MART}, chk AS (SELECT id, {_rule_sql(ALL_SQL)} FROM records) "
@@ -76,12 +72,12 @@ def q_stream_quarantine(spark, sf):
     good, bad = scratch_path(spark, "stream_valid"), scratch_path(spark, "stream_quarantine")
 
     def per_batch(df, epoch):
-        checked = V.check(df, V.mart_rules())
-        checked.filter("n_errors = 0").drop("errors", "n_errors").write.mode("append").parquet(good)
-        checked.filter("n_errors > 0").select("id", "errors", "n_errors").write.mode("append").parquet(bad)
+        checked = materialize(V.check(df, V.mart_rules()), "checked")  # validated once, read twice
+        ST.write_epoch(checked.filter("n_errors = 0").drop("errors", "n_errors"), good, epoch)
+        ST.write_epoch(checked.filter("n_errors > 0").select("id", "errors", "n_errors"), bad, epoch)
 
     ST.run_foreach_batch(ST.file_stream(spark, src, REC_SCHEMA), per_batch, scratch_path(spark, "stream_q_ck"))
-    return spark.read.parquet(bad)
+    return spark.read.parquet(bad).drop("batch")
 
 
 TUMBLING_SQL = f"""WITH {SCORED}
@@ -96,7 +92,10 @@ def q_tumbling(spark, sf):
     return ST.windowed_counts(scored_events(spark, sf), watermark=None)
 
 
-@register("stream_tumbling")
+CLOSED_SQL = f"SELECT * FROM ({TUMBLING_SQL}) WHERE window_end <= (SELECT max(event_time) FROM (SELECT ts AS event_time FROM events)) - INTERVAL '1 hour'"
+
+
+@register("stream_tumbling", CLOSED_SQL)
 def q_stream_tumbling(spark, sf):
     """The same windows as a stream with a watermark (append mode): closed
     windows are emitted; the newest day stays open."""

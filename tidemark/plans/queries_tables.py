@@ -42,22 +42,41 @@ def q_model_inputs(spark, sf):
     return FE.model_inputs(churn_records(spark, sf), exclude=("id", "gender", "churn"))
 
 
-TYPED_SQL = "SELECT * FROM (VALUES " + ", ".join(
-    f"('{c}', '{'numeric' if c in ('id', *NUMERIC_REC) else 'string'}')" for c in REC_COLS) + ") AS t(\"column\", kind)"
+TYPED_SQL = f"WITH {MART} " + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", '{'numeric' if c in ('id', *NUMERIC_REC) else 'string'}' AS kind, "
+    f"count(DISTINCT \"{c}\") AS n_distinct FROM records" for c in REC_COLS)
 
 
 @register("typed_columns", TYPED_SQL)
 def q_typed_columns(spark, sf):
-    """Columns of the churn records split by Spark type (numeric / string)."""
-    num, oth = FE.typed_columns(churn_records(spark, sf))
-    return spark.createDataFrame([(c, "numeric") for c in num] + [(c, "string") for c in oth],
-                                 "column string, kind string")
+    """Columns of the churn records by Spark type (numeric / string), with the
+    number of distinct values of each (one aggregate over the records)."""
+    records = churn_records(spark, sf)
+    num, _ = FE.typed_columns(records)
+    return PR.distinct_counts(records).select(
+        "column", F.when(F.col("column").isin(num), "numeric").otherwise("string").alias("kind"), "n_distinct")
 
 
 RAW_SQL = ("CASE WHEN event_type = 'error' THEN ' ' WHEN event_type = 'view' THEN 'x' || CAST(value AS VARCHAR) "
            "ELSE CAST(value AS VARCHAR) END")
 
 
+ODD_SQL = ("CASE CAST(event_id % 11 AS INTEGER) WHEN 0 THEN 'NaN' WHEN 1 THEN '1d' WHEN 2 THEN '2.5f' WHEN 3 THEN '' WHEN 4 THEN NULL "
+           "WHEN 5 THEN '0x1p3' WHEN 6 THEN ' 12.5 ' WHEN 7 THEN '1e3' WHEN 8 THEN 'nan' WHEN 9 THEN '-' ELSE CAST(value AS VARCHAR) END")
+
+
+@register("lenient_odd_text", f"SELECT event_id AS id, CASE WHEN event_id % 11 IN (0, 1, 2, 3, 4, 5, 8, 9) THEN 0.0 "
+          f"ELSE CAST(trim({ODD_SQL}) AS DOUBLE) END AS parsed FROM events")
+def q_lenient_odd(spark, sf):
+    """Odd numbers in a text column: NaN, Java suffixes, hexadecimal, blank and null become 0.0."""
+    odd = {0: "NaN", 1: "1d", 2: "2.5f", 3: "", 5: "0x1p3", 6: " 12.5 ", 7: "1e3", 8: "nan", 9: "-"}
+    k = F.col("event_id") % 11
+    raw = F.when(k == 10, F.col("value").cast("string"))
+    for i, text in odd.items():
+        raw = raw.when(k == i, F.lit(text))
+    return read_table(spark, sf, "events").select(F.col("event_id").alias("id"), raw.alias("raw")).select("id", lenient_double("raw").alias("parsed"))
+
+
 @register("lenient_numeric", f"SELECT event_id AS id, coalesce(TRY_CAST(trim({RAW_SQL}) AS DOUBLE), 0.0) AS parsed "
           "FROM events")
 def q_lenient(spark, sf):
@@ -431,3 +450,21 @@ def q_pools(spark, sf):
     lab = s.filter(F.col("y").isNotNull()).select("id", "value", "event_type", "y")
     unl = s.filter(F.col("y").isNull()).select("id", "value", "event_type")
     return SP.pools(lab, unl)
+
+
+N_WIDE = 70
+WIDE_SPARK = ["CASE WHEN event_id % {m} = 0 THEN NULL ELSE sin(value * {k}) + user_id % {m} END".format(m=i % 13 + 3, k=i + 1) for i in range(N_WIDE)]
+
+
+@register("correlation_wide", "WITH w AS (SELECT " + ", ".join(f"{e} AS x{i}" for i, e in enumerate(WIDE_SPARK)) + " FROM events) "
+          + " UNION ALL ".join(f"SELECT 'x{a}' AS a, 'x{b}' AS b, corr(x{a}, x{b}) AS corr FROM w" for a in (0, 33, 69) for b in range(N_WIDE) if a != b))
+def q_correlation_wide(spark, sf):
+    """Pairwise-complete correlations of 70 columns with nulls; three columns against all others."""
+    wide = read_table(spark, sf, "events").select(*[F.expr(e).alias(f"x{i}") for i, e in enumerate(WIDE_SPARK)])
+    return PR.correlation(wide, wide.columns).filter(F.col("a").isin("x0", "x33", "x69") & (F.col("a") != F.col("b")))
+
+
+@register("grouped_median", "SELECT user_id, median(CAST(value AS DOUBLE)) AS median FROM events GROUP BY user_id")
+def q_grouped_median(spark, sf):
+    """Exact medians of many groups (a group per user)."""
+    return PR.exact_median(read_table(spark, sf, "events"), "value", ["user_id"])

@@ -72,8 +72,12 @@ FOLD_WIDE = (f"WITH {SCORED}, {FOLDS} SELECT fold, "
              "max(CASE WHEN family = 'a' AND metric = 'accuracy' THEN value END) AS a_accuracy, "
              "max(CASE WHEN family = 'b' AND metric = 'accuracy' THEN value END) AS b_accuracy, "
              "max(CASE WHEN family = 'a' AND metric = 'log_loss' THEN value END) AS a_log_loss, "
-             "max(CASE WHEN family = 'b' AND metric = 'log_loss' THEN value END) AS b_log_loss "
-             "FROM fm GROUP BY fold")
+             "max(CASE WHEN family = 'b' AND metric = 'log_loss' THEN value END) AS b_log_loss, "
+             "max(CASE WHEN family = 'a' AND metric = 'f1' THEN value END) AS a_f1, "
+             "max(CASE WHEN family = 'b' AND metric = 'f1' THEN value END) AS b_f1 "
+             "FROM (SELECT family, fold, metric, value FROM fm UNION ALL SELECT family, fold, 'f1', "
+             "coalesce(2.0 * sum(CAST(y = 1 AND p >= 0.5 AS INTEGER)) / nullif(sum(CAST(p >= 0.5 AS INTEGER)) + sum(y), 0), 0.0) "
+             "FROM fam GROUP BY family, fold) GROUP BY fold")
 
 # Drift statistics.
 REF_PROFILE = (f"WITH {SCORED}, rnum AS (SELECT 'value' AS col, value AS v FROM ref UNION ALL SELECT 'p', p FROM ref) "

@@ -7,45 +7,35 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.ml import PipelineModel
 
 from tidemark.operators import features as FE
 from tidemark.operators import model as M
 from tidemark.operators import registry as REG
 from tidemark.operators import split as SP
-from tidemark.operators.evaluate import TRAINING_EPS, classification_metrics
-from tidemark.operators.materialize import materialize
+from tidemark.operators.evaluate import TRAINING_EPS, classification_metrics, cv_summary
 from tidemark.plans.fixtures import churn_records
-from tidemark.session import scratch_path, session_key
-
-_MEMO: dict = {}
-
+from tidemark.session import scratch_path
 
 def training_frame(spark: SparkSession, sf: str):
-    """(fitted spec, features + label + fold, written once)."""
+    """(fitted spec, features + label + fold, written once, a folder per fold)."""
     rec = churn_records(spark, sf)
     spec = FE.MART_SPEC.fit(rec)
     folds = SP.stratified_folds(rec, "churn").select("id", "fold")
-    table = spec.transform(rec).join(folds, "id")
-    return spec, materialize(table)
+    return spec, by_fold(spec.transform(rec).join(folds, "id"))
+
+
+def by_fold(table: DataFrame) -> DataFrame:
+    """Written once, partitioned by fold: each of the ten fits and ten held-out scans reads its folds only."""
+    spark = table.sparkSession
+    path = scratch_path(spark, "folds")
+    table.write.partitionBy("fold").parquet(path)
+    return spark.read.schema(table.schema).parquet(path)
 
 
 def cv_models(spark: SparkSession, sf: str, params: dict | None = None):
-    """Fit (or reload) the 10 fold models; saved under the checkpoint folder."""
-    key = (session_key(spark), sf, json.dumps(params, sort_keys=True))
-    if key in _MEMO:
-        spec, table, paths = _MEMO[key]
-        return spec, table, {k: PipelineModel.load(p) for k, p in paths.items()}
+    """(spec, training table, the 10 fold models)."""
     spec, table = training_frame(spark, sf)
-    models = M.cv_fit(table, spec.columns, params=params)
-    root = scratch_path(spark, "cv_models")
-    paths = {}
-    for (fam, i), m in models.items():
-        p = f"{root}/{fam}_{i}"
-        m.write().overwrite().save(p)
-        paths[(fam, i)] = p
-    _MEMO[key] = (spec, table, paths)
-    return spec, table, models
+    return spec, table, M.cv_fit(table, spec.columns, params=params)
 
 
 def oof_metrics(oof: DataFrame) -> DataFrame:
@@ -58,21 +48,47 @@ def oof_metrics(oof: DataFrame) -> DataFrame:
                      "metric", "value")
 
 
-def search(spark: SparkSession, sf: str, family: str, n_trials: int, root: str, study: str = "churn",
-           seed: int = 42) -> DataFrame:
-    """Seeded random search: each trial = a 5-fold CV of one family with drawn
-    parameters; objective = mean OOF AUC; trials appended to the trials table
-    (numbering resumes after stored trials)."""
-    spec, table = training_frame(spark, sf)
-    results = []
-    prev = REG._read(spark, f"{root}/trials", "study string, family string, number int, params string, value double")
-    start = prev.filter((F.col("study") == study) & (F.col("family") == family)) \
-                .agg(F.coalesce(F.max("number") + 1, F.lit(0))).first()[0]
+def search_table(spark: SparkSession, spec, table: DataFrame, family: str, n_trials: int, root: str, study: str = "churn",
+                 seed: int = 42, space: dict | None = None, k: int = 5) -> DataFrame:
+    """Seeded random search: each trial = a k-fold CV of one family with drawn
+    parameters; objective = mean OOF AUC.  Every trial is stored when it ends
+    (numbering resumes after stored trials).  Returns the trials table."""
+    start = REG.next_trial(spark, root, study, family)
     for t in range(start, start + n_trials):
-        params = M.draw(seed, family, t)
-        models = M.cv_fit(table, spec.columns, families=[family], params={family: params})
-        oof = M.out_of_fold(table, models)
-        auc = oof_metrics(oof).filter(F.col("metric") == "auc").agg(F.avg("value")).first()[0]
-        results.append((json.dumps(params, sort_keys=True), auc))
-    REG.append_trials(spark, root, study, family, results)
-    return spark.read.parquet(f"{root}/trials")
+        params = M.draw(seed, family, t, (space or M.SPACE)[family])
+        models = M.cv_fit(table, spec.columns, families=[family], params={family: params}, k=k)
+        auc = oof_metrics(M.out_of_fold(table, models)).filter(F.col("metric") == "auc").agg(F.avg("value")).first()[0]
+        REG.append_trial(spark, root, study, family, t, json.dumps(params, sort_keys=True), auc)
+    return spark.read.schema(REG.TRIALS_SCHEMA).parquet(f"{root}/trials")
+
+
+def best_params(trials: DataFrame, study: str = "churn") -> dict:
+    """{family: parameters} of the best stored trial of each family."""
+    return {r["family"]: json.loads(r["params"]) for r in REG.best_trial(trials.filter(F.col("study") == study)).collect()}
+
+
+def search(spark: SparkSession, sf: str, family: str, n_trials: int, root: str, study: str = "churn", seed: int = 42,
+           space: dict | None = None) -> DataFrame:
+    """``search_table`` on the churn mart."""
+    spec, table = training_frame(spark, sf)
+    return search_table(spark, spec, table, family, n_trials, root, study, seed, space)
+
+
+def log_cv(spark: SparkSession, root: str, run_id: str, spec, table: DataFrame, fold_metrics: DataFrame, params: dict | None,
+           tags: dict | None = None) -> None:
+    """A parent run (dataset and model parameters, mean and spread of every
+    metric) and one child run per family and fold with its metrics."""
+    rows = fold_metrics.collect()  # families x folds x metrics
+    data = table.agg(F.count(F.lit(1)).alias("n"), F.avg("label").alias("rate")).first()
+    logged = {"n_rows": data["n"], "n_features": len(spec.columns), "positive_rate": data["rate"]}
+    for fam in sorted({r["family"] for r in rows}):
+        logged.update({f"{fam}_{k}": v for k, v in {**M.DEFAULT_PARAMS[fam], **((params or {}).get(fam) or {})}.items()})
+    summary = {}
+    for r in cv_summary(fold_metrics).collect():
+        summary[f"{r['family']}_{r['metric']}_mean"] = r["mean"]
+        summary[f"{r['family']}_{r['metric']}_std"] = r["std"]
+    known = lambda m: {k: v for k, v in m.items() if v is not None}
+    REG.log_run(spark, root, run_id, logged, known(summary), {"stage": "cv", **(tags or {})})
+    for fam, fold in sorted({(r["family"], r["fold"]) for r in rows}):
+        own = {r["metric"]: r["value"] for r in rows if (r["family"], r["fold"]) == (fam, fold)}
+        REG.log_run(spark, root, f"{run_id}/{fam}_{fold}", {"family": fam, "fold": fold}, known(own), {"stage": "fold"}, parent=run_id)

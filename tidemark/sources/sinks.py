@@ -50,6 +50,12 @@ def fold_metrics_wide(long: DataFrame, families: Sequence[str], metrics: Sequenc
     return k.groupBy("fold").pivot("_name", names).agg(F.first("value"))
 
 
+def export_fold_metrics(long: DataFrame, path: str, families: Sequence[str] = ("boost", "forest"),
+                        metrics: Sequence[str] = ("auc", "accuracy", "precision", "recall", "f1", "log_loss")) -> None:
+    """Write the wide fold metrics of both families as a header CSV."""
+    write_csv(fold_metrics_wide(long, families, metrics), path)
+
+
 def append_metrics(df: DataFrame, path: str, run_id: str, partition_by: Sequence[str] = ("data_source",)) -> None:
     """Append-only metrics table partitioned by source; each row keyed by
     ``(run_id, data_source, batch_id)``.  A replayed write adds rows again;

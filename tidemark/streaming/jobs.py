@@ -42,8 +42,8 @@ def run_to_files(stream: DataFrame, out: str, checkpoint: str, fmt: str = "parqu
 def run_foreach_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
                       once: bool = True, interval: str = "10 seconds"):
     """Run ``fn(micro_batch_df, batch_id)`` per micro-batch.  A replayed
-    micro-batch calls ``fn`` again with the same id; ``fn`` should write keyed
-    rows (readers dedupe by key)."""
+    micro-batch calls ``fn`` again with the same id; ``fn`` should write the
+    rows of an id where a second call replaces them (``write_epoch``)."""
     w = stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
     q = _trigger(w, once, interval).start()
     if once:
@@ -51,6 +51,11 @@ def run_foreach_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None], c
     return q
 
 
+def write_epoch(df: DataFrame, path: str, epoch: int, column: str = "batch") -> None:
+    """Write a micro-batch's rows as partition ``column=epoch``; a replay replaces them."""
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{column}={int(epoch)}")
+
+
 def windowed_counts(df: DataFrame, ts: str = "ts", size: str = "1 day", slide: str | None = None,
                     watermark: str | None = "1 hour", by=("data_source",), y: str = "y", p: str = "p") -> DataFrame:
     """Event-time tumbling (or sliding) window metrics per source.
