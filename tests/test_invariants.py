@@ -191,17 +191,6 @@ def test_pvalues_known_values(spark):
     assert kp[0] == 1.0 and kp[1] < 1e-9
 
 
-def test_correlation_matrix_equals_pairwise(spark):
-    from tidemark.operators import profile as PR
-    r = churn_records(spark, SF_SMALL)
-    cols = ["c_acctbal", "n_orders", "total_spend", "tenure_days"]
-    a = {(x["a"], x["b"]): x["corr"] for x in PR.correlation(r, cols, "pairwise").collect()}
-    b = {(x["a"], x["b"]): x["corr"] for x in PR.correlation(r, cols, "matrix").collect()}
-    assert a.keys() == b.keys()
-    for k in a:
-        assert a[k] == pytest.approx(b[k], abs=1e-9)
-
-
 def test_approx_median_close(spark):
     from tidemark.operators import profile as PR
     s = scored_events(spark, SF_SMALL)

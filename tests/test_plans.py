@@ -30,8 +30,11 @@ def test_filter_and_columns_reach_the_scan(spark):
 
 
 def _final_plan(df):
-    df.write.format("noop").mode("overwrite").save()  # settle the adaptive plan
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The settled plan of the frame itself (a write would settle another execution)."""
+    df.collect()
+    p = df._jdf.queryExecution().executedPlan().toString()
+    assert "AdaptiveSparkPlan" not in p or "isFinalPlan=true" in p
+    return p
 
 
 def test_flagship_has_no_pairwise_joins(spark):
@@ -49,3 +52,8 @@ def test_reports_use_top_k_and_partial_aggregates(spark):
     # the panel is a keyless partial aggregate (max_by), never a sort by time
     assert "Aggregate(key=[]" in latest or "Aggregate(keys=[]" in latest
     assert "Sort [ts" not in latest
+
+
+def test_mart_reads_each_table_once(spark):
+    from tidemark.plans.fixtures import churn_mart
+    assert _final_plan(churn_mart(spark, SF_SMALL)).split("== Initial Plan ==")[0].count("Scan parquet") == 2

@@ -110,6 +110,8 @@ def numeric_drift(ref_long: DataFrame | None, cur_long: DataFrame, group_by,
         return df.join(centre, "column").withColumn("value", F.col("value") - F.col("ref_mean")).drop("ref_mean")
 
     rd = centred(profile.counts)
+    # what the rounded mean leaves: the mean of the centred reference values
+    rest = rd.groupBy("column").agg((F.sum(F.col("n_r") * F.col("value")) / F.sum("n_r")).alias("_rest"))
     cd = materialize(centred(cur_long.groupBy(*g, "column", "value").agg(F.count(F.lit(1)).alias("n_c"))), "drift_counts")
     # Reference values and the distinct probe values of all groups in one
     # union (no join): ties sorted reference-first give F(x) = P(ref <= x) at
@@ -172,8 +174,9 @@ def numeric_drift(ref_long: DataFrame | None, cur_long: DataFrame, group_by,
     w = inner.unionByName(at_ends).groupBy(*g, "column").agg(F.sum("_term").alias("_phi"))
     out = (join_keys(w, ks, g + ["column"], "inner")
            .join(stats.select("column", "ref_std"), "column", "inner")
+           .join(rest, "column", "inner")
            .select(*g, "column",
-                   F.greatest(F.col("_phi"), F.lit(0.0)).alias("wasserstein"),  # the centred reference mean is 0
+                   F.greatest(F.col("_rest") + F.col("_phi"), F.lit(0.0)).alias("wasserstein"),
                    "ks", "ref_std"))
     out = out.withColumn("drift_score", F.col("wasserstein") / F.col("ref_std")).drop("ref_std")
     sizes = n_tot.join(stats.select("column", "ref_n"), "column")
