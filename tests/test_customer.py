@@ -81,3 +81,34 @@ def test_train_and_score(spark, tmp_path):
     assert [r["drift_intensity"] for r in hold] == pytest.approx([min(1.0, (i + 1) / 5) for i in range(len(hold))])
     assert test[0]["drift_intensity"] == pytest.approx(min(1.0, (len(hold) + 1) / 5))
     assert max(r["share_missing_values"] for r in rows) > 0
+
+
+def test_a_second_run_leaves_the_champion_alone(spark, tmp_path):
+    rng = random.Random(2)
+    _write(tmp_path / "train.csv", [_record(rng, i) for i in range(400)])
+    _write(tmp_path / "test.csv", [_record(rng, 900 + i, label=False) for i in range(20)], label=False)
+    noise = [{**_record(rng, i), "Churn": "Yes" if i % 2 else "No"} for i in range(400)]  # labels without a cause
+    _write(tmp_path / "noise.csv", noise)
+    out, test = str(tmp_path / "out"), str(tmp_path / "test.csv")
+    small = {"boost": {"maxIter": 5}, "forest": {"numTrees": 10}}
+    recs = C.load_customers(spark, test, with_label=False)
+
+    def champion_scores():
+        models, info = C.load_champion(spark, out)
+        return info, sorted((r["id"], r["churn_probability"]) for r in C.score(recs, models)[0].collect())
+
+    first = C.train(spark, str(tmp_path / "train.csv"), test, out, params=small, k=2)
+    assert first["ensemble_auc"] > 0.6
+    info, before = champion_scores()
+    assert info["version"] == 1 and info["run_id"] == first["run_id"] and info["uri"].endswith(first["run_id"])
+    assert info["features"] == list(first["spec"].columns) and info["families"] == "boost+forest"
+    second = C.train(spark, str(tmp_path / "noise.csv"), test, out, k=2, n_trials=1,
+                     space={"boost": {"maxIter": ("int", 1, 2)}, "forest": {"numTrees": ("int", 2, 3)}})
+    assert second["version"] == 2 and not second["promoted"] and second["uri"] != first["uri"]
+    assert set(second["params"]) == {"boost", "forest"}  # the best stored trials
+    info, after = champion_scores()
+    assert info["version"] == 1 and after == before
+    runs = spark.read.parquet(f"{out}/registry/runs")
+    assert runs.filter("parent is null").count() == 2 and runs.filter(F.col("parent") == first["run_id"]).count() == 4
+    wide = spark.read.option("header", True).csv(f"{first['uri']}/fold_metrics")
+    assert wide.count() == 2 and {"boost_f1", "forest_f1"} <= set(wide.columns)

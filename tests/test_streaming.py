@@ -56,3 +56,35 @@ def test_watermark_drops_late_rows(spark, tmp_path):
     got = {r["window_start"].day: r["n"] for r in spark.read.parquet(out).collect()}
     assert got[1] == 5  # the late row was not added to the closed first day
     assert 2 not in got  # the newest day is still open
+
+
+def test_streamed_metrics_of_split_batches_and_replay(spark, tmp_path):
+    """A batch that arrives in several files has one row, equal to the batch job's; a replayed epoch changes nothing."""
+    from tidemark.plans.fixtures import BATCH_SIZE, current_batches, reference_slice, scored_events
+    from tidemark.plans.monitoring import EVENTS_SPEC, batch_metrics, metrics_per_epoch, reference_profile, stream_metrics_table
+    from conftest import SF_SMALL
+    ev = scored_events(spark, SF_SMALL)
+    profile = reference_profile(reference_slice(ev), EVENTS_SPEC, persist=True)
+    cur = current_batches(spark, SF_SMALL)
+    root = str(tmp_path / "m")
+    step = metrics_per_epoch(spark, root, EVENTS_SPEC, profile, BATCH_SIZE)
+    parts = [cur.filter(F.col("id") % 4 == i) for i in range(4)]  # every part holds rows of every batch
+    for epoch, part in enumerate(parts):
+        step(part, epoch)
+        if epoch == 2:
+            step(part, epoch)  # replay
+    key = ["data_source", "batch_id"]
+    got = {tuple(r[k] for k in key): r.asDict() for r in stream_metrics_table(spark, root).drop("epoch").collect()}
+    want = {tuple(r[k] for k in key): r.asDict() for r in batch_metrics(None, cur, EVENTS_SPEC, profile).collect()}
+    assert got.keys() == want.keys()
+    for k in want:
+        for c, v in want[k].items():
+            assert got[k][c] == v or abs(got[k][c] - v) < 1e-9, (k, c, got[k][c], v)
+
+
+def test_epoch_rows_are_replaced(spark, tmp_path):
+    out = str(tmp_path / "t")
+    for n in (3, 5):
+        ST.write_epoch(spark.range(n), out, 0)
+    ST.write_epoch(spark.range(2), out, 1)
+    assert spark.read.parquet(out).groupBy("batch").count().orderBy("batch").collect() == [(0, 5), (1, 2)]
