@@ -15,4 +15,6 @@ def spark():
     from tidemark.session import get_session
     s = get_session("local[4]", shuffle_partitions=8)
     yield s
+    from tidemark.session import clear_scratch
+    clear_scratch(s)
     s.stop()

@@ -15,6 +15,7 @@ import tempfile
 import uuid
 import zipfile
 
+from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -114,7 +115,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     folder = scratch_folder(spark)
     if folder not in _used:
         _used[folder] = spark
-        atexit.register(clear_scratch, spark)
+        atexit.register(_at_exit, spark)
     return f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
 
 
@@ -127,3 +128,10 @@ def clear_scratch(spark: SparkSession) -> None:
     path = sc._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
     _used.pop(folder, None)
+
+
+def _at_exit(spark: SparkSession) -> None:
+    try:
+        clear_scratch(spark)
+    except (Py4JError, OSError):
+        pass  # the JVM is gone already

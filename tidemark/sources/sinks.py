@@ -89,7 +89,3 @@ def latest_per_key(df: DataFrame, key: Sequence[str] = ("run_id", "data_source",
     cols = [c for c in df.columns if c not in key]
     agg = df.groupBy(*key).agg(F.max_by(F.struct(*cols), F.col(order)).alias("_r"))
     return agg.select(*key, "_r.*")
-
-
-def artifact_rows(items: Sequence[str], name: str = "feature") -> list[tuple]:
-    return [(i, v) for i, v in enumerate(items)]

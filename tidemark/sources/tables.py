@@ -3,14 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one parquet table; column pruning and filters reach the scan."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def as_timestamp(c) -> F.Column:
-    """Parquet timestamps load as TIMESTAMP_NTZ; watermarks need TIMESTAMP."""
-    return (F.col(c) if isinstance(c, str) else c).cast("timestamp")
