@@ -22,14 +22,20 @@ T0, T1 = "2024-01-15 00:00:00", "2024-01-31 00:00:00"
 WHERE_T = f"ts >= TIMESTAMP '{T0}' AND ts <= TIMESTAMP '{T1}'"
 
 
-def metrics_table(spark, sf):
+def metrics_table(spark, sf, start=None, end=None):
     """The metrics table as reports see it: batch metrics appended to a
-    partitioned parquet table in the shared checkpoint folder, read back with
-    schema merging, through the view that keeps one row per ``(run_id,
-    data_source, batch_id)`` (replayed appends do not repeat)."""
+    parquet table in the shared checkpoint folder, partitioned by day and
+    source, read back with schema merging, through the view that keeps one row
+    per ``(run_id, data_source, batch_id)`` (replayed appends do not repeat).
+    A time window prunes days and rows before repeats are removed: all rows of
+    a key have the batch's time."""
     path = scratch_path(spark, "monitoring_metrics")
-    K.append_metrics(q_batch_metrics(spark, sf).withColumn("written_at", F.current_timestamp()), path, run_id="run-1")
-    return K.latest_per_key(K.read_metrics(spark, path, defaults={"drift_intensity": 0.0}))
+    rows = q_batch_metrics(spark, sf).withColumn("written_at", F.current_timestamp()).withColumn("day", F.to_date("ts"))
+    K.append_metrics(rows, path, run_id="run-1", partition_by=("day", "data_source"))
+    m = K.read_metrics(spark, path, defaults={"drift_intensity": 0.0})
+    if start is not None:
+        m = R.time_filter(m.filter(F.col("day").between(F.to_date(F.lit(start)), F.to_date(F.lit(end)))), start, end)
+    return K.latest_per_key(m.drop("day"))
 
 
 LATEST = ("SELECT {c} FROM monitoring_metrics WHERE {w}{c} IS NOT NULL "
@@ -63,22 +69,22 @@ def _series_sql(c):
 
 @register("series_drifted", _series_sql("num_drifted_columns"))
 def q_series_drifted(spark, sf):
-    return R.series(metrics_table(spark, sf), "num_drifted_columns", T0, T1)
+    return R.series(metrics_table(spark, sf, T0, T1), "num_drifted_columns", T0, T1)
 
 
 @register("series_share", _series_sql("share_drifted_columns"))
 def q_series_share(spark, sf):
-    return R.series(metrics_table(spark, sf), "share_drifted_columns", T0, T1)
+    return R.series(metrics_table(spark, sf, T0, T1), "share_drifted_columns", T0, T1)
 
 
 @register("series_pred_drift", _series_sql("prediction_drift"))
 def q_series_pred(spark, sf):
-    return R.series(metrics_table(spark, sf), "prediction_drift", T0, T1)
+    return R.series(metrics_table(spark, sf, T0, T1), "prediction_drift", T0, T1)
 
 
 @register("series_missing", _series_sql("share_missing_values"))
 def q_series_missing(spark, sf):
-    return R.series(metrics_table(spark, sf), "share_missing_values", T0, T1)
+    return R.series(metrics_table(spark, sf, T0, T1), "share_missing_values", T0, T1)
 
 
 def _long_sql(pairs, source=None):
@@ -91,18 +97,18 @@ def _long_sql(pairs, source=None):
 @register("series_calibration", _long_sql([("mean_predicted", "mean_predicted_churn_prob"),
                                            ("churn_rate", "churn_rate")], "train_holdout"))
 def q_series_cal(spark, sf):
-    m = metrics_table(spark, sf).withColumnRenamed("mean_predicted_churn_prob", "mean_predicted")
+    m = metrics_table(spark, sf, T0, T1).withColumnRenamed("mean_predicted_churn_prob", "mean_predicted")
     return R.series_long(m, ["mean_predicted", "churn_rate"], T0, T1, "train_holdout")
 
 
 @register("series_quality", _long_sql([(c, c) for c in ("accuracy", "roc_auc", "log_loss")], "train_holdout"))
 def q_series_quality(spark, sf):
-    return R.series_long(metrics_table(spark, sf), ["accuracy", "roc_auc", "log_loss"], T0, T1, "train_holdout")
+    return R.series_long(metrics_table(spark, sf, T0, T1), ["accuracy", "roc_auc", "log_loss"], T0, T1, "train_holdout")
 
 
 @register("series_injected", _long_sql([(c, c) for c in ("drift_intensity", "share_drifted_columns")]))
 def q_series_injected(spark, sf):
-    return R.series_long(metrics_table(spark, sf), ["drift_intensity", "share_drifted_columns"], T0, T1)
+    return R.series_long(metrics_table(spark, sf, T0, T1), ["drift_intensity", "share_drifted_columns"], T0, T1)
 
 
 @register("recent_batches", MM + "SELECT " + ", ".join(R.RECENT_COLUMNS)
