@@ -14,24 +14,33 @@ from tidemark.plans.queries_monitoring import q_batch_metrics
 from tidemark.plans.sql.common import MART, SCORED
 from tidemark.plans.sql.evaluation import FOLD_WIDE
 from tidemark.plans.sql.monitoring import BATCH_METRICS
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, session_key
 from tidemark.sources import sinks as K
+from tidemark.sources.tables import table_state
 
 MM = f"WITH monitoring_metrics AS ({BATCH_METRICS})\n"
 T0, T1 = "2024-01-15 00:00:00", "2024-01-31 00:00:00"
 WHERE_T = f"ts >= TIMESTAMP '{T0}' AND ts <= TIMESTAMP '{T1}'"
 
 
+#: (application, state of the events' files) -> metrics table
+_WRITTEN: dict[tuple, str] = {}
+
+
 def metrics_table(spark, sf, start=None, end=None):
-    """The metrics table as reports see it: batch metrics appended to a
-    parquet table in the shared checkpoint folder, partitioned by day and
+    """The metrics table as reports see it: batch metrics appended (once per
+    session and state of the events' files) to a parquet table in the shared checkpoint folder, partitioned by day and
     source, read back with schema merging, through the view that keeps one row
     per ``(run_id, data_source, batch_id)`` (replayed appends do not repeat).
     A time window prunes days and rows before repeats are removed: all rows of
     a key have the batch's time."""
-    path = scratch_path(spark, "monitoring_metrics")
-    rows = q_batch_metrics(spark, sf).withColumn("written_at", F.current_timestamp()).withColumn("day", F.to_date("ts"))
-    K.append_metrics(rows, path, run_id="run-1", partition_by=("day", "data_source"))
+    key = (session_key(spark), table_state(spark, sf, "events"))
+    if key not in _WRITTEN:
+        path = scratch_path(spark, "monitoring_metrics")
+        rows = q_batch_metrics(spark, sf).withColumn("written_at", F.current_timestamp()).withColumn("day", F.to_date("ts"))
+        K.append_metrics(rows, path, run_id="run-1", partition_by=("day", "data_source"))
+        _WRITTEN[key] = path
+    path = _WRITTEN[key]
     m = K.read_metrics(spark, path, defaults={"drift_intensity": 0.0})
     if start is not None:
         m = R.time_filter(m.filter(F.col("day").between(F.to_date(F.lit(start)), F.to_date(F.lit(end)))), start, end)
