@@ -8,7 +8,8 @@ n-gram would move the corpus many times over, so both sides travel in blocks:
    words and the words as indexes into the batch's table of 64-bit word
    fingerprints.  Batches are a written table, so all later steps see the same.
 2. A batch lists its different n-grams with their counts, sorted, a row for
-   each range of the hash space (a block of the exploded n-grams).
+   each range of the hash space (a block of the exploded n-grams); keys travel
+   as compressed differences.
 3. Rows of one range meet in one task, which adds up the counts - that range of
    the count table - and answers every row with the totals of its n-grams.
    The number of ranges grows with the number of n-grams.
@@ -26,9 +27,11 @@ empty result.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,32 +39,49 @@ from tidemark.llm.words import U64, mix, ngram_hashes, segments, span_hashes, wi
 from tidemark.session import scratch_path
 
 ORDER = 3
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 16 << 20
 RANGE_GRAMS = 3_000_000
 
 
-def planes(x: np.ndarray, width: int) -> bytes:
-    """The low ``width`` bytes of unsigned values, byte by byte (compresses better)."""
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+_BYTES = 8
 
 
-def unplanes(raw: bytes, width: int) -> np.ndarray:
-    out = np.zeros((len(raw) // width, 8), np.uint8)
-    out[:, :width] = np.frombuffer(raw, np.uint8).reshape(width, -1).T
-    return out.view("<u8").ravel()
+def pack(x: np.ndarray) -> bytes:
+    """Unsigned values, byte plane by byte plane, compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, _BYTES).T).tobytes())
 
 
-def gram_keys(words: np.ndarray, first: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def unpack(raw: bytes) -> np.ndarray:
+    out = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(_BYTES, -1)
+    return np.ascontiguousarray(out.T).view("<u8").ravel()
+
+
+def pack_sorted(x: np.ndarray) -> bytes:
+    """Sorted values by their differences."""
+    return pack(np.diff(x, prepend=U64(0)))
+
+
+def unpack_sorted(raw: bytes) -> np.ndarray:
+    return np.cumsum(unpack(raw), dtype=U64)
+
+
+def gram_keys(words: np.ndarray, first: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For n = 1 .. order: (first word of every n-gram, its 56-bit key)."""
-    out = []
     for n in range(1, order + 1):
         at = np.flatnonzero(within(first, n))
-        out.append((at, mix(ngram_hashes(words, n)[at] + U64(n)) >> U64(8)))
-    return out
+        yield at, mix(ngram_hashes(words, n)[at] + U64(n)) >> U64(8)
+
+
+def distinct_grams(words: np.ndarray, first: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted keys, counts) of the different n-grams of all orders."""
+    each = [np.unique(keys, return_counts=True) for _, keys in gram_keys(words, first, order)]
+    keys = np.concatenate([k for k, _ in each])
+    by = np.argsort(keys, kind="stable")
+    return keys[by], np.concatenate([c for _, c in each])[by]
 
 
 def _sequence(vocab: bytes, seq: bytes, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(vocab, U64)[unplanes(seq, 4).astype(np.int64)], np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
+    return np.frombuffer(vocab, U64)[unpack(seq).astype(np.int64)], np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
 
 
 def word_batches(docs: DataFrame, batch_bytes: int) -> DataFrame:
@@ -72,12 +92,15 @@ def word_batches(docs: DataFrame, batch_bytes: int) -> DataFrame:
         for batch in batches:
             for a, b, data, off in segments(batch.column(1), batch_bytes):
                 starts, ends, first = word_spans(data, off)
-                vocab, seq = np.unique(span_hashes(data, starts, ends), return_inverse=True)
+                vocab, seq, count = np.unique(span_hashes(data, starts, ends), return_inverse=True, return_counts=True)
+                by = np.argsort(-count, kind="stable")  # common words get small numbers
+                rank = np.empty_like(by)
+                rank[by] = np.arange(len(by))
                 ids = batch.column(0).slice(a, b - a)
                 one = np.array([0, b - a], np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([uuid.uuid4().hex]), pa.ListArray.from_arrays(one, ids), pa.ListArray.from_arrays(one, pa.array(np.diff(first))),
-                     pa.array([len(seq)], pa.int64()), pa.array([vocab.tobytes()], pa.binary()), pa.array([planes(seq, 4)], pa.binary())],
+                     pa.array([len(seq)], pa.int64()), pa.array([vocab[by].tobytes()], pa.binary()), pa.array([pack(rank[seq])], pa.binary())],
                     names=["batch", "ids", "sizes", "n_words", "vocab", "seq"])
 
     return docs.select("id", "text").mapInArrow(run, f"batch string, ids array<{id_type}>, sizes array<long>, n_words long, vocab binary, seq binary")
@@ -96,21 +119,21 @@ def requests(batches: DataFrame, order: int, n_ranges: int) -> DataFrame:
         for rb in it:
             for r in rb.to_pylist():
                 words, first = _sequence(r["vocab"], r["seq"], np.array(r["sizes"]))
-                keys, counts = np.unique(np.concatenate([k for _, k in gram_keys(words, first, order)]), return_counts=True)
+                keys, counts = distinct_grams(words, first, order)
                 cut = np.concatenate(([0], np.searchsorted(keys, limits), [len(keys)]))
                 for part in np.flatnonzero(np.diff(cut)).tolist():
                     a, b = cut[part], cut[part + 1]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([part], pa.int32()), pa.array([r["batch"]]), pa.array([planes(keys[a:b], 7)], pa.binary()),
-                         pa.array([planes(counts[a:b], 4)], pa.binary())], names=["part", "batch", "keys", "counts"])
+                        [pa.array([part], pa.int32()), pa.array([r["batch"]]), pa.array([pack_sorted(keys[a:b])], pa.binary()),
+                         pa.array([pack(counts[a:b])], pa.binary())], names=["part", "batch", "keys", "counts"])
 
     return batches.select("batch", "sizes", "vocab", "seq").mapInArrow(run, "part int, batch string, keys binary, counts binary")
 
 
 def _answer(table: pa.Table) -> pa.Table:
     """Totals of a range of the count table, for every row that asked."""
-    keys = [unplanes(k, 7) for k in table.column("keys").to_pylist()]
-    counts = np.concatenate([unplanes(c, 4) for c in table.column("counts").to_pylist()])
+    keys = [unpack_sorted(k) for k in table.column("keys").to_pylist()]
+    counts = np.concatenate([unpack(c) for c in table.column("counts").to_pylist()])
     size = np.cumsum([0] + [len(k) for k in keys])
     keys = np.concatenate(keys)
     order = np.argsort(keys)
@@ -120,15 +143,14 @@ def _answer(table: pa.Table) -> pa.Table:
     answer = np.empty(len(keys), np.int64)
     answer[order] = total[np.cumsum(new) - 1]
     return pa.table({"batch": table.column("batch"), "part": table.column("part"),
-                     "totals": pa.array([planes(answer[a:b], 5) for a, b in zip(size[:-1], size[1:])], pa.binary())})
+                     "totals": pa.array([pack(answer[a:b]) for a, b in zip(size[:-1], size[1:])], pa.binary())})
 
 
 def backoff_scores(words: np.ndarray, first: np.ndarray, lookup, order: int, total: int, min_count: int, backoff: float):
     """(log score, words of the history used) of every word; ``lookup`` gives the counts of keys."""
     n = len(words)
-    grams = gram_keys(words, first, order)
     counts = []
-    for at, keys in grams:
+    for at, keys in gram_keys(words, first, order):
         c = np.zeros(n, np.int64)
         c[at] = lookup(keys)
         counts.append(c)  # by the n-gram's first word
@@ -161,11 +183,11 @@ def lm_scores(docs: DataFrame, order: int = ORDER, min_count: int = 2, backoff:
     def score(own: pa.Table, got: pa.Table) -> pa.Table:
         out = []
         parts = sorted(zip(got.column("part").to_pylist(), got.column("totals").to_pylist()))
-        totals = np.concatenate([unplanes(t, 5) for _, t in parts]).astype(np.int64) if parts else np.zeros(0, np.int64)
+        totals = np.concatenate([unpack(t) for _, t in parts]).astype(np.int64) if parts else np.zeros(0, np.int64)
         for r in range(own.num_rows):
             sizes = np.array(own.column("sizes")[r].as_py(), np.int64)
             words, first = _sequence(own.column("vocab")[r].as_py(), own.column("seq")[r].as_py(), sizes)
-            keys = np.unique(np.concatenate([k for _, k in gram_keys(words, first, order)]))
+            keys = distinct_grams(words, first, order)[0]
             s, used = backoff_scores(words, first, lambda k: totals[np.searchsorted(keys, k)], order, total, min_count, backoff)
             full = np.flatnonzero(sizes > 0)
             log_score = np.zeros(len(sizes))
