@@ -12,8 +12,10 @@ the input.
 3. Names are aggregated to their smallest and largest document and joined back:
    a symbol is flagged if a smaller / a larger document has it.
 4. Equal windows have equal interior symbols, so a window can repeat only if
-   *all* of its interior symbols are flagged alike.  Only such windows - and
-   those without interior symbols, as in runs of one word - are verified: by a
+   *all* of its interior symbols (those of enough words to be rare) are flagged
+   alike.  Windows without such symbols are judged by an earlier parse.  Only
+   windows that pass - and those without symbols even there, as in runs of one
+   word - are verified: by a
    96-bit fingerprint of the window, grouped to its smallest document.
 5. Windows that a smaller document has are sent back to their documents.
 
@@ -40,6 +42,8 @@ from tidemark.llm.words import U64, mix, ngram_hashes, segments, span_hashes, wi
 from tidemark.operators.materialize import materialize
 
 WINDOW = 50
+#: words that a symbol of the last / the early parse must stand for to count as evidence
+COARSE_WORDS, FINE_WORDS = 5, 2
 
 
 def _digest(h: np.ndarray) -> tuple[int, int]:
@@ -47,14 +51,27 @@ def _digest(h: np.ndarray) -> tuple[int, int]:
     return int(d[0]), int(d[1])
 
 
-def _marked(p: Parse, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(interior from, to for each window, symbols that lie in any interior)."""
+def _heavy(p: Parse, least: int) -> np.ndarray:
+    """Symbols that stand for at least ``least`` words: light ones repeat everywhere by chance and tell nothing."""
+    return (p.b - p.a) >= least
+
+
+def _running(x: np.ndarray) -> np.ndarray:
+    c = np.zeros(len(x) + 1, np.int64)
+    np.cumsum(x, out=c[1:])
+    return c
+
+
+def _marked(p: Parse, starts: np.ndarray, window: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(windows whose interior has no heavy symbol, heavy symbols that lie in any interior)."""
     i, j = interior(p, starts, window)
+    heavy = _heavy(p, least)
+    c = _running(heavy)
     d = np.zeros(len(p.name) + 1, np.int64)
     full = j > i
     np.add.at(d, i[full], 1)
     np.add.at(d, j[full], -1)
-    return i, j, np.cumsum(d[:-1]) > 0
+    return c[j] == c[i], heavy & (np.cumsum(d[:-1]) > 0)
 
 
 def _lists(values: np.ndarray, ends: np.ndarray, kind) -> pa.ListArray:
@@ -78,10 +95,10 @@ def profile(docs: DataFrame, window: int) -> DataFrame:
             for a, b, data, off in segments(batch.column(1)):
                 _, _, first, h, at = _windows(data, off, window)
                 coarse, fine = parse(h, first)
-                i, j, use = _marked(coarse, at, window)
-                bare = at[i >= j]
-                fi, fj, fine_use = _marked(fine, bare, window)
-                loose_at = bare[fi >= fj]
+                empty, use = _marked(coarse, at, window, COARSE_WORDS)
+                bare = at[empty]
+                empty, fine_use = _marked(fine, bare, window, FINE_WORDS)
+                loose_at = bare[empty]
                 loose = np.zeros(b - a, bool)
                 loose[np.searchsorted(first, loose_at, side="right") - 1] = True
                 names, counts = [], []
@@ -103,15 +120,27 @@ def profile(docs: DataFrame, window: int) -> DataFrame:
         run, f"id {id_type}, n_words long, d1 long, d2 long, text_sha256 string, names array<long>, loose boolean")
 
 
-def _all_flagged(p: Parse, i: np.ndarray, j: np.ndarray, names: np.ndarray, flags: np.ndarray, bit: int) -> np.ndarray:
-    """Do all interior symbols [i, j) carry the flag?  ``names`` is sorted."""
-    if not len(names):
-        return i >= j
-    k = np.minimum(np.searchsorted(names, p.name), len(names) - 1)
-    has = (names[k] == p.name) & ((flags[k] & bit) > 0)
-    c = np.zeros(len(has) + 1, np.int64)
-    np.cumsum(~has, out=c[1:])
-    return c[np.maximum(i, j)] == c[i]
+def _all_flagged(p: Parse, starts: np.ndarray, window: int, least: int, key: np.ndarray, flag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(windows without a heavy interior symbol, windows whose heavy interior symbols are all flagged alike).
+
+    ``key`` holds the flagged symbols of each text, sorted.
+    """
+    i, j = interior(p, starts, window)
+    heavy = _heavy(p, least)
+    own = mix(p.name ^ _text_of(p.first))
+    k = np.minimum(np.searchsorted(key, own), max(len(key) - 1, 0))
+    has = np.where(key[k] == own, flag[k], 0) if len(key) else np.zeros(len(own), np.int64)
+    c = _running(heavy)
+    ok = np.zeros(len(starts), bool)
+    for bit in (1, 2):
+        miss = _running(heavy & ((has & bit) == 0))
+        ok |= miss[j] == miss[i]
+    return c[j] == c[i], ok
+
+
+def _text_of(first: np.ndarray) -> np.ndarray:
+    """A key per element that tells the texts of a run apart."""
+    return np.repeat(mix(np.arange(1, len(first), dtype=U64)), np.diff(first))
 
 
 def verified_windows(todo: DataFrame, window: int) -> DataFrame:
@@ -120,32 +149,31 @@ def verified_windows(todo: DataFrame, window: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            ids = batch.column(0)
-            flagged = batch.column(4).to_pylist()
-            want = list(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()))
-            for a, b, data, off in segments(batch.column(3), 0):  # text by text
+            want = np.column_stack([batch.column(k).to_numpy(zero_copy_only=False) for k in (1, 2)])
+            names, flags = batch.column(4), batch.column(5)
+            for a, b, data, off in segments(batch.column(3)):
                 _, _, first, h, at = _windows(data, off, window)
-                if not len(at) or _digest(h) != want[a]:
-                    continue
+                same = np.array([_digest(h[x:y]) for x, y in zip(first[:-1], first[1:])]) == want[a:b]
+                text = np.searchsorted(first, at, side="right") - 1
+                at, text = at[same.all(1)[text]], text[same.all(1)[text]]
+                part, bits = names.slice(a, b - a), flags.slice(a, b - a)
+                n = np.array([0, *np.cumsum(part.value_lengths().fill_null(0).to_numpy())])
+                key = mix(part.flatten().to_numpy().view(U64) ^ _text_of(n))
+                order = np.argsort(key)
+                key, bit = key[order], bits.flatten().to_numpy()[order].astype(np.int64)
                 coarse, fine = parse(h, first)
-                pairs = sorted((s["name"], s["flag"]) for s in flagged[a] or ())
-                names = np.array([x for x, _ in pairs], np.int64).view(U64)
-                flags = np.array([x for _, x in pairs], np.int64)
-                order = np.argsort(names)
-                names, flags = names[order], flags[order]
-                i, j = interior(coarse, at, window)
-                fi, fj = interior(fine, at, window)
-                ok = np.zeros(len(at), bool)
-                for bit in (1, 2):
-                    ok |= np.where(j > i, _all_flagged(coarse, i, j, names, flags, bit), _all_flagged(fine, fi, fj, names, flags, bit))
-                g = ngram_hashes(h, window)[at[ok]]
-                check = ngram_hashes(mix(h ^ U64(0x5851F42D4C957F2D)), window)[at[ok]]
-                g, one = np.unique(g, return_index=True)
+                bare, ok = _all_flagged(coarse, at, window, COARSE_WORDS, key, bit)
+                ok[bare] = _all_flagged(fine, at[bare], window, FINE_WORDS, key, bit)[1]
+                at, text = at[ok], text[ok]
+                g = ngram_hashes(h, window)[at]
+                check = ngram_hashes(mix(h ^ U64(0x5851F42D4C957F2D)), window)[at] >> U64(33)
+                one = np.sort(np.unique(mix(g ^ mix(text.astype(U64))), return_index=True)[1])  # a window once per text
+                n = np.cumsum(np.bincount(text[one], minlength=b - a))
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, 1), _lists(g.view(np.int64), np.array([len(g)]), pa.int64()),
-                     _lists((check[one] >> U64(33)).astype(np.int32), np.array([len(g)]), pa.int32())], names=["id", "h", "c"])
+                    [batch.column(0).slice(a, b - a), _lists(g[one].view(np.int64), n, pa.int64()), _lists(check[one].astype(np.int32), n, pa.int32())],
+                    names=["id", "h", "c"])
 
-    return todo.select("id", "d1", "d2", "text", "flags").mapInArrow(run, f"id {id_type}, h array<long>, c array<int>")
+    return todo.select("id", "d1", "d2", "text", "names", "flags").mapInArrow(run, f"id {id_type}, h array<long>, c array<int>")
 
 
 def cut(todo: DataFrame, removal: DataFrame, window: int) -> DataFrame:
@@ -186,7 +214,8 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
     named = classes.select(F.explode("names").alias("name"), "rep")
     shared = materialize(named.groupBy("name").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi"), "shared-names")
     flag = (F.col("lo") < F.col("rep")).cast("int") + F.lit(2) * (F.col("hi") > F.col("rep")).cast("int")
-    flags = named.join(shared, "name").groupBy("rep").agg(F.collect_list(F.struct("name", flag.alias("flag"))).alias("flags"))
+    flags = named.join(shared, "name").groupBy("rep").agg(F.collect_list(F.struct("name", flag.alias("flag"))).alias("f"))
+    flags = flags.select("rep", F.col("f.name").alias("names"), F.col("f.flag").alias("flags"))
     wanted = classes.select("rep", "d1", "d2", "loose").join(flags, "rep", "left").filter("loose or flags is not null")
     todo = materialize(src.join(wanted.withColumnRenamed("rep", "id").drop("loose"), "id"), "to-verify")
 
