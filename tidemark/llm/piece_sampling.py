@@ -36,6 +36,7 @@ from tidemark.llm.words import U64, mix, segments
 BLANK = 0x2581
 LITERAL = 0x110000  #: stands for a literal U+2581, which no piece matches
 CHUNK_CHARS = 1 << 20
+UNIT = 28  #: bits of a draw
 
 
 class Model:
@@ -86,6 +87,9 @@ class Model:
         keys = np.array([(a << 21) | c for a, c in child], np.int64)
         order = np.argsort(keys)
         self.keys, self.child, self.ends = keys[order], np.array(list(child.values()), np.int64)[order], np.array(ends, np.int64)
+        self.roots = np.full(LITERAL + 1, -1, np.int32)  # the first step needs no search
+        at_root = self.keys >> 21 == 0
+        self.roots[self.keys[at_root] & ((1 << 21) - 1)] = self.child[at_root]
         inside = any("▁" in p.lstrip("▁") for p in pieces.values())
         feed = any("\n" in p for p in pieces.values())
         self.unit = re.compile(r".+" if inside else r" *[^ ]+| +" if feed else r" *[^ \n]+| +|\n", re.S)
@@ -115,7 +119,7 @@ class Lattices:
         while len(pos):
             ok = pos + k < limit[pos]
             pos, node = pos[ok], node[ok]
-            node = model.step(node, ch[pos + k])
+            node = model.step(node, ch[pos + k]) if k else model.roots[ch[pos]].astype(np.int64)
             pos, node = pos[node >= 0], node[node >= 0]
             k += 1
             hit = model.ends[node] >= 0
@@ -140,7 +144,7 @@ class Lattices:
         # forward filtering, all words at once, by distance from the word's start
         total = np.zeros(n_nodes)
         if n:
-            depth = node_of - self.start_node[np.searchsorted(self.end_node, node_of)]
+            depth = (dst - (end - size)[word[src]])[order][first]
             by = np.argsort(depth, kind="stable")
             cuts = np.searchsorted(depth[by], np.arange(1, depth.max() + 2))
             for a, b in zip(cuts[:-1], cuts[1:]):
@@ -151,13 +155,14 @@ class Lattices:
                 at = np.concatenate(([0], np.cumsum(c)[:-1]))
                 top = np.maximum.reduceat(v, at)
                 total[node_of[nodes]] = top + np.log(np.add.reduceat(np.exp(v - np.repeat(top, c)), at))
+        # cumulative shares per node, in units of 2**-28 behind the node's rank: exact,
+        # so that a draw picks the same edge wherever the word stands in a batch
         share = np.exp(total[self.src] + w - total[to])
-        run = np.cumsum(share)
-        base = np.repeat(run[first] - share[first], count) if n else run
+        for k in range(1, int(count.max(initial=0))):
+            e = first[count > k] + k
+            share[e] += share[e - 1]
         rank = np.repeat(np.arange(len(first)), count)
-        self.cdf = rank + np.minimum(run - base, 1.0)
-        if n:
-            self.cdf[first + count - 1] = np.arange(len(first)) + 1.0
+        self.cdf = (rank << UNIT) + np.minimum((share * (1 << UNIT)).astype(np.int64), 1 << UNIT)
         self.rank = np.full(n_nodes, -1, np.int64)
         self.rank[node_of] = np.arange(len(first))
         self.last = first + count - 1
@@ -181,9 +186,9 @@ class Lattices:
         steps = []
         k = 0
         while len(live):
-            u = (mix(key[live] + U64(0x9E3779B97F4A7C15 * (k + 1) & (2**64 - 1))) >> U64(11)).astype(np.float64) / float(1 << 53)
+            u = (mix(key[live] + U64(0x9E3779B97F4A7C15 * (k + 1) & (2**64 - 1))) >> U64(64 - UNIT)).astype(np.int64)
             r = self.rank[cur[live]]
-            e = np.minimum(np.searchsorted(self.cdf, r + u, side="right"), self.last[r])
+            e = np.minimum(np.searchsorted(self.cdf, (r << UNIT) + u, side="right"), self.last[r])
             steps.append((live, e))
             cur[live] = self.src[e]
             live = live[cur[live] != stop[live]]
