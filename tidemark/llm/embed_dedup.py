@@ -35,7 +35,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components
@@ -226,18 +226,24 @@ def near_duplicate_vectors(vectors: DataFrame, least: float = 0.98, subspaces: i
         index, f"label {label_t}, dim int, rep {id_t}, vec binary, n long, list int, code binary, err double, probes array<int>"), "coded")
 
     # lists -> blocks (a list longer than a block is split), queries of a block -> chunks
-    by_group = Window.partitionBy("label", "dim")
-    lists = coded.groupBy("label", "dim", "list").agg(F.count(F.lit(1)).alias("m"))
-    lists = lists.select("label", "dim", "list", F.ceil(F.col("m") / block).cast("int").alias("parts"),
-                         F.ceil(F.sum("m").over(by_group) / block).cast("int").alias("blocks"))
-    lists = materialize(lists, "lists")
-    block_of = F.pmod(F.xxhash64("list", "part"), F.col("blocks")).cast("int").alias("block")
-    members = (coded.drop("probes").join(lists, ["label", "dim", "list"])
-               .withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
-               .select("label", "dim", block_of, F.lit(0).alias("role"), "rep", "n", "vec", "list", "code", "err"))
-    where = lists.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("label", "dim", "list", block_of)
-    asked = materialize(coded.select("label", "dim", "rep", F.explode("probes").alias("list")).join(where, ["label", "dim", "list"])
-                        .select("label", "dim", "rep", "block").distinct(), "asked")
+    sizes = coded.groupBy("label", "dim", "list").agg(F.count(F.lit(1)).alias("m"))
+    # a row per label: number of blocks, and the parts of lists that are split (at most MAX_LISTS entries)
+    plan = materialize(sizes.groupBy("label", "dim").agg(
+        F.ceil(F.sum("m") / block).cast("int").alias("blocks"),
+        F.map_from_entries(F.collect_list(F.when(F.col("m") > block, F.struct("list", F.ceil(F.col("m") / block).cast("int"))))).alias("parts")), "blocks")
+
+    def parts_of(which):
+        return F.coalesce(F.try_element_at("parts", which), F.lit(1))
+
+    def block_of(which, part):
+        return F.pmod(F.xxhash64(which, part), F.col("blocks")).cast("int")
+
+    placed = coded.join(plan, ["label", "dim"])
+    members = (placed.withColumn("part", F.pmod(F.xxhash64("rep"), parts_of(F.col("list"))).cast("int"))
+               .select("label", "dim", block_of(F.col("list"), F.col("part")).alias("block"), F.lit(0).alias("role"), "rep", "n", "vec", "list", "code", "err"))
+    blocks = F.array_distinct(F.flatten(F.transform("probes", lambda p: F.transform(
+        F.sequence(F.lit(0), parts_of(p) - 1), lambda k: block_of(p, k)))))
+    asked = materialize(placed.select("label", "dim", "rep", F.explode(blocks).alias("block")), "asked")
     load = materialize(asked.groupBy("label", "dim", "block").agg(F.ceil(F.count(F.lit(1)) / (2 * block)).cast("int").alias("chunks")), "load")
     on = ["label", "dim", "block"]
     queries = (asked.join(load, on).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")).drop("chunks")
