@@ -18,8 +18,8 @@ n-gram would move the corpus many times over, so both sides travel in blocks:
    ``c(h w) >= min_count``, times ``backoff`` for every word that was dropped
    from the history; without history ``c(w) / N``.
 
-n-grams do not cross documents.  Fingerprints carry 56 bits within their range
-of the hash space.  Null or empty text: no words, score 0, mean null.  Repeated
+n-grams do not cross documents.  Keys are fingerprints whose bits grow with the
+number of n-grams (``key_bits``).  Null or empty text: no words, score 0, mean null.  Repeated
 rows and null ids count and are scored like others.  An empty table gives an
 empty result.
 """
@@ -65,16 +65,21 @@ def unpack_sorted(raw: bytes) -> np.ndarray:
     return np.cumsum(unpack(raw), dtype=U64)
 
 
-def gram_keys(words: np.ndarray, first: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For n = 1 .. order: (first word of every n-gram, its 56-bit key)."""
+def key_bits(n_grams: int) -> int:
+    """Bits of a key: about one n-gram in eight million shares its key with another; at least 52, at most 64."""
+    return max(52, min(64, int(n_grams).bit_length() + 23))
+
+
+def gram_keys(words: np.ndarray, first: np.ndarray, order: int, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For n = 1 .. order: (first word of every n-gram, its key of ``bits`` bits)."""
     for n in range(1, order + 1):
         at = np.flatnonzero(within(first, n))
-        yield at, mix(ngram_hashes(words, n)[at] + U64(n)) >> U64(8)
+        yield at, mix(ngram_hashes(words, n)[at] + U64(n)) >> U64(64 - bits)
 
 
-def distinct_grams(words: np.ndarray, first: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+def distinct_grams(words: np.ndarray, first: np.ndarray, order: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """(sorted keys, counts) of the different n-grams of all orders."""
-    each = [np.unique(keys, return_counts=True) for _, keys in gram_keys(words, first, order)]
+    each = [np.unique(keys, return_counts=True) for _, keys in gram_keys(words, first, order, bits)]
     keys = np.concatenate([k for k, _ in each])
     by = np.argsort(keys, kind="stable")
     return keys[by], np.concatenate([c for _, c in each])[by]
@@ -106,20 +111,20 @@ def word_batches(docs: DataFrame, batch_bytes: int) -> DataFrame:
     return docs.select("id", "text").mapInArrow(run, f"batch string, ids array<{id_type}>, sizes array<long>, n_words long, vocab binary, seq binary")
 
 
-def _limits(n_ranges: int) -> np.ndarray:
-    """First 56-bit key of every range but the first."""
-    return np.array([(i << 56) // n_ranges for i in range(1, n_ranges)], U64)
+def _limits(n_ranges: int, bits: int) -> np.ndarray:
+    """First key of every range but the first."""
+    return np.array([(i << bits) // n_ranges for i in range(1, n_ranges)], U64)
 
 
-def requests(batches: DataFrame, order: int, n_ranges: int) -> DataFrame:
+def requests(batches: DataFrame, order: int, n_ranges: int, bits: int) -> DataFrame:
     """(part, batch, keys, counts): the different n-grams of every batch by range."""
 
     def run(it):
-        limits = _limits(n_ranges)
+        limits = _limits(n_ranges, bits)
         for rb in it:
             for r in rb.to_pylist():
                 words, first = _sequence(r["vocab"], r["seq"], np.array(r["sizes"]))
-                keys, counts = distinct_grams(words, first, order)
+                keys, counts = distinct_grams(words, first, order, bits)
                 cut = np.concatenate(([0], np.searchsorted(keys, limits), [len(keys)]))
                 for part in np.flatnonzero(np.diff(cut)).tolist():
                     a, b = cut[part], cut[part + 1]
@@ -146,11 +151,11 @@ def _answer(table: pa.Table) -> pa.Table:
                      "totals": pa.array([pack(answer[a:b]) for a, b in zip(size[:-1], size[1:])], pa.binary())})
 
 
-def backoff_scores(words: np.ndarray, first: np.ndarray, lookup, order: int, total: int, min_count: int, backoff: float):
+def backoff_scores(words: np.ndarray, first: np.ndarray, lookup, order: int, bits: int, total: int, min_count: int, backoff: float):
     """(log score, words of the history used) of every word; ``lookup`` gives the counts of keys."""
     n = len(words)
     counts = []
-    for at, keys in gram_keys(words, first, order):
+    for at, keys in gram_keys(words, first, order, bits):
         c = np.zeros(n, np.int64)
         c[at] = lookup(keys)
         counts.append(c)  # by the n-gram's first word
@@ -177,7 +182,8 @@ def lm_scores(docs: DataFrame, order: int = ORDER, min_count: int = 2, backoff:
     batches = spark.read.parquet(path)
     total = batches.agg(F.sum("n_words").alias("n")).first()["n"] or 0
     n_ranges = max(1, -(-total * order // range_grams))
-    answers = requests(batches, order, n_ranges).groupBy("part").applyInArrow(_answer, "batch string, part int, totals binary")
+    bits = key_bits(total * order)
+    answers = requests(batches, order, n_ranges, bits).groupBy("part").applyInArrow(_answer, "batch string, part int, totals binary")
     id_type = src.schema["id"].dataType.simpleString()
 
     def score(own: pa.Table, got: pa.Table) -> pa.Table:
@@ -187,8 +193,8 @@ def lm_scores(docs: DataFrame, order: int = ORDER, min_count: int = 2, backoff:
         for r in range(own.num_rows):
             sizes = np.array(own.column("sizes")[r].as_py(), np.int64)
             words, first = _sequence(own.column("vocab")[r].as_py(), own.column("seq")[r].as_py(), sizes)
-            keys = distinct_grams(words, first, order)[0]
-            s, used = backoff_scores(words, first, lambda k: totals[np.searchsorted(keys, k)], order, total, min_count, backoff)
+            keys = distinct_grams(words, first, order, bits)[0]
+            s, used = backoff_scores(words, first, lambda k: totals[np.searchsorted(keys, k)], order, bits, total, min_count, backoff)
             full = np.flatnonzero(sizes > 0)
             log_score = np.zeros(len(sizes))
             by_order = np.zeros((len(sizes), order), np.int64)
