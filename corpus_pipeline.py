@@ -27,7 +27,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of every group of near duplicates."""
+    """Keeps one document of every group of near duplicates (similarity 0.80 or more)."""
     ship_package(spark)
     return drop_near_duplicates(docs)
 

@@ -203,6 +203,29 @@ def test_blocks_join_whole_groups():
     assert len(across) == 9 and all(a < 5 <= b for a, b in across)
 
 
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_pipeline_stage_links_from_80_percent(spark, make_docs, partitions):
+    rng = random.Random(partitions)
+    rows = near_rows(80)
+    for k in range(60):  # 100 shingles, n of them replaced at the end: similarity (100 - n) / (100 + n)
+        w = [f"w{k}x{i}" for i in range(104)]
+        rows += [(2000 + 2 * k, " ".join(w)), (2001 + 2 * k, " ".join(w[:104 - (n := rng.choice((8, 9, 10, 11, 11, 12)))] + [f"v{k}x{i}" for i in range(n)]))]
+    sets = {i: shingles(t) for i, t in rows}
+    near = [(a, b, 100 * len(sets[a] & sets[b]) / len(sets[a] | sets[b])) for a in sets for b in sets if a < b and sets[a] & sets[b]]
+    comp = groups(sets, [(a, b) for a, b, s in near if s >= 80])
+    assert comp != groups(sets, [(a, b) for a, b, s in near if s >= 85])
+    kept = CP.near_duplicates(spark, make_docs(rows, partitions), SF_SMALL)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i in sets if comp[i] == i)
+
+
+def test_stage_bands_miss_less_than_one_in_a_million():
+    # one permutation gives two values of a band: its smallest and its largest
+    for union in range(5, 2000):
+        common = -(-MH.STAGE_PERCENT * union // 100)
+        both = common / union * (common - 1) / (union - 1)
+        assert (1 - both ** (MH.STAGE_ROWS // 2)) ** MH.STAGE_BANDS < 1e-6
+
+
 def test_min_max_bands_find_similar_sets():
     rng = np.random.default_rng(0)
     missed = 0

@@ -20,7 +20,9 @@ when the Jaccard similarity of their sets reaches ``percent``.
 5. Components of the confirmed links give the answer.
 
 With 24 bands of 5 values a pair at similarity 0.85 misses all bands with a
-probability below 1e-6.  Null or wordless texts have an empty set and are
+probability below 1e-6; with ``STAGE_BANDS`` x ``STAGE_ROWS`` (31 bands of 4, the
+pipeline stage) so does a pair at 0.80: 8e-8 for large sets, 9.8e-7 for sets that
+share 4 of 5 shingles, the smallest that reach it.  Null or wordless texts have an empty set and are
 linked with nothing; so are rows with a null id (``component_id`` null, kept).
 Rows that repeat an id stand for one node.  An empty table gives an empty result.
 """
@@ -40,6 +42,8 @@ from tidemark.operators.materialize import materialize
 
 SHINGLE = 5
 BANDS, ROWS = 24, 5
+#: the pipeline stage links from this similarity on
+STAGE_PERCENT, STAGE_BANDS, STAGE_ROWS = 80, 31, 4
 BLOCK = 256
 
 
@@ -252,7 +256,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = SHINGLE,
     return out.select("id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)))
 
 
-def drop_near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, percent: int = STAGE_PERCENT, bands: int = STAGE_BANDS, rows: int = STAGE_ROWS,
+                         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that represent their group, with all columns."""
-    gone = materialize(near_duplicates(docs, percent, id_col=id_col, text_col=text_col).filter(~F.col("kept")).select(F.col("id").alias("_gone")).distinct(), "gone")
+    gone = materialize(near_duplicates(docs, percent, bands=bands, rows=rows, id_col=id_col, text_col=text_col).filter(~F.col("kept")).select(F.col("id").alias("_gone")).distinct(), "gone")
     return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
