@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import random
 import re
 from collections import Counter
 
@@ -130,6 +131,24 @@ def test_secrets(spark, make_docs):
     assert out.filter("n_chars <> length(text)").count() == 0 and out.count() == len(rows)
 
 
+def test_entropy_finds_random_secrets_of_every_class():
+    scan = SS.Scanner().scan
+    rng = random.Random(7)
+    upper, lower, digits = (bytes(range(a, a + n)).decode() for a, n in ((65, 26), (97, 26), (48, 10)))
+    for alphabet in (upper + lower, upper + lower + digits, upper + lower + digits + "+/", upper + "234567", lower + digits):
+        for n in (20, 24, 32, 40):
+            keys = ["".join(rng.choices(alphabet, k=n)) for _ in range(300)]
+            assert sum(bool(scan(f"see {k} now")) for k in keys) >= 255  # 85%
+    key = "kR7mZq2Xv9TbL4nWc8Yp3HsD"
+    for before in ("sample_key=", "samples/", "see my-example-", "dummy=x_", "docs/" + "some/longer/path/of/words/" * 8):
+        found = scan(before + key)
+        assert found and found[0][1] <= len(before) and found[-1][2] == len(before) + len(key)
+    assert scan("sample_key=" + key) == [("entropy_alnum", 11, 35)] and scan("samples/" + key) == [("entropy_alnum", 8, 32)]
+    for plain in ("getElementsByTagNameFromDocument", "articles/2023/12/05/introduction-to-something", "INTERNATIONALIZATION", "2023-12-05-2024-01-07-00-00",
+                  "id=123e4567-e89b-12d3-a456-426614174000", "=" * 60, "a_very_long_name_of_a_variable_2", "some/longer/path/of/words/" * 8):
+        assert scan("see " + plain) == []
+
+
 def test_base_spans_equal_plain_patterns(spark):
     letters = "".join
     word = "|".join(letters(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_", "apikey"))

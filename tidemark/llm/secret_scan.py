@@ -2,16 +2,21 @@
 
 Patterns (kinds ``assign``, ``access``, ``hex``) are matched leftmost and
 non-overlapping over whole texts; short matches are dropped.  The entropy
-scan takes *candidate strings* - runs of at least ``window`` characters of
-``[A-Za-z0-9+/_=-]`` - and slides a window of ``window`` characters over each.
-The character counts of the window are kept incrementally (one character
-leaves, one enters), so a step costs O(1).  A window counts when its Shannon
-entropy reaches the threshold of its class: ``hex`` (only hexadecimal digits),
-``alnum`` (letters and digits) or ``base64`` (others as well); a secret mixes
-letters and digits, so a window needs ``MIN_DIGITS`` of them and ``MIN_LETTERS``.  Counting windows
-that touch are joined into one span of kind ``entropy_<class>``.  Spans on the
-allow list (placeholders, UUIDs, repeated units, links) and spans inside a
-pattern match are suppressed.
+scan takes *candidate strings* - runs of at least ``shortest`` characters of
+``[A-Za-z0-9+/_=-]``.  A run that holds ``=`` before its end is cut there (a
+name and its value), and parts between ``+/_=-`` that are on the allow list
+(placeholder words, repeated units) are cut out, so that a word beside a value
+does not hide it.  Over what is left slides a window of ``window`` characters,
+or of the whole value if it is shorter.  The value must mix character classes
+(``mixes``); if it does not, as a long path with a secret in it, the window must.  The character counts of the window are kept incrementally (one
+character leaves, one enters), so a step costs O(1).  A window counts when its
+Shannon entropy reaches the threshold of its class: ``hex`` (only hexadecimal
+digits), ``alnum`` (letters and digits; a lower one if the value has letters of
+one case only, as base32 has) or ``base64`` (others as well).  Thresholds are
+for a window of 24 and scale with the logarithm of the length.  Counting
+windows that touch are joined into one span of kind ``entropy_<class>``.
+Values and spans on the allow list (UUIDs, digits or letters in order) and
+spans inside a pattern match are suppressed.
 
 Offsets are code points, end exclusive.  Null text counts as empty: no spans.
 Repeated rows and null ids are returned as they come; an empty table gives an
@@ -36,8 +41,6 @@ ORDER = {k: i for i, k in enumerate(KINDS)}
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-MIN_DIGITS = 3
-MIN_LETTERS = 3
 
 #: suppressed whatever their entropy
 ALLOWED = (
@@ -50,10 +53,12 @@ ALLOWED = (
 
 @dataclass(frozen=True)
 class EntropyRule:
-    """Window length and thresholds (bits per character) by class."""
+    """Window length, shortest value and thresholds (bits per character of a window of 24) by class."""
 
     window: int = 24
+    shortest: int = 16
     hex_bits: float = 3.0
+    single_case_bits: float = 3.4
     alnum_bits: float = 3.9
     base64_bits: float = 4.0
     allowed: tuple[str, ...] = ALLOWED
@@ -88,33 +93,53 @@ def window_entropies(s: str, window: int) -> list[float]:
 
 
 _HEX_CHARS = frozenset("0123456789abcdefABCDEF")
+_JOINT = re.compile(r"[+/_=-]+")
+#: neighbours of different class: lower-case letter, upper-case letter, digit
+_TURN = re.compile(r"(?<=[a-z])(?=[A-Z0-9])|(?<=[A-Z])(?=[a-z0-9])|(?<=[0-9])(?=[A-Za-z])")
+
+
+def mixes(s: str, share: int = 4) -> bool:
+    """Does a value mix character classes as drawn ones do?
+
+    Classes change between neighbours, at least once in eight characters (words,
+    numbers and dates joined by separators change rarely), and there are digits
+    (a sixteenth of the letters and digits) or letters of both cases (one in
+    ``share`` each; names in camel case have fewer capitals).
+    """
+    if s.islower() and s.isalpha():
+        return False
+    digits = sum(map(str.isdigit, s))
+    upper = sum(map(str.isupper, s))
+    lower = sum(map(str.islower, s))
+    if not upper + lower:
+        return False
+    if 16 * digits < digits + upper + lower and share * min(upper, lower) < upper + lower:
+        return False
+    return len(_TURN.findall(s)) >= max(2, len(s) // 8)
 
 
 def entropy_spans(s: str, rule: EntropyRule) -> list[tuple[str, int, int]]:
-    """(kind, start, end) in a candidate string, before suppression by pattern matches."""
-    w = rule.window
-    if sum(map(str.isdigit, s)) < MIN_DIGITS:
+    """(kind, start, end) in a value, before suppression by pattern matches."""
+    w = min(rule.window, len(s))
+    whole = mixes(s)
+    if w < rule.shortest or not whole and (w == len(s) or not _TURN.search(s)):
         return []
-    digit = [0]
+    scale = math.log2(w) / math.log2(24)
+    alnum_bits = rule.alnum_bits if s.lower() != s != s.upper() else rule.single_case_bits
     plain = [0]
     hexes = [0]
     for ch in s:
-        digit.append(digit[-1] + ("0" <= ch <= "9"))
         plain.append(plain[-1] + ch.isalnum())
         hexes.append(hexes[-1] + (ch in _HEX_CHARS))
     spans: list[list] = []
     for i, bits in enumerate(window_entropies(s, w)):
-        d = digit[i + w] - digit[i]
-        alnum = plain[i + w] - plain[i]
-        if d < MIN_DIGITS or alnum - d < MIN_LETTERS:
-            continue
         if hexes[i + w] - hexes[i] == w:
             kind, least = "entropy_hex", rule.hex_bits
-        elif alnum == w:
-            kind, least = "entropy_alnum", rule.alnum_bits
+        elif plain[i + w] - plain[i] == w:
+            kind, least = "entropy_alnum", alnum_bits
         else:
             kind, least = "entropy_base64", rule.base64_bits
-        if bits < least:
+        if bits < least * scale or not whole and not mixes(s[i:i + w], 3):
             continue
         if spans and i <= spans[-1][2]:
             spans[-1][2] = i + w
@@ -128,11 +153,32 @@ def entropy_spans(s: str, rule: EntropyRule) -> list[tuple[str, int, int]]:
 class Scanner:
     def __init__(self, rule: EntropyRule = EntropyRule()):
         self.rule = rule
-        self.candidate = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % rule.window)
+        self.candidate = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % rule.shortest)
         self.allow = [re.compile(p, re.S) for p in rule.allowed]
 
+    def allowed(self, s: str) -> bool:
+        return any(p.fullmatch(s) for p in self.allow)
+
+    def values(self, run: str) -> list[tuple[int, int]]:
+        """(start, end) of the values in a run: cut behind ``=`` and around parts on the allow list."""
+        found = []
+        end = len(run.rstrip("="))
+        cuts = [0, *(m.end() for m in re.finditer("=", run[:end])), len(run)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if b - a < self.rule.shortest or not _TURN.search(run, a, b):
+                continue
+            at = x = a
+            for m in [*_JOINT.finditer(run, a, b), None]:
+                y = m.start() if m else b
+                if y > x and self.allowed(run[x:y]):
+                    found.append((at, x))
+                    at = m.end() if m else b
+                x = m.end() if m else b
+            found.append((at, b))
+        return [(a, b) for a, b in found if b - a >= self.rule.shortest and not self.allowed(run[a:b])]
+
     def scan(self, text: str, has_long_run: bool = True) -> list[tuple[str, int, int]]:
-        """All spans of a text in order of start, then kind.  ``has_long_run``: it may hold a run of 24 or more candidate characters."""
+        """All spans of a text in order of start, then kind.  ``has_long_run``: it may hold a run of ``shortest`` or more candidate characters."""
         spans = []
         low = text.lower()
         if "passw" in low or "secret" in low or "token" in low or "api" in low:
@@ -143,13 +189,13 @@ class Scanner:
             spans += [("hex", *m.span()) for m in _HEX.finditer(text)]
             base = sorted((a, b) for _, a, b in spans)
             for m in self.candidate.finditer(text):
-                for kind, a, b in entropy_spans(m.group(), self.rule):
-                    a, b = a + m.start(), b + m.start()
-                    if any(x <= a and b <= y for x, y in base):
-                        continue
-                    if any(p.fullmatch(m.group()) or p.fullmatch(text[a:b]) for p in self.allow):
-                        continue
-                    spans.append((kind, a, b))
+                for c, d in self.values(m.group()):
+                    c, d = c + m.start(), d + m.start()
+                    for kind, a, b in entropy_spans(text[c:d], self.rule):
+                        a, b = a + c, b + c
+                        if any(x <= a and b <= y for x, y in base) or self.allowed(text[a:b]):
+                            continue
+                        spans.append((kind, a, b))
         spans.sort(key=lambda x: (x[1], ORDER[x[0]], x[2]))
         return spans
 
@@ -192,7 +238,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     src = docs.select(docs[id_col], docs[text_col])
     id_type = src.schema[id_col].dataType.simpleString()
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-    least = min(24, rule.window)
+    least = min(24, rule.shortest)
 
     def run(batches):
         scanner = Scanner(rule)
@@ -216,7 +262,7 @@ def redact_secrets(docs: DataFrame, rule: EntropyRule = EntropyRule(), text_col:
     """``docs`` with every secret replaced by its kind, and the length column (if there is one) brought up to date; no shuffle."""
     at = docs.columns.index(text_col)
     long_at = docs.columns.index(length_col) if length_col in docs.columns else None
-    least = min(24, rule.window)
+    least = min(24, rule.shortest)
 
     def run(batches):
         scanner = Scanner(rule)
