@@ -54,6 +54,22 @@ def test_medians_of_many_groups_and_of_ties(spark):
     assert PR.exact_median(flags, "x").first()[0] == 1.0
 
 
+def test_density_of_a_class_narrower_than_a_bin(spark):
+    import duckdb
+    rng = np.random.default_rng(3)
+    rows = [("narrow", float(x)) for x in np.abs(rng.normal(size=4000))] + [("wide", float(x)) for x in rng.uniform(0, 20000, 300)]
+    got = {(r["k"], r["gi"]): r["density"] for r in PR.density(spark.createDataFrame(rows, "k string, v double"), "v", "k", grid_points=50).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (k VARCHAR, v DOUBLE)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", rows)
+    want = con.execute("""WITH s AS (SELECT min(v) AS lo, max(v) AS hi FROM t), c AS (SELECT k, count(*) AS n, stddev_samp(v) * pow(count(*), -0.2) AS h FROM t GROUP BY k),
+        g AS (SELECT range AS gi, lo + range * (hi - lo) / 49 AS g FROM range(50), s)
+        SELECT k, gi, any_value(h), sum(exp(-0.5 * pow((g - v) / h, 2))) / (any_value(n) * any_value(h) * sqrt(2 * pi())) FROM t JOIN c USING (k), g GROUP BY k, gi""").fetchall()
+    assert len(got) == len(want) == 100
+    for k, gi, h, d in want:
+        assert abs(got[k, gi] - d) < 0.0152 / h
+
+
 def test_many_categories(spark):
     df = spark.range(5000).select(F.concat(F.lit("v"), "id").alias("c"))
     assert len(FE.fit_categories(df, ["c"])["c"]) == 5000

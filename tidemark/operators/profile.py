@@ -136,25 +136,32 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
 def density(df: DataFrame, column: str, by: str, grid_points: int = 200, fine_bins: int = 1024) -> DataFrame:
     """Gaussian kernel density per class, each class normalised alone.
 
-    Rows are reduced to a fine histogram per class (``fine_bins`` centres);
-    the grid of ``grid_points`` spans the global [min, max] and the estimate
-    is ``sum(n_b * phi((g - x_b)/h)) / (n h)`` with Scott's bandwidth
-    ``h = std * n^(-1/5)``.  Work after the first aggregation is
-    ``classes x fine_bins x grid_points`` — fixed by parameters.
+    Rows are reduced to a fine histogram per class (bin centres); the grid of
+    ``grid_points`` spans the global [min, max] and the estimate is
+    ``sum(n_b * phi((g - x_b)/h)) / (n h)`` with Scott's bandwidth
+    ``h = std * n^(-1/5)``.  Bins are at most ``h / 8`` wide for the smallest
+    bandwidth of a class, and there are ``fine_bins`` at least.  A value is then
+    at most ``h / 16`` from its centre, so the estimate differs from the unbinned
+    one by less than ``max|phi'| / 16 / h = 0.0152 / h`` (3.8% of the kernel's
+    peak) at every grid point.  Only bins that hold values are rows: work after
+    the first aggregation is ``occupied bins x grid_points``.
     """
     x = _q(column).cast("double")
     base = df.select(F.col(by).alias("cls"), x.alias("x")).filter(F.col("x").isNotNull())
     st = base.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
     cls = base.groupBy("cls").agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"))
-    width = F.greatest((F.col("hi") - F.col("lo")) / fine_bins, F.lit(1e-12))
+    h = F.col("sd") * F.pow(F.col("n"), F.lit(-0.2))
+    st = st.crossJoin(cls.agg(F.min(F.when(h > 0, h)).alias("h0")))  # one row each
+    span = F.col("hi") - F.col("lo")
+    bins = F.greatest(F.lit(float(fine_bins)), F.ceil(8 * span / F.col("h0")).cast("double"))  # greatest skips null
+    width = F.greatest(span / bins, F.lit(1e-12))
     fine = (base.crossJoin(F.broadcast(st))
-            .withColumn("b", F.least(F.floor((F.col("x") - F.col("lo")) / width), F.lit(fine_bins - 1)).cast("int"))
+            .withColumn("b", F.least(F.floor((F.col("x") - F.col("lo")) / width).cast("double"), bins - 1))
             .groupBy("cls", "b").agg(F.count(F.lit(1)).alias("nb"))
             .crossJoin(F.broadcast(st))
             .withColumn("xb", F.col("lo") + (F.col("b") + 0.5) * width))
     grid = st.select(F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))).alias("gi"), "lo", "hi") \
              .select("gi", (F.col("lo") + F.col("gi") * (F.col("hi") - F.col("lo")) / (grid_points - 1)).alias("g"))
-    h = F.col("sd") * F.pow(F.col("n"), F.lit(-0.2))
     k = F.col("nb") * F.exp(-0.5 * F.pow((F.col("g") - F.col("xb")) / h, 2))
     j = join_keys(fine, cls, ["cls"]).crossJoin(F.broadcast(grid))  # grid: grid_points rows
     return (j.groupBy("cls", "gi", "g", "n", "sd")
