@@ -159,6 +159,45 @@ def op8(spark, sf_dir):
                          *[F.element_at("n_by_order", k).alias(name) for k, name in enumerate(("n_unigram", "n_bigram", "n_trigram"), 1)])
 
 
+def _crc32(x: str) -> str:
+    """DuckDB expression: unsigned crc32 of the decimal digits of ``x`` (bit by bit; a byte enters before its eight steps)."""
+    return f"""xor(list_reduce(flatten([[ascii(c), 0, 0, 0, 0, 0, 0, 0]::BIGINT[] for c in string_split({x}::VARCHAR, '')]),
+                               lambda x, y: xor(xor(x, y) >> 1, 3988292384 * (xor(x, y) & 1)), 4294967295::BIGINT), 4294967295)"""
+
+
+@register("op12_periodic_runs", rf"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, {_crc32('doc_id')} AS h FROM documents),
+    x AS (SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS planted, (h // 10) % greatest(len(w), 1) AS a, h // 10 AS g FROM d),
+    t AS (SELECT doc_id, n, CASE WHEN planted
+                                 THEN [w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END] for i in range(0, n)]
+                                 ELSE w END AS w FROM x),
+    u AS (SELECT doc_id, n, unnest(w) AS w, generate_subscripts(w, 1) - 1 AS i FROM t),
+    p AS (SELECT l.doc_id, l.i, r.i - l.i AS q FROM u AS l JOIN u AS r ON l.doc_id = r.doc_id AND l.w = r.w AND r.i > l.i AND 3 * (r.i - l.i) <= l.n),
+    c AS (SELECT doc_id, q, min(i) AS s, count(*) + q AS l FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS k FROM p)
+          GROUP BY doc_id, q, k HAVING count(*) + q >= greatest(24, 3 * q)),
+    r AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM c AS o WHERE o.doc_id = c.doc_id AND o.q < c.q AND o.s <= c.s AND o.s + o.l >= c.s + c.l)),
+    b AS (SELECT doc_id, count(*) AS n_runs, first({{'s': s, 'l': l, 'q': q}} ORDER BY l / q::DOUBLE DESC, s, q) AS best,
+                 sha256(string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q)) AS runs_sha256 FROM r GROUP BY doc_id),
+    lost AS (SELECT doc_id, list(DISTINCT i) AS i FROM (SELECT doc_id, unnest(range(s + q, s + l)) AS i FROM r) GROUP BY doc_id)
+    SELECT t.doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.l AS length, best.q AS period, 1000 * best.l // best.q AS exponent_milli,
+           coalesce(runs_sha256, sha256('')) AS runs_sha256,
+           sha256(array_to_string(CASE WHEN lost.i IS NULL THEN w ELSE [w[k] for k in range(1, n + 1) if NOT list_contains(lost.i, k - 1)] END, ' ')) AS collapsed_sha256
+    FROM t LEFT JOIN b USING (doc_id) LEFT JOIN lost USING (doc_id)""")
+def op12(spark, sf_dir):
+    from tidemark.llm.periodic_runs import collapse_runs
+    found = collapse_runs(read_table(spark, sf_dir, "documents"), plant=True)
+
+    def better(best, r):  # exact comparison of length / period; runs come by start, then period
+        return F.when(best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"]), r).otherwise(best)
+
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), better)
+    rows = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), F.when(F.size("runs") > 0, best).alias("best"),
+                        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return rows.select("doc_id", "n_runs", "best.start", "best.length", "best.period",
+                       F.expr("1000 * best.length div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 @register("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline
