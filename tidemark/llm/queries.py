@@ -165,6 +165,29 @@ def _crc32(x: str) -> str:
                                lambda x, y: xor(xor(x, y) >> 1, 3988292384 * (xor(x, y) & 1)), 4294967295::BIGINT), 4294967295)"""
 
 
+@register("op11_prefix_trie", rf"""
+    WITH t AS (SELECT conv_id, {{'r': coalesce(role, ''), 't': coalesce(text, '')}} AS x,
+                      row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS i
+               FROM conversations WHERE conv_id IS NOT NULL),
+    o AS (SELECT conv_id, list(x ORDER BY i) AS w, {_crc32('conv_id')} % 6 AS h FROM t GROUP BY conv_id),
+    c AS (SELECT o.conv_id, coalesce(b.w[1:o.h], []) || o.w[o.h + 1:] AS w FROM o LEFT JOIN o AS b ON b.conv_id = o.conv_id - o.conv_id % 100),
+    p AS (SELECT conv_id, w, unnest(range(0, len(w) + 1)) AS d FROM c),
+    n AS (SELECT d, w[1:d] AS k, min(conv_id) AS conv_id, count(*) AS n_convs, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(w) = d) AS ends
+          FROM p GROUP BY ALL),
+    u AS (SELECT d, n_convs, k, CASE WHEN d > 0 THEN (n_convs - 1) * length(k[d].t) ELSE 0 END AS saved,
+                 NOT EXISTS (SELECT 1 FROM n AS m WHERE m.d = n.d + 1 AND m.k[1:n.d] = n.k) AS leaf FROM n),
+    s AS (SELECT d, k, sum(saved) AS saved, count(*) FILTER (leaf) AS leaves
+          FROM (SELECT a AS d, k[1:a] AS k, saved, leaf FROM (SELECT k, saved, leaf, unnest(range(0, d + 1)) AS a FROM u)) GROUP BY ALL),
+    m AS (SELECT d - 1 AS d, k[1:d - 1] AS k, count(*) AS n FROM n WHERE d > 0 GROUP BY ALL)
+    SELECT n.conv_id, n.d AS depth, q.conv_id AS parent_conv_id, n.n_convs, coalesce(m.n, 0) AS n_children, s.leaves AS n_leaves,
+           s.saved::BIGINT AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+    FROM n JOIN s ON s.d = n.d AND s.k = n.k LEFT JOIN m ON m.d = n.d AND m.k = n.k LEFT JOIN n AS q ON q.d = n.d - 1 AND q.k = n.k[1:n.d - 1]""")
+def op11(spark, sf_dir):
+    from tidemark.llm.prefix_trie import prefix_trie, turn_rows, with_shared_heads
+    nodes = prefix_trie(*with_shared_heads(turn_rows(read_table(spark, sf_dir, "conversations"))))
+    return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
 @register("op12_periodic_runs", rf"""
     WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, {_crc32('doc_id')} AS h FROM documents),
     x AS (SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS planted, (h // 10) % greatest(len(w), 1) AS a, h // 10 AS g FROM d),
