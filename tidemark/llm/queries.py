@@ -221,6 +221,14 @@ def op12(spark, sf_dir):
                        F.expr("1000 * best.length div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
 
 
+@register("op13_toxicity")
+def op13(spark, sf_dir):
+    from tidemark.llm.toxicity import toxicity, train_toxicity
+    docs = read_table(spark, sf_dir, "documents")
+    model = train_toxicity(docs, read_table(spark, sf_dir, "labels"))
+    return toxicity(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
 @register("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline
