@@ -6,16 +6,20 @@ source exceeds ``max_repeat`` times its own size - what it cannot use is
 reshared by weight until none is above.
 
 Every source's documents are put in a random order that depends on the seed
-and the row alone.  A copy's *virtual finish time* is the source's words up to
+and the id alone.  A copy's *virtual finish time* is the source's words up to
 and including it divided by the source's target (later rounds go on counting),
-so sources are served at rates proportional to their targets.  All copies are
-sorted by finish time over the whole table and cut where the budget is used up.
+so sources are served at rates proportional to their targets and the budget,
+the sum of the targets, is used up at virtual time 1.  The mix is sorted by
+finish time over the whole table and truncated there; a copy that time 1 falls
+into is taken if at least half of it is due.  So a source's words are off its
+target by half a document at most, and the whole by the sum of those.
 
 Prefix sums run per (source, slice of the random order), so a source that
 holds a third of all rows is spread over many tasks; only ids, sources and
-sizes are shuffled, never texts.  Null text: size 0, nothing taken.  Null
-source: a source of its own.  Null ids and repeated rows are rows like others.
-An empty table gives an empty result.
+sizes are shuffled for the schedule, texts once to join it and once for the
+order of the mix.  Null text: size 0, nothing taken.  Null source: a source of
+its own.  Null ids are one id; rows of one id, source and text are served one by
+one and stand for each other.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,14 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import hash_uniform
 from tidemark.llm.words import segments, word_spans
 from tidemark.operators.joins import join_keys
 from tidemark.operators.materialize import materialize
 from tidemark.operators.rank import default_bucket_count, dist_cumsum, unit_bucket
 
-#: copies that finish later than this (virtual time; the budget ends at 1) are never served
-HORIZON = 2.0
-
 
 def word_counts(docs: DataFrame, text_col: str = "text", name: str = "size") -> DataFrame:
     """``docs`` with the text replaced by its number of words (null text: 0)."""
@@ -84,37 +86,46 @@ def source_targets(sources: DataFrame, budget: float, max_repeat: int) -> DataFr
     return sources.withColumn("target", F.least(F.col("weight") * F.lit(level), full.cast("double")) if row["weight"] else full.cast("double"))
 
 
-def mix_sources(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), budget_share: float = 1.0, max_repeat: int = 3,
-                seed: int = 42, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row per row of ``docs``: ``id``, ``source``, ``size``, ``source_size``, ``target``, ``copies``, ``taken``."""
-    rows = docs.select(docs[id_col].alias("id"), docs[source_col].alias("source"), docs[text_col].alias("text"))
+def _schedule(rows: DataFrame, weights: Sequence[float], budget_share: float, max_repeat: int, seed: int) -> DataFrame:
+    """``rows`` (id, source, text, and others) without the text, with size, source_size, target, ``cum`` and copies; written once."""
     sizes = materialize(word_counts(rows), "sizes")
     total = sizes.agg(F.sum("size").alias("n")).first()["n"] or 0
-    budget = budget_share * total
-    sources = materialize(source_targets(materialize(ranked_sources(sizes, weights), "ranked"), budget, max_repeat), "targets")
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("id"), F.col("size")), 11) / F.lit(float(1 << 53))
-    n = default_bucket_count(docs.sparkSession)
-    queued = dist_cumsum(sizes.withColumn("_u", draw), ["source"], ["_u", "id", "size"], unit_bucket("_u", n), {"_cum": "size"})
-    queued = materialize(join_keys(queued, sources, ["source"]).drop("weight", "_u"), "queued")
+    sources = materialize(source_targets(materialize(ranked_sources(sizes, weights), "ranked"), budget_share * total, max_repeat), "targets")
+    draw = hash_uniform(seed, F.coalesce(F.col("id").cast("string"), F.lit("")))
+    n = default_bucket_count(rows.sparkSession)
+    queued = dist_cumsum(sizes.withColumn("_u", draw), ["source"], ["_u", "id", "size"], unit_bucket("_u", n), {"cum": "size"})
+    queued = join_keys(queued, sources, ["source"]).drop("weight", "_u")
+    half_due = [F.when((F.col("size") > 0) & (e * F.col("source_size") + F.col("cum") - F.col("size") / 2 <= F.col("target")), 1).otherwise(0) for e in range(max_repeat)]
+    return materialize(queued.withColumn("copies", sum(half_due[1:], half_due[0])), "queued")
 
-    def finish(round_no):
-        return F.when(F.col("target") > 0, (round_no * F.col("source_size") + F.col("_cum")) / F.col("target"))
 
-    copies = (queued.filter("size > 0").select("id", "size", F.explode(F.array(*[finish(F.lit(e)) for e in range(max_repeat)])).alias("_v"))
-              .filter(F.col("_v") <= HORIZON))
-    ordered = dist_cumsum(copies, [], ["_v", "id", "size"], unit_bucket(F.col("_v") / HORIZON, n), {"_run": "size"})
-    end = ordered.filter(F.col("_run") <= F.lit(budget)).agg(F.max("_v").alias("v")).first()["v"]
-    n_copies = sum((F.coalesce(finish(F.lit(e)) <= F.lit(end if end is not None else -1.0), F.lit(False)).cast("int") for e in range(max_repeat)), F.lit(0))
-    return queued.select("id", "source", "size", "source_size", "target", n_copies.alias("copies"), (n_copies * F.col("size")).cast("long").alias("taken"))
+def mix_sources(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), budget_share: float = 1.0, max_repeat: int = 3,
+                seed: int = 42, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """One row per row of ``docs``: ``id``, ``source``, ``size``, ``source_size``, ``target``, ``copies``, ``taken``, ``finish``.
+
+    ``finish`` is the virtual finish time of the row's first copy (null for a target of 0).
+    """
+    rows = docs.select(docs[id_col].alias("id"), docs[source_col].alias("source"), docs[text_col].alias("text"))
+    queued = _schedule(rows, weights, budget_share, max_repeat, seed)
+    return queued.select("id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"),
+                         F.when(F.col("target") > 0, F.col("cum") / F.col("target")).alias("finish"))
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", **options) -> DataFrame:
-    """The rows of ``docs`` in the mix, each as often as it is taken, with all columns.
+def mixed_documents(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), budget_share: float = 1.0, max_repeat: int = 3,
+                    seed: int = 42, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of ``docs`` in the mix, each as often as it is taken, with all columns, sorted by virtual finish time.
 
-    Rows that repeat an id and source share their copies evenly, rounded up.
+    Rows of one id, source and text are taken as copies of one of them, as often as all of them together.
     """
-    mix = mix_sources(docs, id_col=id_col, source_col=source_col, **options)
-    taken = mix.groupBy(F.col("id").alias("_id"), F.col("source").alias("_source")).agg(F.ceil(F.avg("copies")).cast("int").alias("_copies"))
-    taken = materialize(taken.filter("_copies > 0"), "taken")
-    rows = docs.join(taken, docs[id_col].eqNullSafe(taken["_id"]) & docs[source_col].eqNullSafe(taken["_source"]))
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[docs[c] for c in docs.columns])
+    key = ["id", "source", "text_hash"]
+    rows = docs.select(docs[id_col].alias("id"), docs[source_col].alias("source"), F.xxhash64(docs[text_col]).alias("text_hash"), docs[text_col].alias("text"))
+    queued = _schedule(rows, weights, budget_share, max_repeat, seed)
+    again = materialize(queued.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "repeated")
+    found = docs.select(docs[id_col].alias("id"), docs[source_col].alias("source"), F.xxhash64(docs[text_col]).alias("text_hash"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    if not again.isEmpty():  # one of several equal rows stands for all
+        several = join_keys(found, again, key, "left_semi").groupBy(*key).agg(F.first("row").alias("row"))
+        found = join_keys(found, again, key, "left_anti").unionByName(several)
+    copies = queued.filter("copies > 0").select(*key, F.explode(F.transform(F.sequence(F.lit(0), F.col("copies") - 1), lambda e: (
+        e * F.col("source_size") + F.col("cum")) / F.col("target"))).alias("finish"))
+    mixed = join_keys(copies, found, key)
+    return mixed.orderBy("finish", "id").select("row.*")

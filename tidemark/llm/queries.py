@@ -56,7 +56,22 @@ def op4(spark, sf_dir):
     return token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-@register("op5_mixing")
+@register("op5_mixing", r"""
+    WITH RECURSIVE d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+    s AS (SELECT source, sum(size)::BIGINT AS n, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w,
+                 (SELECT sum(size)::DOUBLE FROM d) AS budget FROM d GROUP BY source),
+    l(k, level) AS (SELECT 0, 0.0::DOUBLE
+                    UNION ALL SELECT * FROM (SELECT l.k + 1, (any_value(budget) - coalesce(sum(3.0 * n) FILTER (w * level >= 3 * n), 0))
+                                                             / nullif(sum(w) FILTER (w * level < 3 * n), 0) AS level
+                                             FROM s, l WHERE l.k < 64 GROUP BY l.k, l.level) WHERE level IS NOT NULL),
+    t AS (SELECT source, n, least(w * (SELECT max(level) FROM l), 3.0 * n) AS target FROM s),
+    q AS (SELECT d.*, t.n AS source_size, t.target,
+                 sum(size) OVER (PARTITION BY d.source ORDER BY CAST(('0x' || substr(md5('42:' || coalesce(doc_id::VARCHAR, '')), 1, 8)) AS BIGINT), doc_id, size
+                                 ROWS UNBOUNDED PRECEDING) AS cum
+          FROM d JOIN t ON t.source IS NOT DISTINCT FROM d.source),
+    c AS (SELECT *, CASE WHEN size > 0 THEN (cum - size / 2.0 <= target)::INT + (source_size + cum - size / 2.0 <= target)::INT
+                                            + (2 * source_size + cum - size / 2.0 <= target)::INT ELSE 0 END AS copies FROM q)
+    SELECT doc_id, size, source_size, target, copies * size AS taken, source, copies FROM c""")
 def op5(spark, sf_dir):
     from tidemark.llm.mixing import mix_sources
     mixed = mix_sources(read_table(spark, sf_dir, "documents"))
