@@ -23,8 +23,8 @@ With 24 bands of 5 values a pair at similarity 0.85 misses all bands with a
 probability below 1e-6; with ``STAGE_BANDS`` x ``STAGE_ROWS`` (31 bands of 4, the
 pipeline stage) so does a pair at 0.80: 8e-8 for large sets, 9.8e-7 for sets that
 share 4 of 5 shingles, the smallest that reach it.  Null or wordless texts have an empty set and are
-linked with nothing; so are rows with a null id (``component_id`` null, kept).
-Rows that repeat an id stand for one node.  An empty table gives an empty result.
+linked with nothing; so are rows with a null id (``component_id`` null, kept; the
+pipeline stage drops copies among them).  Rows that repeat an id stand for one node.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -215,10 +215,8 @@ def compare_blocks(members: DataFrame, sets: DataFrame, percent: int, block: int
     return rows.groupBy("key", "i", "j").applyInArrow(run, schema)
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS,
-                    block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: ``id``, ``n_shingles``, ``component_id`` (smallest id reachable), ``kept``."""
-    src = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+def _row_components(src: DataFrame, percent: int, shingle: int, bands: int, rows: int, block: int) -> DataFrame:
+    """(id, n_shingles, d1, d2, rep, component_id, kept) for every row of ``src`` (id, text); rep is null for an empty set or a set of null ids only."""
     prof = materialize(profiles(src, shingle, bands, rows), "minmax")
     known = prof.filter("id is not null and d1 is not null")
     classes = materialize(known.groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n_shingles"),
@@ -253,11 +251,52 @@ def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = SHINGLE,
     out = prof.select("id", "n_shingles", "d1", "d2").join(classes.select("d1", "d2", "rep"), ["d1", "d2"], "left")
     out = out.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.when(F.col("id").isNull(), F.col("id")).otherwise(F.coalesce("component", "rep", "id"))
-    return out.select("id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)))
+    return out.select("id", "n_shingles", "d1", "d2", "rep", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)))
+
+
+def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS,
+                    block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: ``id``, ``n_shingles``, ``component_id`` (smallest id reachable), ``kept``."""
+    src = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+    return _row_components(src, percent, shingle, bands, rows, block).select("id", "n_shingles", "component_id", "kept")
+
+
+def _with_digests(docs: DataFrame, text_col: str, shingle: int) -> DataFrame:
+    """(row, d1, d2): the rows of ``docs`` as a struct, with the digest of their set (null for an empty set)."""
+    src = docs.select(docs[text_col].alias("text"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+
+    def run(batches):
+        for batch in batches:
+            for a, b, data, off in segments(batch.column(0)):
+                digests = [set_digest(s) if len(s) else (None, None) for s in shingle_sets(data, off, shingle)]
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(a, b - a), pa.array([x for x, _ in digests], pa.int64()),
+                                                  pa.array([y for _, y in digests], pa.int64())], names=["row", "d1", "d2"])
+
+    return src.mapInArrow(run, src.select("row").schema.add("d1", "long").add("d2", "long"))
 
 
 def drop_near_duplicates(docs: DataFrame, percent: int = STAGE_PERCENT, bands: int = STAGE_BANDS, rows: int = STAGE_ROWS,
                          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that represent their group, with all columns."""
-    gone = materialize(near_duplicates(docs, percent, bands=bands, rows=rows, id_col=id_col, text_col=text_col).filter(~F.col("kept")).select(F.col("id").alias("_gone")).distinct(), "gone")
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    """The rows of ``docs`` that represent their group, with all columns.
+
+    Of rows that repeat an id and a set one stays.  Rows with a null id go if
+    their set is that of a row with an id; of those with equal sets one stays.
+    Rows without words stay.
+    """
+    src = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+    found = materialize(_row_components(src, percent, SHINGLE, bands, rows, BLOCK).select("id", "d1", "d2", "rep", "kept"), "groups")
+    gone = found.filter(~F.col("kept")).select(F.col("id").alias("_gone")).distinct()
+    left = docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    # rows that need a look at their own set: a repeated id, or none
+    again = materialize(found.filter("kept and id is not null and d1 is not null").groupBy("id", "d1", "d2").agg(F.count(F.lit(1)).alias("n"))
+                        .filter("n > 1").select(F.col("id").alias("_again")).distinct(), "repeated")
+    if again.isEmpty() and found.filter("id is null").isEmpty():
+        return left
+    odd = left.join(again, left[id_col] == again["_again"], "left_semi").unionByName(left.filter(left[id_col].isNull()))
+    plain = left.filter(left[id_col].isNotNull()).join(again, left[id_col] == again["_again"], "left_anti")
+    sets = _with_digests(odd, text_col, SHINGLE).withColumn("id", F.col(f"row.`{id_col}`"))
+    known = found.filter("rep is not null").select("d1", "d2").distinct()
+    unnamed = sets.filter("id is null").join(known, ["d1", "d2"], "left_anti").select("row", "d1", "d2", "id")
+    sets = sets.filter("id is not null").select("row", "d1", "d2", "id").unionByName(unnamed)
+    one = sets.filter("d1 is not null").groupBy("id", "d1", "d2").agg(F.first("row").alias("row"))
+    return plain.unionByName(one.select("row").unionByName(sets.filter("d1 is null").select("row")).select("row.*"))
