@@ -9,9 +9,10 @@ and no base rule fails.
 The field is fitted here by gradient ascent on the conditional likelihood
 (forward-backward over the chains).  Labels exist per document only, so the
 lines of a labelled document take its quality as their state.  The fit uses at
-most ``max_docs`` labelled rows and ``MAX_LINES`` lines of each; without
-labels of both kinds a field that calls every line content is used, and the
-base rules alone decide.
+most ``max_docs`` labelled ids of each quality (one row of each) and at most
+``max_lines`` consecutive lines of each, a block that a hash of the id places
+anywhere in the text; without labels of both kinds a field that calls every
+line content is used, and the base rules alone decide.
 
 Null text counts as empty: no words, base rules fail, not kept.  Repeated rows
 and null ids are returned as they come; an empty table gives an empty result.
@@ -29,7 +30,6 @@ from pyspark.sql import functions as F
 from tidemark.llm.words import U64, counts_in, mix, ngram_hashes, segments, span_hashes, within, word_spans
 
 N_FEATURES = 12
-MAX_LINES = 48
 REPEAT_WINDOW = 8
 
 
@@ -214,26 +214,36 @@ def fit_field(x: np.ndarray, length: np.ndarray, state: np.ndarray, rounds: int
     return Field(w, t)
 
 
-def train_field(docs: DataFrame, labels: DataFrame, max_docs: int = 1200, id_col: str = "doc_id", text_col: str = "text",
+def line_block(n_lines: int, max_lines: int, draw: int) -> tuple[int, int]:
+    """First and end line of the block that a text of ``n_lines`` is learned from: all of them, or ``max_lines`` placed by the draw."""
+    first = draw % (n_lines - max_lines + 1) if n_lines > max_lines else 0
+    return first, min(n_lines, first + max_lines)
+
+
+def train_field(docs: DataFrame, labels: DataFrame, max_docs: int = 1200, max_lines: int = 48, id_col: str = "doc_id", text_col: str = "text",
                 label_col: str = "quality", seed: int = 7) -> Field:
-    """Fit on at most ``max_docs`` labelled rows of each quality (picked by a hash of the id)."""
+    """Fit on at most ``max_docs`` labelled ids of each quality (picked by a hash of the id; the highest label of an id
+    that has several) and ``max_lines`` consecutive lines of each."""
     lab = labels.select(labels[id_col].alias("_id"), labels[label_col].cast("int").alias("_y")).filter("_id is not null and _y in (0, 1)")
-    draw = F.xxhash64(F.lit(seed), F.col("_id"))
-    picked = lab.filter("_y = 0").orderBy(draw, "_id").limit(max_docs).unionAll(lab.filter("_y = 1").orderBy(draw, "_id").limit(max_docs))
+    lab = lab.groupBy("_id").agg(F.max("_y").alias("_y")).withColumn("_draw", F.xxhash64(F.lit(seed), F.col("_id")))
+    picked = lab.filter("_y = 0").orderBy("_draw", "_id").limit(max_docs).unionAll(lab.filter("_y = 1").orderBy("_draw", "_id").limit(max_docs))
     text = docs.select(docs[id_col].alias("_id"), docs[text_col].alias("_text"))
-    rows = text.join(F.broadcast(picked), "_id").select("_y", "_text")  # at most 2 * max_docs ids
+    # at most 2 * max_docs ids; of rows that repeat one, the text with the smallest hash
+    rows = text.join(F.broadcast(picked), "_id").select("_y", "_draw", "_id", "_text", F.xxhash64("_text").alias("_hash"))
+    rows = rows.groupBy("_id").agg(F.min_by(F.struct("_y", "_draw", "_text"), F.col("_hash")).alias("r")).select("r.*")
 
     def chains(batches):
         for batch in batches:
-            y = batch.column(0).to_pylist()
-            for a, _, data, off in segments(batch.column(1)):
+            y, draw = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for a, _, data, off in segments(batch.column(2)):
                 m = measure(data, off)
                 for i, (p, q) in enumerate(zip(m.first_line[:-1], m.first_line[1:])):
                     if q > p:
-                        x = np.ascontiguousarray(m.features[p:min(q, p + MAX_LINES)], np.float32)
+                        lo, hi = line_block(int(q - p), max_lines, draw[a + i] & 0x7FFFFFFFFFFFFFFF)
+                        x = np.ascontiguousarray(m.features[p + lo:p + hi], np.float32)
                         yield pa.RecordBatch.from_arrays([pa.array([y[a + i]], pa.int32()), pa.array([x.tobytes()], pa.binary())], names=["y", "x"])
 
-    found = sorted((r["y"], bytes(r["x"])) for r in rows.mapInArrow(chains, "y int, x binary").limit(4 * max_docs).collect())
+    found = sorted((r["y"], bytes(r["x"])) for r in rows.mapInArrow(chains, "y int, x binary").collect())  # 2 * max_docs blocks
     state = np.array([y for y, _ in found], np.int64)
     if len(set(state.tolist())) < 2:
         return Field()
