@@ -27,4 +27,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from tidemark.plans import queries_eval, queries_models, queries_monitoring, queries_perturb, queries_reports, queries_stream, queries_tables  # noqa: F401
+    from tidemark.plans import queries_eval, queries_grid, queries_models, queries_monitoring, queries_perturb, queries_reports, queries_stream, queries_tables  # noqa: F401
