@@ -11,13 +11,35 @@ for the adaptive planner, with column pruning for later stages.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from tidemark.session import scratch_path
+from pyspark.sql import DataFrame, SparkSession
+
+from tidemark.session import delete_path, scratch_path
+
+_open = threading.local()
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
+    for paths in getattr(_open, "scopes", []):
+        paths.append(path)
     return spark.read.parquet(path)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables materialized inside (by this thread) are deleted at the end; for jobs whose results are written by then."""
+    scopes = _open.__dict__.setdefault("scopes", [])
+    mine: list[str] = []
+    scopes.append(mine)
+    try:
+        yield
+    finally:
+        scopes.pop()
+        for path in mine:
+            delete_path(spark, path)

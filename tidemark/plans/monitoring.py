@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import drift as D
 from tidemark.operators.evaluate import classification_metrics
 from tidemark.operators.joins import join_keys
+from tidemark.operators.materialize import materialize, temporary_tables
 
 
 @dataclass(frozen=True)
@@ -122,25 +123,25 @@ def metrics_per_epoch(spark, root: str, spec: MonitorSpec, profile: D.ReferenceP
     source in a stream that is in order), ``root/metrics/epoch=N`` the rows of
     the batches that epoch touched, computed over everything they have so
     far.  Both are written over on a replay, which reads the state of the
-    epoch before again: the result does not change.
+    epoch before again: the result does not change.  State that no replay can
+    need, and the epoch's intermediate tables, are deleted.
     """
     g = list(spec.group_by)
 
     def per_epoch(df: DataFrame, epoch: int) -> None:
-        from tidemark.operators.materialize import materialize
-        from tidemark.streaming.jobs import write_epoch
-
-        rows = materialize(df, "micro-batch")
-        if epoch > 0:
-            before = spark.read.schema(rows.schema).parquet(f"{root}/state/epoch={epoch - 1}")
-            touched = rows.select(*g).distinct()
-            merged = materialize(before.unionByName(rows), "open-batches")
-        else:
+        from tidemark.streaming.jobs import drop_epochs, write_epoch
+
+        with temporary_tables(spark):
+            rows = materialize(df, "micro-batch")
             touched, merged = rows.select(*g).distinct(), rows
-        current = join_keys(merged, touched, g, "left_semi")
-        write_epoch(batch_metrics(None, current, spec, profile), f"{root}/metrics", epoch, "epoch")
-        sizes = merged.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") < batch_size).drop("_n")
-        write_epoch(join_keys(merged, sizes, g, "left_semi"), f"{root}/state", epoch, "epoch")
+            if epoch > 0:
+                before = spark.read.schema(rows.schema).parquet(f"{root}/state/epoch={epoch - 1}")
+                merged = materialize(before.unionByName(rows), "open-batches")
+            current = join_keys(merged, touched, g, "left_semi")
+            write_epoch(batch_metrics(None, current, spec, profile), f"{root}/metrics", epoch, "epoch")
+            sizes = merged.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") < batch_size).drop("_n")
+            write_epoch(join_keys(merged, sizes, g, "left_semi"), f"{root}/state", epoch, "epoch")
+        drop_epochs(spark, f"{root}/state", epoch - 1)
 
     return per_epoch
 

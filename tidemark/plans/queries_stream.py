@@ -9,7 +9,7 @@ from tidemark.operators import validate as V
 from tidemark.plans import training as TR
 from tidemark.plans.catalog import register
 from tidemark.operators.materialize import materialize
-from tidemark.plans.fixtures import BATCH_SIZE, churn_records, current_batches, reference_slice, scored_events
+from tidemark.plans.fixtures import BATCH_SIZE, churn_records, current_batches, current_slice, reference_slice, scored_events
 from tidemark.plans.monitoring import EVENTS_SPEC, metrics_per_epoch, reference_profile, stream_metrics_table
 from tidemark.plans.queries_reports import REC_SCHEMA
 from tidemark.plans.queries_tables import ALL_SQL, _rule_sql
@@ -17,6 +17,7 @@ from tidemark.plans.sql.common import MART, SCORED
 from tidemark.plans.sql.monitoring import BATCH_METRICS
 from tidemark.session import scratch_path
 from tidemark.streaming import jobs as ST
+from tidemark.streaming.numbering import numbered_epochs
 
 
 def _drop_files(df, path, by=None):
@@ -62,6 +63,26 @@ def q_stream_metrics(spark, sf):
     return stream_metrics_table(spark, root).drop("epoch")
 
 
+@register("stream_numbering", f"WITH {SCORED}, m AS ({BATCH_METRICS}) SELECT cur.id, cur.data_source, cur.batch_id, m.batch_size, m.accuracy, m.prediction_drift "
+          "FROM cur JOIN m USING (data_source, batch_id)")
+def q_stream_numbering(spark, sf):
+    """Unnumbered rows arrive in id order, a few hundred to thousands a file; batches are
+    numbered in the stream, and their metrics rows follow from the numbered rows."""
+    profile = reference_profile(reference_slice(scored_events(spark, sf)), EVENTS_SPEC, persist=True)
+    src, root = scratch_path(spark, "arrivals"), scratch_path(spark, "stream_numbering")
+    cur = materialize(current_slice(scored_events(spark, sf)), "current")
+    bounds = cur.agg(F.min("id").alias("a"), F.max("id").alias("z")).first()
+    for i in range(3 if bounds["a"] is not None else 0):  # three arrivals, in order
+        step = (bounds["z"] - bounds["a"]) // 3 + 1
+        part = cur.filter((F.col("id") >= bounds["a"] + i * step) & (F.col("id") < bounds["a"] + (i + 1) * step))
+        part.coalesce(1).write.mode("append").parquet(src)
+    metrics = metrics_per_epoch(spark, root, EVENTS_SPEC, profile, BATCH_SIZE)
+    stream = ST.file_stream(spark, src, cur.schema, max_files_per_trigger=1)
+    ST.run_foreach_batch(stream, numbered_epochs(spark, root, metrics, size=BATCH_SIZE), f"{root}/checkpoint")
+    rows = spark.read.parquet(f"{root}/numbered").select("id", "data_source", "batch_id")
+    return rows.join(stream_metrics_table(spark, root).select("data_source", "batch_id", "batch_size", "accuracy", "prediction_drift"), ["data_source", "batch_id"])
+
+
 @register("stream_quarantine", f"WITH {MART}, chk AS (SELECT id, {_rule_sql(ALL_SQL)} FROM records) "
           "SELECT id, errors, n_errors FROM chk WHERE n_errors > 0")
 def q_stream_quarantine(spark, sf):

@@ -119,14 +119,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder wherever it lies; nothing happens if it is not there."""
+    sc = spark.sparkContext
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete this application's intermediate tables (results that still read them become invalid)."""
     sc = spark.sparkContext
     if sc._jsc is None:  # already stopped: the folder could only be reached by another session
         return
     folder = scratch_folder(spark)
-    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    delete_path(spark, folder)
     _used.pop(folder, None)
 
 

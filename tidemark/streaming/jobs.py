@@ -56,6 +56,19 @@ def write_epoch(df: DataFrame, path: str, epoch: int, column: str = "batch") ->
     df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{column}={int(epoch)}")
 
 
+def drop_epochs(spark: SparkSession, path: str, before: int, column: str = "epoch") -> None:
+    """Delete the partitions of epochs below ``before``: a replay repeats the last epoch and reads the one before it."""
+    sc = spark.sparkContext
+    root = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return
+    for f in fs.listStatus(root):
+        name, _, number = f.getPath().getName().partition("=")
+        if name == column and int(number) < before:
+            fs.delete(f.getPath(), True)
+
+
 def windowed_counts(df: DataFrame, ts: str = "ts", size: str = "1 day", slide: str | None = None,
                     watermark: str | None = "1 hour", by=("data_source",), y: str = "y", p: str = "p") -> DataFrame:
     """Event-time tumbling (or sliding) window metrics per source.
