@@ -22,6 +22,7 @@ the CDF axis).  Work is linear in reference + current rows.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from typing import Sequence
 
@@ -65,14 +66,16 @@ def reference_stats(ref_long: DataFrame) -> DataFrame:
 class ReferenceProfile:
     """The reference side of every drift statistic, computed once.
 
-    ``counts``: ``(column, value, n_r)`` per distinct numeric value;
-    ``stats``: per numeric column count, mean, std (0 -> 1), min, max;
-    ``shares``: ``(column, value, ref_count, ref_total, q)`` per category.
-    A monitoring run or a stream builds it once (optionally written as
-    tables) instead of re-reading the reference for every batch.
+    ``counts``: ``(column, value, n_r)`` per distinct numeric value, centred by
+    the column's mean and written; ``stats``: {column: row} with count, mean,
+    std (0 -> 1), min, max and ``rest`` (what the rounded mean leaves: the mean of
+    the centred values) - one row per column, on the driver; ``shares``:
+    ``(column, value, ref_count, ref_total, q)`` per category, written if asked.
+    A monitoring run or a stream builds it once instead of re-reading the
+    reference for every batch.
     """
     counts: DataFrame | None
-    stats: DataFrame | None
+    stats: dict | None
     shares: DataFrame | None
 
     @staticmethod
@@ -80,17 +83,28 @@ class ReferenceProfile:
               persist: bool = False) -> "ReferenceProfile":
         counts = stats = shares = None
         if ref_num_long is not None:
-            counts = ref_num_long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n_r"))
-            stats = reference_stats(ref_num_long)
+            raw = materialize(ref_num_long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n_r")), "ref_counts")
+            n, v = F.col("n_r"), F.col("value")
+            first = {r["column"]: r.asDict() for r in raw.groupBy("column").agg(
+                F.sum(n).alias("ref_n"), (F.sum(n * v) / F.sum(n)).alias("ref_mean"), F.min(v).alias("ref_min"), F.max(v).alias("ref_max")).collect()}
+            counts = raw.withColumn("value", v - of_column(first, "ref_mean"))
+            second = counts.groupBy("column").agg((F.sum(n * v) / F.sum(n)).alias("rest"), (F.sum(n * v * v) / F.sum(n)).alias("square")).collect()
+            for r in second:
+                var = r["square"] - r["rest"] ** 2
+                first[r["column"]].update(rest=r["rest"], ref_std=math.sqrt(var) if var > 0 else 1.0)
+            stats = first
         if ref_cat_long is not None:
             shares = reference_shares(ref_cat_long)
-        if persist:
-            counts = materialize(counts, "ref_counts") if counts is not None else None
-            stats = materialize(stats, "ref_stats") if stats is not None else None
-            shares = materialize(shares, "ref_shares") if shares is not None else None
+            shares = materialize(shares, "ref_shares") if persist else shares
         return ReferenceProfile(counts, stats, shares)
 
 
+def of_column(stats: dict, field: str):
+    """The number that belongs to a row's ``column`` (null for a column without reference values)."""
+    known = [x for c, r in stats.items() for x in (F.lit(c), F.lit(float(r[field])))]
+    return F.create_map(*known)[F.col("column")] if known else F.lit(None).cast("double")
+
+
 def numeric_drift(ref_long: DataFrame | None, cur_long: DataFrame, group_by,
                   n_buckets: int | None = None, threshold: float = NUMERIC_THRESHOLD,
                   profile: ReferenceProfile | None = None, bounded: bool = False) -> DataFrame:
@@ -98,21 +112,17 @@ def numeric_drift(ref_long: DataFrame | None, cur_long: DataFrame, group_by,
 
     Values are centred by the reference mean first: neither statistic changes,
     and prefix sums of values far from zero keep their digits.  ``bounded``
-    says that groups are small by definition (batches of fixed size).
+    says that groups are small by definition (batches of fixed size).  Columns
+    without reference values have no row.
     """
     g = _g(group_by)
     nb = n_buckets or default_bucket_count(cur_long.sparkSession)
     profile = profile or ReferenceProfile.build(ref_long, None)
-    stats = profile.stats
-    centre = F.broadcast(stats.select("column", "ref_mean"))  # a row per column of the table
-
-    def centred(df):
-        return df.join(centre, "column").withColumn("value", F.col("value") - F.col("ref_mean")).drop("ref_mean")
-
-    rd = centred(profile.counts)
-    # what the rounded mean leaves: the mean of the centred reference values
-    rest = rd.groupBy("column").agg((F.sum(F.col("n_r") * F.col("value")) / F.sum("n_r")).alias("_rest"))
-    cd = materialize(centred(cur_long.groupBy(*g, "column", "value").agg(F.count(F.lit(1)).alias("n_c"))), "drift_counts")
+    stats, rd = profile.stats, profile.counts
+    ref_n = of_column(stats, "ref_n")
+    known = cur_long.filter(F.col("column").isin(*stats)) if stats else cur_long.filter(F.lit(False))
+    cd = known.groupBy(*g, "column", "value").agg(F.count(F.lit(1)).alias("n_c"))
+    cd = materialize(cd.withColumn("value", F.col("value") - of_column(stats, "ref_mean")), "drift_counts")
     # Reference values and the distinct probe values of all groups in one
     # union (no join): ties sorted reference-first give F(x) = P(ref <= x) at
     # a probe; the reference count at the same value gives P(ref < x).
@@ -120,67 +130,53 @@ def numeric_drift(ref_long: DataFrame | None, cur_long: DataFrame, group_by,
     u = (rd.select("column", "value", "n_r", F.lit(1).alias("_side"))
          .unionByName(probes.select("column", "value", F.lit(0).cast("long").alias("n_r"),
                                     F.lit(0).alias("_side"))))
-    u = materialize(u, "drift_union")
     u = with_quantile_bucket(u, ["column"], "value", nb, name="_vb")
     u = dist_cumsum(u, ["column"], ["value", F.col("_side").desc()], "_vb",
                     {"cum_r": F.col("n_r").cast("double"), "cum_rv": F.col("n_r") * F.col("value")})
     n_at = F.sum("n_r").over(Window.partitionBy("column", "_vb", "value"))
-    merged = u.join(stats.select("column", "ref_n"), "column", "inner").select(
+    merged = u.select(
         "column", "value", "n_r", (F.col("_side") == 0).alias("_probe"), "_vb",
-        (F.col("cum_r") / F.col("ref_n")).alias("F"),
-        ((F.col("cum_r") - n_at) / F.col("ref_n")).alias("F_lt"),
-        (F.col("cum_rv") / F.col("ref_n")).alias("S"))
+        (F.col("cum_r") / ref_n).alias("F"), ((F.col("cum_r") - n_at) / ref_n).alias("F_lt"), (F.col("cum_rv") / ref_n).alias("S"))
     merged = materialize(merged, "drift_merged")
 
     # Group side: running count per (group, column) in value order.
     pts = cd.join(merged.filter("_probe").drop("_probe", "n_r"), ["column", "value"], "inner")
-    n_tot = cd.groupBy(*g, "column").agg(F.sum("n_c").alias("n"))
-    pts = dist_cumsum(pts, g + ["column"], ["value"], None if bounded else "_vb", {"cum_c": "n_c"})
-    pts = join_keys(pts, n_tot, g + ["column"], "inner").select(
-        *g, "column", "value", "F", "F_lt", "S",
-        (F.col("cum_c") / F.col("n")).alias("c_hi"),
-        ((F.col("cum_c") - F.col("n_c")) / F.col("n")).alias("c_lo"))
-    pts = materialize(pts)
-
-    ks = pts.groupBy(*g, "column").agg(F.max(F.greatest(
-        F.abs(F.col("F") - F.col("c_hi")), F.abs(F.col("F_lt") - F.col("c_lo")))).alias("ks"))
+    if bounded:
+        pts = pts.withColumn("n", F.sum("n_c").over(Window.partitionBy(*g, "column")))
+        pts = dist_cumsum(pts, g + ["column"], ["value"], None, {"cum_c": "n_c"})
+    else:
+        n_tot = cd.groupBy(*g, "column").agg(F.sum("n_c").alias("n"))
+        pts = join_keys(dist_cumsum(pts, g + ["column"], ["value"], "_vb", {"cum_c": "n_c"}), n_tot, g + ["column"], "inner")
+    c_hi, c_lo = F.col("cum_c") / F.col("n"), (F.col("cum_c") - F.col("n_c")) / F.col("n")
+    pts = materialize(pts.select(
+        *g, "column", "value", "n", (F.col("value") * F.col("F") - F.col("S")).alias("G_x"), c_hi.alias("c_hi"), c_lo.alias("c_lo"),
+        F.greatest(F.abs(F.col("F") - c_hi), F.abs(F.col("F_lt") - c_lo)).alias("_ks")), "drift_points")
 
     # Two probes per point: +Phi(x, c_lo) and -Phi(x, c_hi).  At c = 0 and c = 1
     # - the first and last point of every group - Phi needs no lookup: F never
     # lies below 0 or above 1, so Phi(x, 0) = G(x) and Phi(x, 1) = x - G(x).
-    probes = pts.select(
-        *g, "column", "value", (F.col("value") * F.col("F") - F.col("S")).alias("G_x"),
-        F.explode(F.array(
-            F.struct(F.col("c_lo").alias("c"), F.lit(1.0).alias("sign")),
-            F.struct(F.col("c_hi").alias("c"), F.lit(-1.0).alias("sign")))).alias("_pr")
-    ).select(*g, "column", "value", "G_x", "_pr.c", "_pr.sign")
+    probes = pts.select(*g, "column", "value", "n", "G_x", "_ks", F.explode(F.array(
+        F.struct(F.col("c_lo").alias("c"), F.lit(1.0).alias("sign")), F.struct(F.col("c_hi").alias("c"), F.lit(-1.0).alias("sign")))).alias("_pr")) \
+        .select(*g, "column", "value", "n", "G_x", "_ks", "_pr.c", "_pr.sign")
     ends = (F.col("c") <= 0) | (F.col("c") >= 1)
     at_ends = probes.filter(ends).select(
-        *g, "column", (F.col("sign") * F.when(F.col("c") <= 0, F.col("G_x")).otherwise(F.col("value") - F.col("G_x"))).alias("_term"))
+        *g, "column", "n", "_ks", (F.col("sign") * F.when(F.col("c") <= 0, F.col("G_x")).otherwise(F.col("value") - F.col("G_x"))).alias("_term"))
     probe_rows = probes.filter(~ends).withColumn("key", F.col("c")).withColumn("side", F.lit(0)) \
         .withColumn("m", F.lit(None).cast("double")).withColumn("G_m", F.lit(None).cast("double"))
     ref_rows = merged.filter(F.col("n_r") > 0).select(
         *[F.lit(None).cast(t).alias(c) for c, t in _group_types(cur_long, g)],
-        "column", F.lit(None).cast("double").alias("value"), F.lit(None).cast("double").alias("G_x"),
-        F.lit(None).cast("double").alias("c"), F.lit(None).cast("double").alias("sign"),
+        "column", *[F.lit(None).cast(t).alias(c) for c, t in (("value", "double"), ("n", "long"), ("G_x", "double"), ("_ks", "double"), ("c", "double"), ("sign", "double"))],
         F.col("F").alias("key"), F.lit(1).alias("side"),
         F.col("value").alias("m"), (F.col("value") * F.col("F") - F.col("S")).alias("G_m"))
-    u = with_quantile_bucket(materialize(probe_rows.unionByName(ref_rows), "drift_axis"), ["column"], "key", nb, name="_cb")
+    u = with_quantile_bucket(probe_rows.unionByName(ref_rows), ["column"], "key", nb, name="_cb")
     u = dist_asof_next(u, ["column"], ["key", "side"], "_cb", F.col("side") == 1, ["m", "G_m"])
     phi = (F.when(F.col("value") <= F.col("_next_m"), F.col("c") * F.col("value") - F.col("G_x"))
            .otherwise(F.col("c") * (2 * F.col("_next_m") - F.col("value")) + F.col("G_x")
                       - 2 * F.col("_next_G_m")))
-    inner = u.filter(F.col("side") == 0).select(*g, "column", (F.col("sign") * phi).alias("_term"))
-    w = inner.unionByName(at_ends).groupBy(*g, "column").agg(F.sum("_term").alias("_phi"))
-    out = (join_keys(w, ks, g + ["column"], "inner")
-           .join(stats.select("column", "ref_std"), "column", "inner")
-           .join(rest, "column", "inner")
-           .select(*g, "column",
-                   F.greatest(F.col("_rest") + F.col("_phi"), F.lit(0.0)).alias("wasserstein"),
-                   "ks", "ref_std"))
-    out = out.withColumn("drift_score", F.col("wasserstein") / F.col("ref_std")).drop("ref_std")
-    sizes = n_tot.join(stats.select("column", "ref_n"), "column")
-    out = join_keys(out, sizes, g + ["column"], "inner").withColumnRenamed("n", "cur_n")
+    inner = u.filter(F.col("side") == 0).select(*g, "column", "n", "_ks", (F.col("sign") * phi).alias("_term"))
+    w = inner.unionByName(at_ends).groupBy(*g, "column").agg(F.sum("_term").alias("_phi"), F.max("_ks").alias("ks"), F.max("n").alias("cur_n"))
+    w1 = F.greatest(of_column(stats, "rest") + F.col("_phi"), F.lit(0.0))
+    out = w.select(*g, "column", w1.alias("wasserstein"), "ks", (w1 / of_column(stats, "ref_std")).alias("drift_score"), "cur_n", ref_n.cast("long").alias("ref_n"))
     return out.withColumn("drifted", F.col("drift_score") >= F.lit(threshold))
 
 

@@ -119,10 +119,8 @@ def fold_mean_score(df: DataFrame, models: dict, keep=("id",)) -> DataFrame:
 
 
 def top_importance(spark, models: dict, features: Sequence[str], n: int = 15) -> DataFrame:
-    """Feature importances of every model, top n per model by importance.
-
-    MLlib reports normalised gain-based importance (the reference's boosting
-    library reports split counts)."""
+    """Gain-based feature importances (normalised, as MLlib reports them) of every model, top n per model.
+    Split counts: :func:`split_importance`."""
     rows = []
     for (fam, i), m in models.items():
         imp = m.stages[-1].featureImportances.toArray()
@@ -133,6 +131,83 @@ def top_importance(spark, models: dict, features: Sequence[str], n: int = 15) ->
     return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
+NODE_COLUMNS = "family string, fold int, tree int, node int, n_rows long, gain double, prediction double, left int, right int, feature int, threshold double"
+
+
+def node_table(spark, models: dict, uri: str) -> DataFrame:
+    """The nodes of all trees of the fold models saved under ``uri`` (``save_models``), read from their files.
+
+    (family, fold, tree, node, n_rows, gain, prediction, left, right, feature, threshold);
+    a leaf has no children (-1), no feature and no threshold.
+    """
+    out = spark.createDataFrame([], NODE_COLUMNS)
+    for fam, i in sorted(models):
+        t = spark.read.parquet(f"{uri}/{fam}_{i}/stages/1_*/data")
+        n = F.col("nodeData")
+        inner = n["leftChild"] >= 0
+        out = out.unionByName(t.select(
+            F.lit(fam).alias("family"), F.lit(int(i)).alias("fold"), F.col("treeID").alias("tree"), n["id"].alias("node"), n["rawCount"].alias("n_rows"),
+            n["gain"].alias("gain"), n["prediction"].alias("prediction"), n["leftChild"].alias("left"), n["rightChild"].alias("right"),
+            F.when(inner, n["split"]["featureIndex"]).alias("feature"),
+            F.when(inner, F.get(n["split"]["leftCategoriesOrThreshold"], F.lit(0))).alias("threshold")))
+    return out
+
+
+def split_importance(nodes: DataFrame, features: Sequence[str], n: int | None = None) -> DataFrame:
+    """(family, fold, feature, splits, rank): how often each feature splits a node; all features, or the top ``n`` of each model.
+
+    Features that split nothing count 0; ties go by feature name.
+    """
+    from pyspark.sql import Window
+    spark = nodes.sparkSession
+    names = spark.createDataFrame([(i, f) for i, f in enumerate(features)], "feature int, name string")
+    counts = nodes.filter("feature is not null").groupBy("family", "fold", "feature").agg(F.count(F.lit(1)).alias("splits"))
+    grid = nodes.select("family", "fold").distinct().crossJoin(F.broadcast(names))  # models x features
+    every = grid.join(counts, ["family", "fold", "feature"], "left").select("family", "fold", F.col("name").alias("feature"), F.coalesce("splits", F.lit(0)).alias("splits"))
+    ranked = every.withColumn("rank", F.row_number().over(Window.partitionBy("family", "fold").orderBy(F.col("splits").desc(), "feature")))
+    return ranked if n is None else ranked.filter(F.col("rank") <= n)
+
+
+# ---------------------------------------------------------------- prefixes of an ensemble
+
+def n_trees(model: PipelineModel) -> int:
+    return len(model.stages[-1].treeWeights)
+
+
+def first_trees(model: PipelineModel, k: int) -> PipelineModel:
+    """The model made of the first ``k`` trees of a fitted one.
+
+    Boosting adds trees one by one: this is the model that a fit of ``k`` trees
+    with the same seed gives.  A forest's trees are independent draws, any ``k``
+    of them a forest.  So one fit of the longest ensemble scores every shorter one.
+    """
+    from pyspark import SparkContext
+    from pyspark.ml.classification import GBTClassificationModel, RandomForestClassificationModel
+
+    stage = model.stages[-1]
+    if not 0 < k <= n_trees(model):
+        raise ValueError(f"{k} of {n_trees(model)} trees")
+    sc = SparkContext._active_spark_context
+    jvm, java, ml = sc._jvm, stage._java_obj, sc._jvm.org.apache.spark.ml
+    boosted = isinstance(stage, GBTClassificationModel)
+    kind = ml.regression.DecisionTreeRegressionModel if boosted else ml.classification.DecisionTreeClassificationModel
+    trees = sc._gateway.new_array(kind, k)
+    every = java.trees()
+    for i in range(k):
+        trees[i] = every[i]
+    if boosted:
+        weights = sc._gateway.new_array(jvm.double, k)
+        for i, w in enumerate(java.treeWeights()[:k]):
+            weights[i] = w
+        made = GBTClassificationModel(ml.classification.GBTClassificationModel(java.uid(), trees, weights, java.numFeatures(), java.numClasses()))
+    else:
+        made = RandomForestClassificationModel(ml.classification.RandomForestClassificationModel(java.uid(), trees, java.numFeatures(), java.numClasses()))
+    made._resetUid(stage.uid)
+    for name in ("featuresCol", "predictionCol", "probabilityCol", "rawPredictionCol"):
+        made._java_obj.set(made._java_obj.getParam(name), stage.getOrDefault(name))
+    return PipelineModel([*model.stages[:-1], made])
+
+
 # ---------------------------------------------------------------- artifacts
 
 MANIFEST_SCHEMA = "family string, fold int, path string, params string, features array<string>"

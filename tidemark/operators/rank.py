@@ -132,6 +132,7 @@ def dist_asof_next(df: DataFrame, partition_by, order_by: Sequence, bucket: Colu
     parts = _names(partition_by)
     b = df.withColumn(BKT, F.col(bucket) if isinstance(bucket, str) else bucket) \
           .withColumn("_tgt", is_target)
+    plain = b
     keys = parts + [BKT]
     # "first target at or after" == "last target at or before" in reversed
     # order; a growing frame keeps the window linear (a frame ending at
@@ -141,12 +142,11 @@ def dist_asof_next(df: DataFrame, partition_by, order_by: Sequence, bucket: Colu
     for p in payload:
         b = b.withColumn("_loc_" + p, F.last(F.when(F.col("_tgt"), F.col(p)), ignorenulls=True).over(wr))
     order_struct = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order_by])
-    firsts = (b.filter(F.col("_tgt")).groupBy(*keys)
-               .agg(F.min_by(F.struct(*[F.col(p).alias(p) for p in payload]), order_struct).alias("_first")))
-    present = b.select(*keys).distinct()
+    # one aggregate before the window: the buckets there are, and the first target of each
+    firsts = plain.groupBy(*keys).agg(F.min_by(F.when(F.col("_tgt"), F.struct(*[F.col(p).alias(p) for p in payload])),
+                                               F.when(F.col("_tgt"), order_struct)).alias("_first"))
     wc = Window.partitionBy(*parts).orderBy(F.col(BKT).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    carry = join_keys(present, firsts, keys, "left").select(
-        *keys, *[F.last(F.col("_first." + p), ignorenulls=True).over(wc).alias("_car_" + p) for p in payload])
+    carry = firsts.select(*keys, *[F.last(F.col("_first." + p), ignorenulls=True).over(wc).alias("_car_" + p) for p in payload])
     out = join_keys(b, carry, keys, "left")
     for p in payload:
         out = out.withColumn("_next_" + p, F.coalesce(F.col("_loc_" + p), F.col("_car_" + p)))

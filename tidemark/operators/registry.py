@@ -1,18 +1,24 @@
 """Run log and model registry as tables.
 
 ``runs``, ``run_params``, ``run_metrics``, ``trials``, ``model_versions`` and
-``model_aliases`` are append-only parquet tables under one root.  Version
-numbers are ``max + 1``; promotion is a table rule: promote when there is no
-champion, its metric is missing, or the new AUC is strictly greater.
+``model_aliases`` are append-only parquet tables under one root.  Numbers of
+versions and trials are taken by creating a marker file exclusively
+(:mod:`tidemark.sources.markers`), so writers that run at the same time get
+different ones; promotion is a table rule: promote when there is no champion,
+its metric is missing, or the new AUC is strictly greater.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.sources.markers import append_table, safe_name, take_number
+
 VERSIONS_SCHEMA = "name string, version int, run_id string, uri string, families string, auc double, created_at timestamp"
 ALIASES_SCHEMA = "name string, alias string, version int, set_at timestamp"
 
@@ -32,31 +38,36 @@ def _now() -> _dt.datetime:
     return _dt.datetime.now(_dt.timezone.utc)
 
 
+def log_runs(spark: SparkSession, root: str, runs: Sequence[dict]) -> None:
+    """Runs written together: a file per table.  A run has ``run_id``, ``params``, ``metrics`` and optionally ``tags`` and ``parent``."""
+    now = _now()
+    rows = [(r["run_id"], r.get("parent"), now, {k: str(v) for k, v in (r.get("tags") or {}).items()}) for r in runs]
+    params = [x for r in runs for x in ([(r["run_id"], k, str(v)) for k, v in r["params"].items()] or [(r["run_id"], "", "")])]
+    metrics = [x for r in runs for x in ([(r["run_id"], k, float(v)) for k, v in r["metrics"].items()] or [(r["run_id"], "", 0.0)])]
+    for name, data, schema in (("runs", rows, "run_id string, parent string, started_at timestamp, tags map<string,string>"),
+                               ("run_params", params, "run_id string, key string, value string"), ("run_metrics", metrics, "run_id string, key string, value double")):
+        append_table(spark.createDataFrame(data, schema).coalesce(1), f"{root}/{name}")
+
+
 def log_run(spark: SparkSession, root: str, run_id: str, params: dict, metrics: dict, tags: dict | None = None,
             parent: str | None = None):
     """One run: its row (with the parent run, if it is a fold of one), parameters and metrics."""
-    spark.createDataFrame([(run_id, parent, _now(), {k: str(v) for k, v in (tags or {}).items()})],
-                          "run_id string, parent string, started_at timestamp, tags map<string,string>") \
-        .write.mode("append").parquet(f"{root}/runs")
-    spark.createDataFrame([(run_id, k, str(v)) for k, v in params.items()] or [(run_id, "", "")],
-                          "run_id string, key string, value string").write.mode("append").parquet(f"{root}/run_params")
-    spark.createDataFrame([(run_id, k, float(v)) for k, v in metrics.items()] or [(run_id, "", 0.0)],
-                          "run_id string, key string, value double").write.mode("append").parquet(f"{root}/run_metrics")
+    log_runs(spark, root, [{"run_id": run_id, "params": params, "metrics": metrics, "tags": tags, "parent": parent}])
 
 
 TRIALS_SCHEMA = "study string, family string, number int, params string, value double"
 
 
 def next_trial(spark: SparkSession, root: str, study: str, family: str) -> int:
-    """Number of the next trial: a resumed study keeps counting."""
+    """Number of a new trial, this caller's alone: a resumed study keeps counting; a trial that fails leaves a gap."""
     prev = _read(spark, f"{root}/trials", TRIALS_SCHEMA).filter((F.col("study") == study) & (F.col("family") == family))
-    return prev.agg(F.coalesce(F.max("number") + 1, F.lit(0))).first()[0]
+    stored = prev.agg(F.coalesce(F.max("number") + 1, F.lit(0))).first()[0]
+    return take_number(spark, f"{root}/trial_numbers/{safe_name(study)}/{safe_name(family)}", stored)
 
 
 def append_trial(spark: SparkSession, root: str, study: str, family: str, number: int, params: str, value) -> None:
     """Store one trial when it ends, so that a later failure loses none."""
-    spark.createDataFrame([(study, family, number, params, None if value is None else float(value))], TRIALS_SCHEMA) \
-        .write.mode("append").parquet(f"{root}/trials")
+    append_table(spark.createDataFrame([(study, family, number, params, None if value is None else float(value))], TRIALS_SCHEMA).coalesce(1), f"{root}/trials")
 
 
 def best_trial(trials: DataFrame) -> DataFrame:
@@ -68,11 +79,13 @@ def best_trial(trials: DataFrame) -> DataFrame:
 
 
 def register_version(spark: SparkSession, root: str, name: str, run_id: str, uri: str, auc, families: str = "") -> int:
+    """Register under the next version number, this caller's alone."""
     versions = _read(spark, f"{root}/model_versions", VERSIONS_SCHEMA)
-    nxt = versions.filter(F.col("name") == name).agg(F.coalesce(F.max("version") + 1, F.lit(1))).first()[0]
+    stored = versions.filter(F.col("name") == name).agg(F.coalesce(F.max("version") + 1, F.lit(1))).first()[0]
+    nxt = take_number(spark, f"{root}/version_numbers/{safe_name(name)}", stored)
     now = _now()
-    spark.createDataFrame([(name, int(nxt), run_id, uri, families, None if auc is None else float(auc), now)],
-                          VERSIONS_SCHEMA).write.mode("append").parquet(f"{root}/model_versions")
+    row = (name, int(nxt), run_id, uri, families, None if auc is None else float(auc), now)
+    append_table(spark.createDataFrame([row], VERSIONS_SCHEMA).coalesce(1), f"{root}/model_versions")
     return int(nxt)
 
 
@@ -97,8 +110,7 @@ def promote_if_better(spark: SparkSession, root: str, name: str, version: int, n
     if ch and not should_promote(champ_auc, new_auc):
         return False
     now = _now()
-    spark.createDataFrame([(name, alias, int(version), now)], ALIASES_SCHEMA) \
-        .write.mode("append").parquet(f"{root}/model_aliases")
+    append_table(spark.createDataFrame([(name, alias, int(version), now)], ALIASES_SCHEMA).coalesce(1), f"{root}/model_aliases")
     return True
 
 

@@ -24,10 +24,14 @@ from tidemark.operators import split as SP
 from tidemark.operators import validate as V
 from tidemark.operators.evaluate import cv_summary
 from tidemark.operators.materialize import materialize
-from tidemark.plans.training import best_params, by_fold, log_cv, oof_metrics, search_table
+from tidemark.plans.training import PREFIXES, best_params, by_fold, log_cv, oof_metrics, search_table
 from tidemark.sources import sinks as K
 
 
+# Fixed value: trials of a search for each family.
+SEARCH_TRIALS = 5
+
+
 def load_customers(spark: SparkSession, path: str, with_label: bool = True) -> DataFrame:
     """Header CSV with the explicit schema; blank or bad TotalCharges -> 0.0."""
     fields = [f for f in SC.TRAIN_CSV_SCHEMA.fields if with_label or f.name != "Churn"]
@@ -36,11 +40,15 @@ def load_customers(spark: SparkSession, path: str, with_label: bool = True) -> D
 
 
 def train(spark: SparkSession, train_path: str, test_path: str, out_root: str,
-          params: dict | None = None, k: int = 5, seed: int = 42, n_trials: int = 0, space: dict | None = None,
+          params: dict | None = None, k: int = 5, seed: int = 42, n_trials: int | None = None, space: dict | None = None,
           name: str = "churn", run_id: str | None = None) -> dict:
     """Load, search (``n_trials`` per family; the best stored trial feeds the
     fits), fit, log, save, register and promote by the rule.
 
+    Without ``params`` the search makes ``SEARCH_TRIALS`` trials per family over
+    the full space, each scored at prefixes of its ensembles; given parameters
+    are used as they are.
+
     Every run saves its models under its own uri, so an older version keeps
     the files it was registered with.
     """
@@ -53,9 +61,10 @@ def train(spark: SparkSession, train_path: str, test_path: str, out_root: str,
     spec = SC.frozen_customer_spec()
     table = by_fold(SP.stratified_folds(spec.transform(valid), "label", k=k, seed=seed))
     registry = f"{out_root}/registry"
+    n_trials = n_trials if n_trials is not None else 0 if params else SEARCH_TRIALS
     if n_trials:
         for family in M.FAMILIES:
-            trials = search_table(spark, spec, table, family, n_trials, registry, study=name, seed=seed, space=space, k=k)
+            trials = search_table(spark, spec, table, family, n_trials, registry, study=name, seed=seed, space=space, k=k, shares=PREFIXES)
         params = {**best_params(trials, name), **(params or {})}
     models = M.cv_fit(table, spec.columns, params=params, k=k)
     metrics = materialize(oof_metrics(M.out_of_fold(table, models)), "customer_fold_metrics")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import decide, hash_uniform, round_score
 from tidemark.operators import model as M
 from tidemark.operators import registry as REG
+from tidemark.operators.materialize import materialize
 from tidemark.operators.rank import default_bucket_count, dist_rank, unit_bucket
 from tidemark.plans import training as TR
 from tidemark.plans.catalog import register
@@ -67,6 +68,30 @@ def q_top_importance(spark, sf):
     return M.top_importance(spark, models, spec.columns, 15)
 
 
+@register("split_importance", "SELECT family, f AS fold, 10 AS n_trees, true AS splits_add_up, true AS depth_ok, true AS rows_add_up "
+          "FROM (VALUES ('boost'), ('forest')) AS v(family), range(0, 5) AS r(f) WHERE EXISTS (SELECT 1 FROM orders)")
+def q_split_importance(spark, sf):
+    """Split counts per feature of the saved models, held against their node table: a tree with n splits
+    has n + 1 leaves, no path is longer than the depth, and children share their parent's rows."""
+    spec, table, models = TR.cv_models(spark, sf)
+    uri = f"{scratch_path(spark, 'trees')}"
+    M.save_models(spark, models, uri, spec.columns)
+    nodes = materialize(M.node_table(spark, models, uri), "nodes")
+    splits = M.split_importance(nodes, spec.columns).groupBy("family", "fold").agg(F.sum("splits").alias("splits"))
+    per = nodes.groupBy("family", "fold").agg(F.countDistinct("tree").alias("n_trees"), F.count(F.lit(1)).alias("n_nodes"))
+    per_tree = nodes.groupBy("family", "fold", "tree").agg(F.count(F.lit(1)).alias("n"))
+    deepest = F.when(F.col("family") == "boost", M.DEFAULT_PARAMS["boost"]["maxDepth"]).otherwise(M.DEFAULT_PARAMS["forest"]["maxDepth"])
+    depth = per_tree.groupBy("family", "fold").agg(F.min(F.col("n") <= F.pow(F.lit(2.0), deepest + 1) - 1).alias("depth_ok"))
+    child = nodes.select("family", "fold", "tree", F.col("node").alias("left"), F.col("n_rows").alias("n_left"))
+    other = nodes.select("family", "fold", "tree", F.col("node").alias("right"), F.col("n_rows").alias("n_right"))
+    tree = ["family", "fold", "tree"]
+    rows = nodes.filter("feature is not null").join(child, [*tree, "left"]).join(other, [*tree, "right"]).groupBy("family", "fold") \
+        .agg(F.min(F.col("n_rows") == F.col("n_left") + F.col("n_right")).alias("rows_add_up"))
+    out = per.join(splits, ["family", "fold"]).join(depth, ["family", "fold"]).join(rows, ["family", "fold"])
+    return out.select("family", F.col("fold").cast("long").alias("fold"), F.col("n_trees").cast("int").alias("n_trees"),
+                      (2 * F.col("splits") + F.col("n_trees") == F.col("n_nodes")).alias("splits_add_up"), "depth_ok", "rows_add_up")
+
+
 def _champion(spark, sf, root):
     """Fit, save under the run's own uri, register, promote; then load what the alias points to."""
     spec, table, models = TR.cv_models(spark, sf)

@@ -11,10 +11,12 @@ from tidemark.plans.catalog import register
 from tidemark.plans.fixtures import churn_records, scored_events
 from tidemark.plans.queries_eval import fold_metrics
 from tidemark.plans.queries_monitoring import q_batch_metrics
+from tidemark.operators.materialize import materialize
 from tidemark.plans.sql.common import MART, SCORED
 from tidemark.plans.sql.evaluation import FOLD_WIDE
 from tidemark.plans.sql.monitoring import BATCH_METRICS
 from tidemark.session import scratch_path, session_key
+from tidemark.sources import metrics_table as MT
 from tidemark.sources import sinks as K
 from tidemark.sources.tables import table_state
 
@@ -47,6 +49,21 @@ def metrics_table(spark, sf, start=None, end=None):
     return K.latest_per_key(m.drop("day"))
 
 
+@register("metrics_compacted", MM + "SELECT ts, data_source, batch_id, batch_size, roc_auc, num_drifted_columns, drift_intensity, "
+          "CASE WHEN batch_id % 2 = 1 THEN 'late' ELSE 'early' END AS note, 1::BIGINT AS n_files FROM monitoring_metrics")
+def q_metrics_compacted(spark, sf):
+    """Several small appends, one of them a replay and one with a new column; then compaction:
+    the same rows, one file for each day and source, read by the schema log."""
+    path = scratch_path(spark, "compacted")
+    rows = materialize(q_batch_metrics(spark, sf).withColumn("day", F.to_date("ts")), "batch_rows")
+    for i, part in enumerate((rows.filter("batch_id % 2 = 0"), rows.filter("batch_id % 2 = 0"), rows.filter("batch_id % 2 = 1").withColumn("note", F.lit("late")))):
+        MT.append(part.withColumn("written_at", F.lit(i)), path, "run-1")
+    MT.compact(spark, path)
+    m = MT.read(spark, path, defaults={"note": "early"})
+    files = m.select("day", "data_source", F.input_file_name().alias("f")).groupBy("day", "data_source").agg(F.countDistinct("f").alias("n_files"))
+    return m.join(files, ["day", "data_source"]).select("ts", "data_source", "batch_id", "batch_size", "roc_auc", "num_drifted_columns", "drift_intensity", "note", "n_files")
+
+
 LATEST = ("SELECT {c} FROM monitoring_metrics WHERE {w}{c} IS NOT NULL "
           "ORDER BY ts DESC, data_source DESC, batch_id DESC LIMIT 1")
 

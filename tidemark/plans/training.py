@@ -4,6 +4,7 @@ of both families -> out-of-fold metrics -> fold-mean ensemble -> registry."""
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,17 +49,39 @@ def oof_metrics(oof: DataFrame) -> DataFrame:
                      "metric", "value")
 
 
+#: the parameter that counts the trees of a family
+TREES = {"boost": "maxIter", "forest": "numTrees"}
+#: shares of a trial's longest ensemble that are scored
+PREFIXES = (0.25, 0.5, 0.75, 1.0)
+
+
+def prefix_aucs(table: DataFrame, models: dict, shares: Sequence[float] = PREFIXES) -> dict[int, float]:
+    """{number of trees: mean out-of-fold AUC} of one family's fold models at prefixes of their ensembles."""
+    longest = min(M.n_trees(m) for m in models.values())
+    out = {}
+    for k in sorted({max(1, round(s * longest)) for s in shares}):
+        cut = {job: M.first_trees(m, k) for job, m in models.items()}
+        out[k] = oof_metrics(M.out_of_fold(table, cut)).filter(F.col("metric") == "auc").agg(F.avg("value")).first()[0]
+    return out
+
+
 def search_table(spark: SparkSession, spec, table: DataFrame, family: str, n_trials: int, root: str, study: str = "churn",
-                 seed: int = 42, space: dict | None = None, k: int = 5) -> DataFrame:
+                 seed: int = 42, space: dict | None = None, k: int = 5, shares: Sequence[float] = (1.0,)) -> DataFrame:
     """Seeded random search: each trial = a k-fold CV of one family with drawn
-    parameters; objective = mean OOF AUC.  Every trial is stored when it ends
-    (numbering resumes after stored trials).  Returns the trials table."""
-    start = REG.next_trial(spark, root, study, family)
-    for t in range(start, start + n_trials):
+    parameters; objective = mean OOF AUC.  With ``shares`` a trial fits its
+    drawn number of trees once and also scores those shares of them: the best
+    number of trees (ties: the fewest) is what it stores.  Every trial is
+    stored when it ends (numbering resumes after stored trials).  Returns the
+    trials table."""
+    for _ in range(n_trials):
+        t = REG.next_trial(spark, root, study, family)
         params = M.draw(seed, family, t, (space or M.SPACE)[family])
         models = M.cv_fit(table, spec.columns, families=[family], params={family: params}, k=k)
-        auc = oof_metrics(M.out_of_fold(table, models)).filter(F.col("metric") == "auc").agg(F.avg("value")).first()[0]
-        REG.append_trial(spark, root, study, family, t, json.dumps(params, sort_keys=True), auc)
+        aucs = prefix_aucs(table, models, shares)
+        best = max(aucs, key=lambda n: (aucs[n] if aucs[n] is not None else float("-inf"), -n))
+        if tuple(shares) != (1.0,):
+            params = {**params, TREES[family]: best}
+        REG.append_trial(spark, root, study, family, t, json.dumps(params, sort_keys=True), aucs[best])
     return spark.read.schema(REG.TRIALS_SCHEMA).parquet(f"{root}/trials")
 
 
@@ -88,7 +111,8 @@ def log_cv(spark: SparkSession, root: str, run_id: str, spec, table: DataFrame,
         summary[f"{r['family']}_{r['metric']}_mean"] = r["mean"]
         summary[f"{r['family']}_{r['metric']}_std"] = r["std"]
     known = lambda m: {k: v for k, v in m.items() if v is not None}
-    REG.log_run(spark, root, run_id, logged, known(summary), {"stage": "cv", **(tags or {})})
+    runs = [{"run_id": run_id, "params": logged, "metrics": known(summary), "tags": {"stage": "cv", **(tags or {})}}]
     for fam, fold in sorted({(r["family"], r["fold"]) for r in rows}):
         own = {r["metric"]: r["value"] for r in rows if (r["family"], r["fold"]) == (fam, fold)}
-        REG.log_run(spark, root, f"{run_id}/{fam}_{fold}", {"family": fam, "fold": fold}, known(own), {"stage": "fold"}, parent=run_id)
+        runs.append({"run_id": f"{run_id}/{fam}_{fold}", "params": {"family": fam, "fold": fold}, "metrics": known(own), "tags": {"stage": "fold"}, "parent": run_id})
+    REG.log_runs(spark, root, runs)
