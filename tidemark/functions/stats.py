@@ -1,84 +1,56 @@
-"""p-values for drift statistics as vectorised pandas UDFs.
+"""p-values of drift statistics as column expressions.
 
-They run on the small per-(group, column) result rows, Arrow-batched;
-no scipy is needed: the chi-square tail is the regularised upper incomplete
-gamma function (series / continued fraction), the KS tail the asymptotic
+Finite sums and short recurrences over ``sequence`` arrays, so they run in the
+JVM with the rows they belong to: the chi-square tail for whole degrees of
+freedom (a Poisson sum for even ones; the complementary error function and a
+half-integer sum for odd ones, terms in logarithms), and the asymptotic
 Kolmogorov distribution.
 """
 
 from __future__ import annotations
 
 import math
-import sys
 
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
-# these functions travel by value: Python workers need not import this package
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+_NAN = float("nan")
 
-_lgamma = np.vectorize(math.lgamma, otypes=[float])
 
+def _c(c) -> Column:
+    return (F.col(c) if isinstance(c, str) else c).cast("double")
 
-def _gammaincc(a: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Regularised upper incomplete gamma function, element by element (a > 0, x > 0).
 
-    Series for the lower part where x < a + 1, continued fraction (modified
-    Lentz) elsewhere; every step advances the whole array.
-    """
-    scale = np.exp(-x + a * np.log(x) - _lgamma(a))
-    term = total = 1.0 / a
-    ap = a.copy()
-    for _ in range(1000):
-        ap = ap + 1
-        term = term * x / ap
-        total = total + term
-        if (np.abs(term) < np.abs(total) * 1e-15)[x < a + 1].all():
-            break
-    lower = np.maximum(0.0, 1.0 - total * scale)
-    tiny = 1e-300
-    b = x + 1 - a
-    b = np.where(b == 0, tiny, b)
-    c = np.full_like(x, 1.0 / tiny)
-    d = 1.0 / b
-    h = d
-    for i in range(1, 1000):
-        an = -i * (i - a)
-        b = b + 2
-        d = an * d + b
-        d = 1.0 / np.where(np.abs(d) < tiny, tiny, d)
-        c = b + an / c
-        c = np.where(np.abs(c) < tiny, tiny, c)
-        h = h * d * c
-        if (np.abs(d * c - 1) < 1e-15)[x >= a + 1].all():
-            break
-    return np.where(x < a + 1, lower, scale * h)
+def erfc(z) -> Column:
+    """Complementary error function of ``z >= 0``: series below 3, continued fraction above."""
+    z = _c(z)
+    square = F.exp(-z * z)
+    # erf(z) = 2 / sqrt(pi) exp(-z^2) sum z (2 z^2)^n / (1 * 3 * ... * (2 n + 1))
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(80)), F.struct(z.alias("term"), z.alias("sum")), lambda a, n: F.struct(
+        (a["term"] * 2 * z * z / (2 * n + 1)).alias("term"), (a["sum"] + a["term"] * 2 * z * z / (2 * n + 1)).alias("sum")))["sum"]
+    fraction = F.aggregate(F.sequence(F.lit(80), F.lit(1)), z, lambda f, n: z + n / 2 / f)
+    return F.when(z < 3, 1 - 2 / math.sqrt(math.pi) * square * series).otherwise(square / math.sqrt(math.pi) / fraction)
 
 
-@F.pandas_udf(DoubleType())
-def chi2_pvalue(stat: pd.Series, dof: pd.Series) -> pd.Series:
-    """P(X >= stat) for X ~ chi-square(dof); null or NaN statistics and dof <= 0 give NaN."""
-    x, a = stat.to_numpy(float) / 2, dof.to_numpy(float) / 2
-    out = np.full(len(x), np.nan)
-    ok = np.isfinite(x) & (a > 0)
-    out[ok] = 1.0
-    more = ok & (x > 0)
-    if more.any():
-        with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
-            out[more] = np.clip(_gammaincc(a[more], x[more]), 0.0, 1.0)
-    return pd.Series(out)
+def chi2_pvalue(stat, dof) -> Column:
+    """P(X >= stat) for X ~ chi-square(dof), dof a whole number; null, NaN or infinite statistics and dof <= 0 give NaN."""
+    y, k = _c(stat) / 2, F.floor(_c(dof))
+    even = k % 2 == 0
+    n = F.floor(k / 2).cast("int")  # terms of the sum: i = 0 .. n - 1, or i = 1/2, 3/2, .. (n of them)
+    first = F.when(even, -y).otherwise(F.log(y) / 2 - y - math.log(math.sqrt(math.pi) / 2))
+    total = F.aggregate(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), F.struct(first.alias("log"), F.lit(0.0).alias("sum")), lambda a, i: F.struct(
+        (a["log"] + F.log(y) - F.log(F.when(even, i.cast("double")).otherwise(i + 0.5))).alias("log"), (a["sum"] + F.exp(a["log"])).alias("sum")))["sum"]
+    tail = F.when(n > 0, total).otherwise(0.0) + F.when(even, 0.0).otherwise(erfc(F.sqrt(y)))
+    p = F.when(y > 0, F.least(F.greatest(tail, F.lit(0.0)), F.lit(1.0))).otherwise(1.0)
+    usable = y.isNotNull() & ~F.isnan(y) & (F.abs(y) < float("inf")) & k.isNotNull() & (k > 0)
+    return F.when(usable, p).otherwise(F.lit(_NAN))
 
 
-@F.pandas_udf(DoubleType())
-def ks_pvalue(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+def ks_pvalue(d, n, m) -> Column:
     """Asymptotic two-sample KS p-value with the effective sample size."""
-    en = np.sqrt(n * m / (n + m))
-    lam = (en + 0.12 + 0.11 / en) * d
-    k = np.arange(1, 101)[:, None]
-    terms = 2 * ((-1.0) ** (k - 1)) * np.exp(-2 * (k ** 2) * (lam.to_numpy()[None, :] ** 2))
-    p = np.clip(terms.sum(axis=0), 0.0, 1.0)
-    p = np.where(lam.to_numpy() < 1e-3, 1.0, p)
-    return pd.Series(p)
+    d, n, m = _c(d), _c(n), _c(m)
+    size = F.sqrt(n * m / (n + m))
+    lam = (size + 0.12 + 0.11 / size) * d
+    total = F.aggregate(F.sequence(F.lit(1), F.lit(100)), F.lit(0.0), lambda a, k: a + F.when(k % 2 == 1, 2.0).otherwise(-2.0) * F.exp(-2.0 * k * k * lam * lam))
+    # below 0.1 the distribution is 1 to far more digits than a double has
+    return F.when(lam < 0.1, F.lit(1.0)).otherwise(F.least(F.greatest(total, F.lit(0.0)), F.lit(1.0)))

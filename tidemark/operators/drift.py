@@ -181,14 +181,14 @@ def numeric_drift(ref_long: DataFrame | None, cur_long: DataFrame, group_by,
 
 
 def with_pvalues(num: DataFrame | None = None, cat: DataFrame | None = None):
-    """Add KS and chi-square p-values (pandas UDFs over the result rows)."""
+    """Add KS and chi-square p-values (column expressions over the result rows)."""
     from tidemark.functions.stats import chi2_pvalue, ks_pvalue
     out = []
     if num is not None:
-        out.append(num.withColumn("ks_pvalue", ks_pvalue(F.col("ks"), F.col("ref_n").cast("double"),
-                                                         F.col("cur_n").cast("double"))))
+        out.append(num.withColumn("ks_pvalue", ks_pvalue("ks", "ref_n", "cur_n")))
     if cat is not None:
-        out.append(cat.withColumn("chi2_pvalue", chi2_pvalue(F.col("chi2"), F.col("chi2_df").cast("double"))))
+        out.append(cat.withColumn("chi2_pvalue", chi2_pvalue("chi2", "chi2_df"))
+                   .withColumn("homogeneity_pvalue", chi2_pvalue("homogeneity", "homogeneity_df")))
     return out
 
 
@@ -207,36 +207,46 @@ def reference_shares(ref_long: DataFrame) -> DataFrame:
 def categorical_drift(ref_long: DataFrame | None, cur_long: DataFrame, group_by,
                       threshold: float = CATEGORICAL_THRESHOLD,
                       profile: ReferenceProfile | None = None) -> DataFrame:
-    """Jensen–Shannon distance and chi-square statistic per ``(group..., column)``.
-
-    Reference categories absent from a group contribute ``q/2`` to the JS
-    divergence and their expected count to chi-square, so only categories
-    present in the group are joined — the reference is not copied per group.
+    """Jensen–Shannon distance and chi-square statistics per ``(group..., column)``.
+
+    ``chi2`` is the goodness of fit to the reference shares; ``homogeneity``
+    compares two samples: both counts against their pooled expectation, over
+    the categories of either.  Reference categories absent from a group
+    contribute ``q/2`` to the JS divergence, their expected count to chi-square
+    and ``n q`` to homogeneity (its two terms for a count of 0), so only
+    categories present in the group are joined — the reference is not copied per group.
     """
     g = _g(group_by)
     shares = (profile or ReferenceProfile.build(None, ref_long)).shares
-    ncat = shares.groupBy("column").agg(F.count(F.lit(1)).alias("n_ref_cats"))
+    ncat = shares.groupBy("column").agg(F.count(F.lit(1)).alias("n_ref_cats"), F.max("ref_total").alias("_r"))
     c = cur_long.groupBy(*g, "column", "value").agg(F.count(F.lit(1)).alias("n_c"))
     tot = c.groupBy(*g, "column").agg(F.sum("n_c").alias("n"))
     j = (join_keys(c, tot, g + ["column"], "inner")
-         .join(shares.select("column", "value", "q"), ["column", "value"], "left")
-         .fillna({"q": 0.0})
+         .join(shares.select("column", "value", "q", "ref_count"), ["column", "value"], "left")
+         .fillna({"q": 0.0, "ref_count": 0})
+         .join(ncat, "column", "inner")
          .withColumn("p", F.col("n_c") / F.col("n"))
          .withColumn("mid", (F.col("p") + F.col("q")) / 2))
     js_term = (0.5 * F.col("p") * F.log2(F.col("p") / F.col("mid"))
                + F.when(F.col("q") > 0, 0.5 * F.col("q") * F.log2(F.col("q") / F.col("mid"))).otherwise(0.0))
     e = F.col("n") * F.col("q")
     chi_term = F.when(F.col("q") > 0, (F.col("n_c") - e) * (F.col("n_c") - e) / e)
+    # both terms of a category with counts c of n and r of R: n R (c/n - r/R)^2 / (c + r)
+    apart = F.col("p") - F.col("q")
+    pooled = F.col("n").cast("double") * F.col("_r") * apart * apart / (F.col("n_c") + F.col("ref_count"))
     agg = j.groupBy(*g, "column").agg(
+        F.sum(pooled).alias("_pooled"), F.max("n_ref_cats").alias("n_ref_cats"), F.count(F.when(F.col("q") == 0, 1)).alias("_unseen_cats"),
         F.sum(js_term).alias("_js"), F.sum("q").alias("_q_seen"),
         F.sum(chi_term).alias("_chi_seen"), F.max("n").alias("_n"),
         F.sum(F.when(F.col("q") == 0, F.col("n_c")).otherwise(0)).alias("unseen_count"))
-    out = agg.join(ncat, "column", "inner").select(
+    out = agg.select(
         *g, "column",
         F.sqrt(F.greatest(F.col("_js") + 0.5 * (1 - F.col("_q_seen")), F.lit(0.0))).alias("jensen_shannon"),
         (F.coalesce(F.col("_chi_seen"), F.lit(0.0))
          + F.col("_n") * F.greatest(1 - F.col("_q_seen"), F.lit(0.0))).alias("chi2"),
         (F.col("n_ref_cats") - 1).alias("chi2_df"),
+        (F.col("_pooled") + F.col("_n") * F.greatest(1 - F.col("_q_seen"), F.lit(0.0))).alias("homogeneity"),
+        (F.col("n_ref_cats") + F.col("_unseen_cats") - 1).alias("homogeneity_df"),
         "unseen_count")
     return out.withColumn("drift_score", F.col("jensen_shannon")) \
               .withColumn("drifted", F.col("drift_score") >= F.lit(threshold))

@@ -170,6 +170,40 @@ def density(df: DataFrame, column: str, by: str, grid_points: int = 200, fine_bi
                     (F.col("_s") / (F.col("n") * h * F.lit(math.sqrt(2 * math.pi)))).alias("density")))
 
 
+def linear_density(df: DataFrame, column: str, by: str, grid_points: int = 200, fine_bins: int = 1024) -> DataFrame:
+    """Gaussian kernel density per class as :func:`density`, by linear binning: ``(by, gi, g, density, error)``.
+
+    A value is shared between the two neighbouring nodes in proportion to its
+    nearness, which is linear interpolation of the kernel: the estimate differs
+    from the unbinned one by at most ``width^2 max|phi''| / (8 h^3)`` at every
+    grid point (``error``; second order - 0.2% of the kernel's peak at ``h / 8``
+    wide bins, 3.8% with values moved to bin centres).  Classes without spread
+    (or a single value) have no bandwidth and no density.
+    """
+    x = _q(column).cast("double")
+    base = df.select(F.col(by).alias("cls"), x.alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
+    cls = base.groupBy("cls").agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    h = F.col("sd") * F.pow(F.col("n"), F.lit(-0.2))
+    st = cls.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min(F.when(h > 0, h)).alias("h0"))  # one row
+    span = F.col("hi") - F.col("lo")
+    bins = F.greatest(F.lit(float(fine_bins)), F.ceil(8 * span / F.col("h0")).cast("double"))  # greatest skips null
+    st = st.select("lo", "hi", F.greatest(span / bins, F.lit(1e-12)).alias("width"))
+    at = (F.col("x") - F.col("lo")) / F.col("width")
+    node = F.floor(at).cast("double")
+    shared = (base.crossJoin(F.broadcast(st)).select("cls", F.explode(F.array(
+        F.struct(node.alias("b"), (node + 1 - at).alias("w")), F.struct((node + 1).alias("b"), (at - node).alias("w")))).alias("_s"))
+        .groupBy("cls", F.col("_s.b").alias("b")).agg(F.sum("_s.w").alias("nb")).filter("nb > 0"))
+    fine = shared.crossJoin(F.broadcast(st)).withColumn("xb", F.col("lo") + F.col("b") * F.col("width"))
+    grid = st.select(F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))).alias("gi"), "lo", "hi") \
+             .select("gi", (F.col("lo") + F.col("gi") * (F.col("hi") - F.col("lo")) / (grid_points - 1)).alias("g"))
+    k = F.col("nb") * F.exp(-0.5 * F.pow((F.col("g") - F.col("xb")) / h, 2))
+    j = join_keys(fine, cls.select("cls", "n", "sd"), ["cls"]).filter(h > 0).crossJoin(F.broadcast(grid))  # grid: grid_points rows
+    peak = F.lit(math.sqrt(2 * math.pi))
+    return (j.groupBy("cls", "gi", "g", "n", "sd", "width").agg(F.sum(k).alias("_s"))
+            .select(F.col("cls").alias(by), "gi", "g", (F.col("_s") / (F.col("n") * h * peak)).alias("density"),
+                    (F.col("width") * F.col("width") / (8 * h * h * h * peak)).alias("error")))
+
+
 def contingency(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
     """Counts of every category of every column by class: one unpivot, one groupBy."""
     sel = df.select(_q(by).alias("_by"), *[_q(c).cast("string").alias(c) for c in columns])

@@ -188,11 +188,23 @@ def q_mean_score(spark, sf):
     return current_batches(spark, sf).groupBy(*G).agg(F.avg("p").alias("mean_predicted_churn_prob"))
 
 
-@register("drift_pvalues")
+@register("drift_pvalues", S.PVALUES)
 def q_drift_pvalues(spark, sf):
-    """KS and chi-square p-values per batch and column (no SQL counterpart)."""
+    """KS and chi-square p-values per batch and column (both chi-square tests)."""
     num, cat = D.with_pvalues(_numeric(spark, sf), _categorical(spark, sf))
-    return (num.select(*G, "column", F.lit("ks").alias("test"), F.col("ks").alias("statistic"),
-                       F.col("ks_pvalue").alias("p_value"))
-            .unionByName(cat.select(*G, "column", F.lit("chi2").alias("test"), F.col("chi2").alias("statistic"),
-                                    F.col("chi2_pvalue").alias("p_value"))))
+    part = lambda df, test, stat, p: df.select(*G, "column", F.lit(test).alias("test"), F.col(stat).alias("statistic"), F.round(p, 9).alias("p_value"))
+    return (part(num, "ks", "ks", "ks_pvalue").unionByName(part(cat, "chi2", "chi2", "chi2_pvalue"))
+            .unionByName(part(cat, "homogeneity", "homogeneity", "homogeneity_pvalue")))
+
+
+@register("drift_homogeneity", S.HOMOGENEITY)
+def q_drift_homogeneity(spark, sf):
+    """Two-sample chi-square of every batch against the reference."""
+    return _categorical(spark, sf).select(*G, "column", "homogeneity", F.col("homogeneity_df").cast("long").alias("homogeneity_df"))
+
+
+@register("drift_psi_deciles", S.PSI_DECILES)
+def q_psi_deciles(spark, sf):
+    """PSI on reference deciles."""
+    ref, cur = _inputs(spark, sf)
+    return D.psi(D.to_long(ref, [], NUM), D.to_long(cur, G, NUM), G, binning="quantile")

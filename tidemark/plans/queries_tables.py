@@ -375,6 +375,25 @@ def q_density(spark, sf):
     return PR.density(churn_records(spark, sf), "total_spend", "churn")
 
 
+LINEAR_SQL = W_MART + """, v AS (SELECT churn AS cls, total_spend AS x FROM records WHERE total_spend IS NOT NULL),
+cls AS (SELECT cls, count(*) AS n, stddev_samp(x) * pow(count(*), -0.2) AS h FROM v GROUP BY cls),
+st AS (SELECT min(x) AS lo, max(x) AS hi, (SELECT min(h) FROM cls WHERE h > 0) AS h0 FROM v),
+w AS (SELECT lo, hi, greatest((hi - lo) / greatest(1024, ceil(8 * (hi - lo) / h0)), 1e-12) AS width FROM st),
+a AS (SELECT cls, (x - lo) / width AS t FROM v, w),
+fine AS (SELECT cls, b, sum(wt) AS nb FROM (SELECT cls, floor(t) AS b, floor(t) + 1 - t AS wt FROM a UNION ALL SELECT cls, floor(t) + 1, t - floor(t) FROM a) GROUP BY cls, b HAVING sum(wt) > 0),
+grid AS (SELECT CAST(range AS INTEGER) AS gi, lo + range * (hi - lo) / 199 AS g FROM range(0, 200), w),
+binned AS (SELECT f.cls, gi, g, sum(nb * exp(-0.5 * pow((g - (lo + b * width)) / h, 2))) / (n * h * sqrt(2 * pi())) AS density, width * width / (8 * h * h * h * sqrt(2 * pi())) AS error
+           FROM fine f JOIN cls USING (cls) CROSS JOIN grid CROSS JOIN w WHERE h > 0 GROUP BY f.cls, gi, g, n, h, width),
+raw AS (SELECT v.cls, gi, sum(exp(-0.5 * pow((g - x) / h, 2))) / (n * h * sqrt(2 * pi())) AS density FROM v JOIN cls USING (cls) CROSS JOIN grid WHERE h > 0 GROUP BY v.cls, gi, n, h)
+SELECT b.cls AS churn, b.gi, b.g, b.density, b.error, abs(b.density - raw.density) <= b.error * (1 + 1e-9) AS within_bound FROM binned b JOIN raw ON raw.cls = b.cls AND raw.gi = b.gi"""
+
+
+@register("density_linear", LINEAR_SQL)
+def q_density_linear(spark, sf):
+    """Density by linear binning with its error bound; SQL holds it against the raw values."""
+    return PR.linear_density(churn_records(spark, sf), "total_spend", "churn").withColumn("within_bound", F.lit(True))
+
+
 CONT_COLS = ["c_mktsegment", "urgent", "low", "pending"]
 CONT_SQL = W_MART + " UNION ALL ".join(
     f"SELECT '{c}' AS column, {c} AS value, churn, count(*) AS count FROM records GROUP BY {c}, churn"

@@ -129,3 +129,46 @@ FROM alld a JOIN lab l ON l.data_source = a.data_source AND l.batch_id = a.batch
 PRED_DRIFT = (f"WITH {SCORED}, {NUMERIC_W1} SELECT data_source, batch_id, drift_score AS prediction_drift "
               "FROM ndrift WHERE col = 'p'")
 MEAN_SCORE = f"WITH {SCORED} SELECT data_source, batch_id, avg(p) AS mean_predicted_churn_prob FROM cur GROUP BY ALL"
+
+
+def _chi2_p(x: str, df: str) -> str:
+    y, z = f"({x} / 2)", f"sqrt({x} / 2)"
+    erf = f"(2 / sqrt(pi()) * list_sum([exp(i * ln(2) + (2 * i + 1) * ln({z}) - {y} - lgamma(i + 1.5) - (i + 1) * ln(2) + ln(pi()) / 2) for i in range(0, 200 + 3 * {y}::BIGINT)]))"
+    even = f"list_sum([exp(i * ln({y}) - {y} - lgamma(i + 1)) for i in range(0, {df} // 2)])"
+    odd = f"greatest(1 - {erf}, 0) + coalesce(list_sum([exp((i - 0.5) * ln({y}) - {y} - lgamma(i + 0.5)) for i in range(1, ({df} - 1) // 2 + 1)]), 0)"
+    return f"CASE WHEN {df} <= 0 THEN 'NaN'::DOUBLE WHEN {x} <= 0 THEN 1.0 WHEN {df} % 2 = 0 THEN {even} ELSE {odd} END"
+
+
+_BOTH = """
+cc AS (SELECT data_source, batch_id, col, v, count(*) AS c FROM ccat GROUP BY ALL),
+rc AS (SELECT col, v, count(*) AS r FROM rcat GROUP BY ALL),
+two AS (SELECT data_source, batch_id, col, v, max(c) AS c, max(r) AS r
+        FROM (SELECT data_source, batch_id, col, v, c, 0 AS r FROM cc
+              UNION ALL SELECT g.data_source, g.batch_id, rc.col, rc.v, 0, rc.r FROM (SELECT DISTINCT data_source, batch_id, col FROM cc) g JOIN rc ON rc.col = g.col) GROUP BY ALL),
+tot AS (SELECT *, sum(c) OVER w AS n, sum(r) OVER w AS m FROM two WINDOW w AS (PARTITION BY data_source, batch_id, col)),
+homog AS (SELECT data_source, batch_id, col,
+                 sum(pow(c - n * (c + r) / (n + m), 2) / (n * (c + r) / (n + m)) + pow(r - m * (c + r) / (n + m), 2) / (m * (c + r) / (n + m))) AS homogeneity,
+                 count(*) - 1 AS homogeneity_df FROM tot GROUP BY ALL)"""
+HOMOGENEITY = f'WITH {SCORED}, {CATEGORICAL_JS}, {_BOTH} SELECT data_source, batch_id, col AS "column", homogeneity, homogeneity_df FROM homog'
+
+_KS_P = """CASE WHEN lam < 0.1 THEN 1.0 ELSE least(greatest(list_sum([(CASE WHEN k % 2 = 1 THEN 2 ELSE -2 END) * exp(-2.0 * k * k * lam * lam) for k in range(1, 101)]), 0), 1) END"""
+PVALUES = f"""WITH {SCORED}, {NUMERIC_W1}, {CATEGORICAL_JS}, {_BOTH},
+ks AS (SELECT data_source, batch_id, col, max(abs(Fr - Fc)) AS d FROM zc GROUP BY ALL),
+sizes AS (SELECT c.*, r.m FROM (SELECT data_source, batch_id, col, count(*) AS n FROM cnum GROUP BY ALL) c JOIN (SELECT col, count(*) AS m FROM rnum WHERE v IS NOT NULL GROUP BY col) r USING (col)),
+lam AS (SELECT *, (sqrt(n * m / (n + m)::DOUBLE) + 0.12 + 0.11 / sqrt(n * m / (n + m)::DOUBLE)) * d AS lam FROM ks JOIN sizes USING (data_source, batch_id, col)),
+fit AS (SELECT data_source, batch_id, col, sum(CASE WHEN r > 0 THEN pow(c - n * r / m, 2) / (n * r / m) ELSE 0 END) AS chi2, count(*) FILTER (r > 0) - 1 AS df FROM tot GROUP BY ALL)
+SELECT data_source, batch_id, col AS "column", 'ks' AS test, d AS statistic, round({_KS_P}, 9) AS p_value FROM lam
+UNION ALL SELECT data_source, batch_id, col, 'chi2', chi2, round({_chi2_p('chi2', 'df')}, 9) FROM fit
+UNION ALL SELECT data_source, batch_id, col, 'homogeneity', homogeneity, round({_chi2_p('homogeneity', 'homogeneity_df')}, 9) FROM homog"""
+
+PSI_DECILES = f"""WITH {SCORED},
+rnum AS (SELECT 'value' AS col, value AS v FROM ref WHERE value IS NOT NULL UNION ALL SELECT 'p', p FROM ref WHERE p IS NOT NULL),
+cnum AS (SELECT data_source, batch_id, 'value' AS col, value AS v FROM cur WHERE value IS NOT NULL UNION ALL SELECT data_source, batch_id, 'p', p FROM cur WHERE p IS NOT NULL),
+rr AS (SELECT col, v, row_number() OVER (PARTITION BY col ORDER BY v) AS rn, count(*) OVER (PARTITION BY col) AS n FROM rnum),
+cut AS (SELECT col, list(v ORDER BY i) AS b FROM rr, range(1, 10) AS t(i) WHERE rn = greatest(1, ceil(i / 10.0::DOUBLE * n)::BIGINT) GROUP BY col),
+rb AS (SELECT col, bin, count(*) / sum(count(*)) OVER (PARTITION BY col) AS e FROM (SELECT col, len(list_filter(b, lambda x: x <= v)) AS bin FROM rnum JOIN cut USING (col)) GROUP BY col, bin),
+cb AS (SELECT data_source, batch_id, col, bin, count(*) / sum(count(*)) OVER (PARTITION BY data_source, batch_id, col) AS a
+       FROM (SELECT data_source, batch_id, col, len(list_filter(b, lambda x: x <= v)) AS bin FROM cnum JOIN cut USING (col)) GROUP BY data_source, batch_id, col, bin),
+g AS (SELECT DISTINCT data_source, batch_id, col, i AS bin FROM cb, range(0, 10) AS t(i)),
+s AS (SELECT g.*, greatest(coalesce(a, 0), 1e-4) AS a, greatest(coalesce(e, 0), 1e-4) AS e FROM g LEFT JOIN cb USING (data_source, batch_id, col, bin) LEFT JOIN rb USING (col, bin))
+SELECT data_source, batch_id, col AS "column", sum((a - e) * ln(a / e)) AS psi FROM s GROUP BY ALL"""
