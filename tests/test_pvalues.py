@@ -66,3 +66,14 @@ def test_homogeneity_is_symmetric_and_counts_unseen(spark):
     assert one.homogeneity == pytest.approx(want) and two.homogeneity == pytest.approx(want)
     assert one.homogeneity_df == two.homogeneity_df == 3
     assert stat(a, a).homogeneity == pytest.approx(0.0, abs=1e-12)
+
+
+def test_shift_parses_like_the_features(spark):
+    """Odd numbers count as 0 before a shift, as everywhere else: the noise alone is left."""
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import perturb as X
+    df = spark.createDataFrame([(1, "1d"), (2, "NaN"), (3, "0x1p3"), (4, "0"), (5, None)], "id long, c string")
+    zero = df.withColumn("c", F.lit("0"))
+    one, two = ({r.id: r.v for r in d.select("id", X.shift_numeric("c", 1.0, F.lit(0.5)).alias("v")).collect()} for d in (df, zero))
+    assert one == two

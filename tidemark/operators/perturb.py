@@ -11,7 +11,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import gaussian_from_uniforms, hash_uniform
+from tidemark.functions.columns import gaussian_from_uniforms, hash_uniform, lenient_double
 
 # The reference's drift knobs and their defaults.
 MODES = ("none", "sustained", "gradual", "cycle")
@@ -70,7 +70,7 @@ def shift_numeric(col: str, std: Column | float, inten: Column, key: str = "id",
     s = F.lit(std) if isinstance(std, (int, float)) else std
     z = gaussian_from_uniforms(hash_uniform(seed, F.lit(col), key, F.lit("a")),
                                hash_uniform(seed, F.lit(col), key, F.lit("b")))
-    x = F.coalesce(F.expr(f"try_cast(`{col}` as double)"), F.lit(0.0))
+    x = lenient_double(col)
     new = F.greatest(x + inten * NUMERIC_SHIFT_STD * s + z * NOISE_STD * s, F.lit(0.0))
     if integral:
         new = F.round(new).cast("int")

@@ -78,9 +78,12 @@ def with_quantile_bucket(df: DataFrame, partition_by, value: str, n_buckets: int
 
 
 def dist_cumsum(df: DataFrame, partition_by, order_by: Sequence, bucket: Column | str | None,
-                sums: dict[str, Column | str], inclusive: bool = True) -> DataFrame:
+                sums: dict[str, Column | str], inclusive: bool = True, totals_as: dict[str, str] | None = None) -> DataFrame:
     """Running sums in ``order_by`` order within ``partition_by``.
 
+    ``totals_as`` names columns for the totals of sums over the whole key; they
+    come with the bucket offsets, without another join (not for a None bucket).
+
     ``bucket`` must be non-decreasing in ``order_by`` within each key; None
     says that every key is small by definition (a batch of fixed size), and a
     plain window does.  ``sums`` maps output name -> column to accumulate.
@@ -101,8 +104,10 @@ def dist_cumsum(df: DataFrame, partition_by, order_by: Sequence, bucket: Column
     keys = parts + [BKT]
     totals = b.groupBy(*keys).agg(*[F.sum(t).alias(t + "_tot") for t in tmp.values()])
     wb = Window.partitionBy(*parts).orderBy(BKT).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*parts)
     offsets = totals.select(*keys, *[
-        F.coalesce(F.sum(t + "_tot").over(wb), F.lit(0)).alias(t + "_off") for t in tmp.values()])
+        F.coalesce(F.sum(t + "_tot").over(wb), F.lit(0)).alias(t + "_off") for t in tmp.values()],
+        *[F.sum(tmp[name] + "_tot").over(whole).alias(total) for name, total in (totals_as or {}).items()])
     joined = join_keys(b, offsets, keys, "inner")
     hi = Window.currentRow if inclusive else -1
     wr = Window.partitionBy(*keys).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, hi)
@@ -112,12 +117,12 @@ def dist_cumsum(df: DataFrame, partition_by, order_by: Sequence, bucket: Column
 
 
 def dist_rank(df: DataFrame, partition_by, order_by: Sequence, bucket: Column | str,
-              name: str = "rank") -> DataFrame:
-    """``row_number()`` within ``partition_by`` without a one-task window.
+              name: str = "rank", size: str | None = None) -> DataFrame:
+    """``row_number()`` within ``partition_by`` without a one-task window; ``size`` names a column for the key's rows.
 
     ``order_by`` must be unique within a key for a deterministic result.
     """
-    return dist_cumsum(df, partition_by, order_by, bucket, {name: F.lit(1).cast("long")})
+    return dist_cumsum(df, partition_by, order_by, bucket, {name: F.lit(1).cast("long")}, totals_as={name: size} if size else None)
 
 
 def dist_asof_next(df: DataFrame, partition_by, order_by: Sequence, bucket: Column | str,

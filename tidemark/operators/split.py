@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import hash_uniform
-from tidemark.operators.joins import join_keys
 from tidemark.operators.rank import default_bucket_count, dist_rank, unit_bucket
 
 # Fixed values of the reference: seed, folds, reference share, batch size.
@@ -36,9 +35,7 @@ def class_rank(df: DataFrame, label: str, seed=SEED, key: str = "id",
     """Rank by ``(u, id)`` within each class; adds ``_u``, ``class_rank``, ``class_n``."""
     nb = n_buckets or default_bucket_count(df.sparkSession)
     d = df.withColumn("_u", hash_uniform(seed, key))
-    r = dist_rank(d, [label], ["_u", key], unit_bucket("_u", nb), name="class_rank")
-    n = d.groupBy(label).agg(F.count(F.lit(1)).alias("class_n"))
-    return join_keys(r, n, [label], "inner")
+    return dist_rank(d, [label], ["_u", key], unit_bucket("_u", nb), name="class_rank", size="class_n")
 
 
 def stratified_split(df: DataFrame, label: str, frac: float = REFERENCE_FRAC, seed=SEED,

@@ -183,7 +183,7 @@ def monitor(spark: SparkSession, train_path: str, test_path: str, models: dict,
             cur_s = cur_s.withColumn(c, X.blank_cells(c, inten, missing_rate))
     cur_s = materialize(cur_s, "customer_scored")
     mspec = MonitorSpec(numeric=tuple(NUMERICAL_FEATURES), categorical=tuple(CATEGORICAL_FEATURES),
-                        prediction="churn_probability", target="label", ts=None, intensity="intensity")
+                        prediction="churn_probability", target="label", ts=None, intensity="intensity", bounded=True)
     m = batch_metrics(ref_s, cur_s, mspec)
     K.append_metrics(m, metrics_path, run_id)
     return spark.read.parquet(metrics_path).filter(F.col("run_id") == run_id)

@@ -28,10 +28,10 @@ class MonitorSpec:
     group_by: Sequence[str] = ("data_source", "batch_id")
     ts: str | None = "ts"
     intensity: str | None = None
-    bounded: bool = True  # groups are batches of a fixed size
+    bounded: bool = False  # True: groups are batches of a fixed size
 
 
-EVENTS_SPEC = MonitorSpec(numeric=("value",), categorical=("event_type",))
+EVENTS_SPEC = MonitorSpec(numeric=("value",), categorical=("event_type",), bounded=True)
 
 METRIC_COLUMNS = ["data_source", "batch_id", "ts", "batch_size", "num_drifted_columns",
                   "share_drifted_columns", "prediction_drift", "share_missing_values",

@@ -171,7 +171,7 @@ cur AS (SELECT c.id, c.ts, c.user_id, c.data_source, c.y, c.batch_id, c.intensit
 @register("perturbed_metrics", _perturbed_metrics_sql())
 def q_perturbed_metrics(spark, sf):
     ref, cur = perturbed_current(spark, sf)
-    spec = MonitorSpec(numeric=("value",), categorical=("event_type",), intensity="intensity")
+    spec = MonitorSpec(numeric=("value",), categorical=("event_type",), intensity="intensity", bounded=True)
     return batch_metrics(ref, cur, spec)
 
 

@@ -16,6 +16,7 @@ from tidemark.plans.sql.common import MART, SCORED
 from tidemark.plans.sql.evaluation import FOLD_WIDE
 from tidemark.plans.sql.monitoring import BATCH_METRICS
 from tidemark.session import scratch_path, session_key
+from tidemark.sources import json_array as JA
 from tidemark.sources import metrics_table as MT
 from tidemark.sources import sinks as K
 from tidemark.sources.tables import table_state
@@ -223,6 +224,17 @@ def q_scan_json(spark, sf):
     return K.read_json_records(spark, path, REC_SCHEMA)
 
 
+@register("scan_json_array", W_MART + "SELECT * FROM records")
+def q_scan_json_array(spark, sf):
+    """One file that holds all records as one array, read by splits."""
+    path = scratch_path(spark, "records_array")
+    rows = churn_records(spark, sf)
+    line = rows.select(F.concat(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}), F.lit(",")).alias("value"))
+    mark = lambda text: spark.createDataFrame([(text,)], "value string").coalesce(1)
+    mark("[").unionAll(line).unionAll(mark("]")).coalesce(1).write.text(path)
+    return JA.read_json_array(spark, path, REC_SCHEMA)
+
+
 @register("submission", f"WITH {SCORED} SELECT id, p AS churn_probability FROM scored")
 def q_submission(spark, sf):
     path = scratch_path(spark, "submission")
