@@ -257,3 +257,12 @@ def test_long_texts_are_walked_in_chunks(model, monkeypatch):
     monkeypatch.setattr(PS, "CHUNK_CHARS", 100)
     monkeypatch.setattr(PS._chunks, "__defaults__", (100,))
     assert PS.encode_texts(model, [text], [5])[0].tolist() == whole
+
+
+def test_batches_are_balanced_by_bytes():
+    from tidemark.llm.token_count import byte_batches, n_bytes
+    pieces = ["日本語"] * 50 + ["abc"] * 50 + ["é" * 30, "x" * 500]
+    batches = list(byte_batches(pieces, 90))
+    assert [p for b in batches for p in b] == pieces
+    assert all(sum(len(p.encode()) for p in b) <= 90 or len(b) == 1 for b in batches)
+    assert n_bytes("日本語") == 9 and n_bytes("") == 0

@@ -36,15 +36,21 @@ def safe_pieces(text: str) -> list[str]:
     return _PIECE.findall(text)
 
 
+def n_bytes(text: str) -> int:
+    """UTF-8 length."""
+    return len(text) if text.isascii() else len(text.encode("utf-8", "replace"))
+
+
 def byte_batches(pieces: list[str], batch_bytes: int = BATCH_BYTES) -> Iterator[list[str]]:
     """Lists of pieces of about ``batch_bytes`` each; a longer piece stands alone."""
     batch, size = [], 0
     for p in pieces:
-        if batch and size + len(p) > batch_bytes:
+        n = n_bytes(p)
+        if batch and size + n > batch_bytes:
             yield batch
             batch, size = [], 0
         batch.append(p)
-        size += len(p)
+        size += n
     if batch:
         yield batch
 
@@ -79,7 +85,7 @@ class Lengths:
             seen.update(pieces)
         known = self.known
         new = list(seen.difference(known))
-        added = sum(map(len, new)) + 150 * len(new)
+        added = sum(map(n_bytes, new)) + 150 * len(new)
         if self.size + added > self.known_bytes:
             known = {p: known[p] for p in seen if p in known}  # full: the new ones serve this batch only
         else:
