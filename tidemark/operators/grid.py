@@ -64,18 +64,19 @@ class Grid:
         return list(self.edges)
 
 
-def quantile_edges(reference: DataFrame, columns: Sequence[str], points: int = POINTS) -> dict[str, list[float]]:
-    """{column: increasing edges}; one aggregate over the reference."""
+def quantile_edges(reference: DataFrame, columns: Sequence[str], points: int = POINTS) -> tuple[dict[str, list[float]], dict[str, float]]:
+    """({column: increasing edges}, {column: population deviation, 1 for none}); one aggregate over the reference."""
     probs = F.array(*[F.lit(i / points) for i in range(points + 1)])
     value = {c: F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")) for c in columns}
-    aggs = [a for i, c in enumerate(columns) for a in (F.percentile_approx(value[c], probs, ACCURACY).alias(f"q{i}"),
-                                                       F.min(value[c]).alias(f"lo{i}"), F.max(value[c]).alias(f"hi{i}"))]
+    aggs = [a for i, c in enumerate(columns) for a in (F.percentile_approx(value[c], probs, ACCURACY).alias(f"q{i}"), F.min(value[c]).alias(f"lo{i}"),
+                                                       F.max(value[c]).alias(f"hi{i}"), F.stddev_pop(value[c]).alias(f"sd{i}"))]
     row = reference.agg(*aggs).first()
-    out = {}
+    edges, spread = {}, {}
     for i, c in enumerate(columns):
         inner = [x for x in (row[f"q{i}"] or []) if row[f"lo{i}"] < x < row[f"hi{i}"]]
-        out[c] = sorted({x + 0.0 for x in [*inner, *(x for x in (row[f"lo{i}"], row[f"hi{i}"]) if x is not None)]})
-    return out
+        edges[c] = sorted({x + 0.0 for x in [*inner, *(x for x in (row[f"lo{i}"], row[f"hi{i}"]) if x is not None)]})
+        spread[c] = row[f"sd{i}"] if row[f"sd{i}"] and row[f"sd{i}"] > 0 else 1.0
+    return edges, spread
 
 
 def _binned(df: DataFrame, edges: dict) -> DataFrame:
@@ -123,26 +124,28 @@ def slot_counts(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.groupBy(*keys, "column", "bin", "value").agg(*[F.sum(c).alias(c) for c in COUNTS])
 
 
+BINS_SCHEMA = "column string, ref_n long, ref_std double, ref array<struct<bin: int, mass: double, dist: double, width: double>>"
+
+
 def build_grid(reference: DataFrame, numeric: Sequence[str], categorical: Sequence[str], points: int = POINTS) -> Grid:
-    """Edges by one aggregate, reference counts by another, both written as small tables."""
-    edges = quantile_edges(reference, numeric, points)
+    """Edges by one aggregate, reference counts by another (at most ``columns x (points + 2)`` rows, on the driver); shares are written."""
+    edges, spread = quantile_edges(reference, numeric, points)
     spark = reference.sparkSession
-    counts = materialize(slot_counts(slot_rows(reference, edges, (), ()), ()).filter(F.col("bin") >= 0), "grid-counts")
-    stats = to_long(reference, [], list(numeric)).filter(~F.isnan("value")).groupBy("column").agg(F.stddev_pop("value").alias("sd"))
-    sizes = [(c, len(e), [float(x) for x in e]) for c, e in edges.items() if e]
-    grid = spark.createDataFrame(sizes, "column string, m int, edges array<double>")
-    per = counts.groupBy("column").agg(F.map_from_entries(F.collect_list(F.struct("bin", F.struct("n", "dist")))).alias("c"), F.sum("n").alias("ref_n"))
-    bins = grid.join(per, "column").join(stats, "column")
-    cell = lambda b: F.col("c")[b]
-    width = lambda b: F.element_at("edges", b + 1) - F.element_at("edges", b)  # noqa: E731  inner bins only
-    inner = F.transform(F.sequence(F.lit(0), F.col("m")), lambda b: F.struct(
-        b.alias("bin"), F.coalesce(cell(b)["n"] / F.col("ref_n"), F.lit(0.0)).alias("mass"),
-        F.coalesce(cell(b)["dist"] / F.col("ref_n"), F.lit(0.0)).alias("dist"),
-        F.when((b > 0) & (b < F.col("m")), width(b)).alias("width")))
-    bins = bins.select("column", "ref_n", F.when(F.col("sd") > 0, F.col("sd")).otherwise(F.lit(1.0)).alias("ref_std"), inner.alias("ref"))
+    cells = {(r["column"], r["bin"]): r for r in slot_counts(slot_rows(reference, edges, (), ()), ()).filter(F.col("bin") >= 0).collect()}
+    rows = []
+    for c, e in edges.items():
+        if not e:
+            continue
+        n = sum(r["n"] for (name, _), r in cells.items() if name == c)
+        ref = []
+        for b in range(len(e) + 1):
+            cell = cells.get((c, b))
+            width = e[b] - e[b - 1] if 0 < b < len(e) else None
+            ref.append((b, cell["n"] / n if cell else 0.0, cell["dist"] / n if cell else 0.0, width))
+        rows.append((c, n, spread[c], ref))
     shares = reference_shares(to_long(reference, [], list(categorical), "string")) if categorical else \
         spark.createDataFrame([], "column string, value string, ref_count long, ref_total long, q double")
-    return Grid(edges, tuple(categorical), materialize(bins, "grid"), materialize(shares, "grid-shares"))
+    return Grid(edges, tuple(categorical), spark.createDataFrame(rows, BINS_SCHEMA), materialize(shares, "grid-shares"))
 
 
 def numeric_grid_drift(counts: DataFrame, keys: Sequence[str], grid: Grid, threshold: float = NUMERIC_THRESHOLD) -> DataFrame:

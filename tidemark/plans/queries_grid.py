@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import grid as GR
+from tidemark.operators.materialize import materialize
 from tidemark.plans.catalog import register
 from tidemark.plans.fixtures import current_batches, reference_slice, scored_events
 from tidemark.plans.monitoring import EVENTS_SPEC
@@ -31,6 +32,14 @@ def q_drift_grid(spark, sf):
     return d.select(*G, "column", "wasserstein", "wasserstein_error", "ks", "ks_error", "drift_score", "drifted", F.lit(True).alias("bounds_hold"))
 
 
+@register("batch_metrics_grid", S.BATCHES)
+def q_batch_metrics_grid(spark, sf):
+    """The metrics row of every batch from one aggregate over the grid's slots; SQL holds W1 and AUC bounds against the exact ones."""
+    grid = events_grid(spark, sf)
+    counts = materialize(GR.slot_counts(GR.slot_rows(current_batches(spark, sf), grid.edges, grid.categorical, G, "y", "p"), G), "slot-counts")
+    return GR.grid_metrics(counts, G, grid, "p", "y").withColumn("bounds_hold", F.lit(True))
+
+
 STREAM_SCHEMA = "id long, ts timestamp_ntz, value double, user_id long, event_type string, data_source string, y int, p double, day date"
 
 

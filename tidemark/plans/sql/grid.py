@@ -97,3 +97,7 @@ SLIDING = f"""WITH {SCORED},
 win AS (SELECT * FROM (SELECT s AS window_start, s + INTERVAL '2 days' AS window_end, e.*
                        FROM scored e, (VALUES (0), (1)) AS k(i), LATERAL (SELECT time_bucket(INTERVAL '1 day', ts) - i * INTERVAL '1 day' AS s)) WHERE {_CLOSED}),
 {window_metrics('win')}"""
+BATCHES = f"""WITH {SCORED},
+win AS (SELECT batch_id AS window_start, batch_id AS window_end, * EXCLUDE (batch_id) FROM cur),
+metrics AS (SELECT * FROM (WITH {window_metrics('win').lstrip()}))
+SELECT window_start AS batch_id, * EXCLUDE (window_start, window_end) FROM metrics"""
