@@ -9,7 +9,7 @@ from tidemark.operators import drift as D
 from tidemark.operators import evaluate as EV
 from tidemark.operators.rank import dist_rank, default_bucket_count, unit_bucket
 from tidemark.plans.catalog import register
-from tidemark.plans.fixtures import current_batches, reference_slice, scored_events
+from tidemark.plans.fixtures import LABELLED_SOURCE, current_batches, current_slice, reference_slice, scored_events, with_batches
 from tidemark.plans.monitoring import EVENTS_SPEC, drift_table
 from tidemark.plans.sql import evaluation as S
 
@@ -17,7 +17,9 @@ G = ["data_source", "batch_id"]
 
 
 def labelled_batches(spark, sf):
-    return current_batches(spark, sf).filter(F.col("y").isNotNull())
+    """Batches of the labelled pool: the other pool is left out before rows are ranked; read once, so not written."""
+    pool = current_slice(scored_events(spark, sf)).filter(F.col("data_source") == LABELLED_SOURCE)
+    return with_batches(pool).filter(F.col("y").isNotNull())
 
 
 def _tm(spark, sf):
