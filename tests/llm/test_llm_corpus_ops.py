@@ -458,18 +458,3 @@ def test_pipeline_stages(spark):
     first = CP.run(spark, SF_SMALL)
     assert sorted((r.doc_id, r.n_pieces) for r in first.collect()) == sorted((r.doc_id, r.n_pieces) for r in last.collect())
     assert CP.ORACLE_SQL is None and 4 <= len(CP.STAGES) <= 5
-
-
-def test_large_component_is_not_compared_with_itself(spark):
-    """A bucket of one large component and a few others: block pairs grow with the members, not with their square."""
-    n, block = 3000, 16
-    base = np.sort(W.mix(np.arange(1, 41, dtype=np.uint64)))
-    rest = {n - 1: np.sort(W.mix(np.arange(1, 42, dtype=np.uint64))), n - 2: np.sort(W.mix(np.arange(1000, 1040, dtype=np.uint64)))}
-    rows = [(7, i, 0 if i not in rest else i, n - 2, 2, i in rest) for i in range(n)]
-    members = spark.createDataFrame(rows, "key long, id long, comp long, n_big long, n_rest long, rest boolean")
-    sets = spark.createDataFrame([(i, bytearray(rest.get(i, base).tobytes())) for i in range(n)], "id long, set binary")
-    out = MH.compare_blocks(members, sets, 80, block)
-    links = [(r.a, r.b) for r in out.collect()]
-    comp = groups(set(range(n)), [*links, *[(0, i) for i in range(n - 2)]])
-    assert comp[n - 1] == 0 and comp[n - 2] == n - 2
-    assert len(links) <= 2 * (n // block + 2)
