@@ -124,7 +124,7 @@ def slot_counts(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.groupBy(*keys, "column", "bin", "value").agg(*[F.sum(c).alias(c) for c in COUNTS])
 
 
-BINS_SCHEMA = "column string, ref_n long, ref_std double, ref array<struct<bin: int, mass: double, dist: double, width: double>>"
+BINS_SCHEMA = "column string, ref_n long, ref_std double, ref array<struct<bin: int, lo: double, hi: double, dist: double, width: double>>"
 
 
 def build_grid(reference: DataFrame, numeric: Sequence[str], categorical: Sequence[str], points: int = POINTS) -> Grid:
@@ -137,11 +137,13 @@ def build_grid(reference: DataFrame, numeric: Sequence[str], categorical: Sequen
         if not e:
             continue
         n = sum(r["n"] for (name, _), r in cells.items() if name == c)
-        ref = []
+        ref, below = [], 0
         for b in range(len(e) + 1):
             cell = cells.get((c, b))
             width = e[b] - e[b - 1] if 0 < b < len(e) else None
-            ref.append((b, cell["n"] / n if cell else 0.0, cell["dist"] / n if cell else 0.0, width))
+            upto = below + (cell["n"] if cell else 0)  # shares come from whole counts: equal shares are equal numbers
+            ref.append((b, below / n, upto / n, cell["dist"] / n if cell else 0.0, width))
+            below = upto
         rows.append((c, n, spread[c], ref))
     shares = reference_shares(to_long(reference, [], list(categorical), "string")) if categorical else \
         spark.createDataFrame([], "column string, value string, ref_count long, ref_total long, q double")
@@ -160,19 +162,19 @@ def numeric_grid_drift(counts: DataFrame, keys: Sequence[str], grid: Grid, thres
     rows = cells.join(F.broadcast(grid.bins), "column")
     n = F.col("cur_n").cast("double")
     zero = F.lit(0.0)
-    start = F.struct(zero.alias("c"), zero.alias("r"), zero.alias("w"), zero.alias("top"), zero.alias("ks"), zero.alias("kstop"),
+    start = F.struct(F.lit(0).cast("long").alias("c"), zero.alias("w"), zero.alias("top"), zero.alias("ks"), zero.alias("kstop"),
                      F.lit(0).cast("long").alias("below"), zero.alias("low"), zero.alias("same"))
 
     def step(a, b):
         cell = F.col("c")[b["bin"]]
-        cn, cd = F.coalesce(cell["n"], F.lit(0).cast("long")) / n, F.coalesce(cell["dist"], zero) / n
+        upto, cd = a["c"] + F.coalesce(cell["n"], F.lit(0).cast("long")), F.coalesce(cell["dist"], zero) / n
         pos, neg = F.coalesce(cell["pos"], F.lit(0).cast("long")), F.coalesce(cell["neg"], F.lit(0).cast("long"))
-        c_hi, r_hi = a["c"] + cn, a["r"] + b["mass"]
+        c_lo, c_hi, r_lo, r_hi = a["c"] / n, upto / n, b["lo"], b["hi"]
         # integrals of the CDFs over the bin; in the outer bins the distance sums are the integrals
         gap = F.when(b["width"].isNull(), F.abs(cd - b["dist"])).otherwise(F.abs((c_hi - r_hi) * b["width"] - (cd - b["dist"])))
-        open_ = F.greatest(c_hi - a["r"], r_hi - a["c"])
-        cross = b["width"].isNotNull() & (a["c"] < r_hi) & (a["r"] < c_hi)
-        return F.struct(c_hi.alias("c"), r_hi.alias("r"), (a["w"] + gap).alias("w"),
+        open_ = F.greatest(c_hi - r_lo, r_hi - c_lo)
+        cross = b["width"].isNotNull() & (c_lo < r_hi) & (r_lo < c_hi)
+        return F.struct(upto.alias("c"), (a["w"] + gap).alias("w"),
                         (a["top"] + F.when(cross, F.greatest(open_ * b["width"] - gap, zero)).otherwise(zero)).alias("top"),
                         F.greatest(a["ks"], F.abs(c_hi - r_hi)).alias("ks"),
                         F.greatest(a["kstop"], open_).alias("kstop"),

@@ -15,7 +15,7 @@ bins AS (SELECT col, k AS bin, e AS lo, lead(e) OVER (PARTITION BY col ORDER BY
          UNION ALL SELECT col, 0, min(e), NULL FROM edge GROUP BY col),
 rbin AS (SELECT r.col, coalesce(k, 0) AS bin, r.v FROM rnum r ASOF LEFT JOIN edge ON edge.col = r.col AND r.v >= edge.e),
 rcell AS (SELECT b.col, b.bin, b.lo, b.width, count(v) AS n, coalesce(sum(abs(v - lo)), 0) AS d FROM bins b LEFT JOIN rbin USING (col, bin) GROUP BY ALL),
-rgrid AS (SELECT col, bin, lo, width, n / sum(n) OVER (PARTITION BY col) AS mass, d / sum(n) OVER (PARTITION BY col) AS dist,
+rgrid AS (SELECT col, bin, lo, width, sum(n) OVER (PARTITION BY col ORDER BY bin) / sum(n) OVER (PARTITION BY col) AS r_hi, d / sum(n) OVER (PARTITION BY col) AS dist,
                  coalesce(sum(n) OVER (PARTITION BY col ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / sum(n) OVER (PARTITION BY col) AS r_lo
           FROM rcell)"""
 
@@ -27,16 +27,15 @@ def drift(a: str, b: str, rows: str) -> str:
 cnum AS (SELECT {a} AS ga, {b} AS gb, 'value' AS col, value AS v, CAST(NULL AS INTEGER) AS y FROM {rows} WHERE value IS NOT NULL
          UNION ALL SELECT {a}, {b}, 'p', p, y FROM {rows} WHERE p IS NOT NULL),
 cbin AS (SELECT c.ga, c.gb, c.col, coalesce(k, 0) AS bin, c.v, c.y FROM cnum c ASOF LEFT JOIN edge ON edge.col = c.col AND c.v >= edge.e),
-cell AS (SELECT g.ga, g.gb, g.col, r.bin, r.width, r.mass, r.dist, r.r_lo, g.n_all, count(c.v) AS n, coalesce(sum(abs(c.v - r.lo)), 0) / any_value(g.n_all) AS d,
+cell AS (SELECT g.ga, g.gb, g.col, r.bin, r.width, r.r_hi, r.dist, r.r_lo, g.n_all, count(c.v) AS n, coalesce(sum(abs(c.v - r.lo)), 0) / any_value(g.n_all) AS d,
                 count(*) FILTER (c.y = 1) AS pos, count(*) FILTER (c.y = 0) AS neg
          FROM (SELECT ga, gb, col, count(*) AS n_all FROM cnum GROUP BY ALL) g JOIN rgrid r ON r.col = g.col
          LEFT JOIN cbin c ON c.ga = g.ga AND c.gb = g.gb AND c.col = g.col AND c.bin = r.bin GROUP BY ALL),
-gcell AS (SELECT *, n / n_all AS c_mass,
+gcell AS (SELECT *, sum(n) OVER (PARTITION BY ga, gb, col ORDER BY bin) / n_all AS c_hi,
                  coalesce(sum(n) OVER (PARTITION BY ga, gb, col ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / n_all AS c_lo,
                  coalesce(sum(neg) OVER (PARTITION BY ga, gb, col ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
           FROM cell),
-gap AS (SELECT *, c_lo + c_mass AS c_hi, r_lo + mass AS r_hi,
-               CASE WHEN width IS NULL THEN abs(d - dist) ELSE abs((c_lo + c_mass - r_lo - mass) * width - (d - dist)) END AS w FROM gcell),
+gap AS (SELECT *, CASE WHEN width IS NULL THEN abs(d - dist) ELSE abs((c_hi - r_hi) * width - (d - dist)) END AS w FROM gcell),
 gdrift AS (SELECT ga, gb, col, any_value(n_all) AS cur_n, sum(w) AS wasserstein, max(abs(c_hi - r_hi)) AS ks,
                   sum(CASE WHEN width IS NOT NULL AND c_lo < r_hi AND r_lo < c_hi THEN greatest(greatest(c_hi - r_lo, r_hi - c_lo) * width - w, 0) ELSE 0 END) AS wasserstein_error,
                   greatest(max(greatest(c_hi - r_lo, r_hi - c_lo)) - max(abs(c_hi - r_hi)), 0) AS ks_error,
