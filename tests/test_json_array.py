@@ -6,6 +6,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
+from tidemark.plans.fixtures import churn_records
+from tidemark.plans.queries_reports import q_scan_json_array
+from tidemark.sources import json_array as JA
 from tidemark.sources.json_array import json_records, read_json_array
 
 SCHEMA = "id long, text string, nested struct<a: long, b: array<string>>, list array<struct<x: long>>"
@@ -72,3 +76,58 @@ def test_large_array_is_read_by_many_tasks(spark, tmp_path, small_splits):
     assert df.rdd.getNumPartitions() > 5
     r = df.agg(F.count("id"), F.sum("id"), F.countDistinct("text")).first()
     assert tuple(r) == (60_000, sum(range(60_000)), 1)
+
+
+@pytest.fixture
+def all_partitions(spark):
+    """Every shuffle partition stays one of its own."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.set(name, old)
+
+
+def test_query_keeps_all_records_of_many_partitions(spark, all_partitions):
+    want = sorted(map(str, churn_records(spark, SF_SMALL).collect()))
+    assert sorted(map(str, q_scan_json_array(spark, SF_SMALL).collect())) == want
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 500])
+def test_rows_are_written_as_one_array(spark, tmp_path, all_partitions, n):
+    rows = spark.range(n).withColumn("text", F.when(F.col("id") % 3 > 0, F.lit('a "]" b'))).join(spark.range(n), "id")
+    JA.write_json_array(rows, str(tmp_path / "array"))
+    file, = (tmp_path / "array").glob("part-*")
+    got = json.loads(file.read_text())
+    assert sorted(got, key=lambda r: r["id"]) == [{"id": i, "text": 'a "]" b' if i % 3 else None} for i in range(n)]
+
+
+def test_other_elements_longer_than_splits_are_skipped(spark, tmp_path, small_splits):
+    inner = [{"id": -1, "text": "]}{["}, [[{"id": -2}]]] * 25
+    rows = [{"id": 1}, inner, {"id": 2, "list": [inner]}, [inner, [inner]], {"id": 3}, [], inner, [inner]]
+    (tmp_path / "array.json").write_text(json.dumps(rows))
+    (tmp_path / "late.json").write_text("\n".join(json.dumps(r) for r in ({"id": 4}, inner, {"id": 5}, [inner, inner])))
+    want = ['{"id": 1}', json.dumps(rows[2]), '{"id": 3}', '{"id": 4}', '{"id": 5}']
+    for size in (500, 1 << 20):
+        small_splits(size)
+        assert sorted(r.text for r in json_records(spark, str(tmp_path)).collect()) == sorted(want), size
+
+
+def test_random_elements_at_any_split(spark, tmp_path, small_splits):
+    rng = random.Random(5)
+
+    def value(depth):
+        kind = rng.randrange(6 if depth else 3)
+        if kind < 3:
+            return [rng.randrange(99), rng.choice(['}', '"[', '\\"{', ']', 'é']) * rng.randrange(9), None][kind]
+        many = [value(depth - 1) for _ in range(rng.randrange(9))]
+        return many if kind < 5 else {f"k{i}": v for i, v in enumerate(many)}
+
+    files = [[value(4) for _ in range(30)] for _ in range(3)]
+    for i, elements in enumerate(files):
+        (tmp_path / f"f{i}.json").write_text(json.dumps(elements, ensure_ascii=False))
+    want = sorted(json.dumps(e, ensure_ascii=False) for elements in files for e in elements if isinstance(e, dict))
+    assert len(want) > 9 and max(map(len, want)) > 300
+    for size in (100, 700):
+        small_splits(size)
+        assert sorted(r.text for r in json_records(spark, str(tmp_path)).collect()) == want, size

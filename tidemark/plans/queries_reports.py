@@ -228,10 +228,7 @@ def q_scan_json(spark, sf):
 def q_scan_json_array(spark, sf):
     """One file that holds all records as one array, read by splits."""
     path = scratch_path(spark, "records_array")
-    rows = churn_records(spark, sf)
-    line = rows.select(F.concat(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}), F.lit(",")).alias("value"))
-    mark = lambda text: spark.createDataFrame([(text,)], "value string").coalesce(1)
-    mark("[").unionAll(line).unionAll(mark("]")).coalesce(1).write.text(path)
+    JA.write_json_array(churn_records(spark, sf), path)
     return JA.read_json_array(spark, path, REC_SCHEMA)
 
 

@@ -1,14 +1,20 @@
-"""JSON arrays read by many tasks.
+"""JSON arrays written as one file and read by many tasks.
+
+A file that holds all rows has one writer, which copies text that all tasks made.
+The order of the file is stated by the row's position in that one task, not by
+the order in which Spark puts partitions together.
 
 Spark reads a file that holds one array in a single task.  Here the file is cut
 at closing braces (``lineSep`` of the text source, whose splits Spark places),
 and what a split cannot know - whether it starts inside a string, and how deep -
 is settled in a first pass:
 
-1. Every split reports the parity of its unescaped quotes and its change of
-   nesting depth for both possible starts (outside and inside a string).
+1. Every split reports, for both possible starts (outside and inside a string),
+   the parity of its unescaped quotes, its change of nesting depth, its least
+   depth and the first brackets above that which it leaves open.
 2. A running fold over the splits of each file, in order, gives every split its
-   true start.  There is a row per split, as in Spark's own split listing.
+   true start and whether the element open there is an object.  There is a row
+   per split, as in Spark's own split listing.
 3. With it each split returns the records that lie inside it.  A record that is
    cut by a split's end comes back in pieces, at most two a split and whatever
    lies between, which are put together by a window per file.
@@ -16,8 +22,9 @@ is settled in a first pass:
 A split is scanned batch by batch: memory is bounded by a batch and a record.
 The records are the objects that are elements of the top-level array (or, where
 a file does not start with ``[``, the objects at its top level); other elements
-are skipped.  Encoding is UTF-8.  A record that the schema does not fit has null
-fields, as with ``spark.read.json``.  Empty files have no records.
+are skipped, however many splits they fill.  Encoding is UTF-8.  A record that
+the schema does not fit has null fields, as with ``spark.read.json``.  Empty
+files have no records.
 """
 
 from __future__ import annotations
@@ -28,9 +35,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.operators.materialize import materialize, temporary_tables
+
 _OPEN, _CLOSE = np.zeros(256, bool), np.zeros(256, bool)
 _OPEN[[0x5B, 0x7B]] = True
 _CLOSE[[0x5D, 0x7D]] = True
+_MEASURED = pa.schema([("file", pa.string()), ("block", pa.int64()), ("array", pa.bool_()), ("odd", pa.bool_()), ("d0", pa.int64()), ("low0", pa.int64()), ("left0", pa.binary()),
+                       ("d1", pa.int64()), ("low1", pa.int64()), ("left1", pa.binary())])
 
 
 def structure(data: np.ndarray, inside: bool) -> tuple[np.ndarray, int]:
@@ -69,30 +80,45 @@ def _by_split(batches):
             yield file[a], int(block[a]), b"}".join(batch.column(2).slice(a, b - a).to_pylist()) + b"}"
 
 
+def _unclosed(data: np.ndarray, change: np.ndarray) -> tuple[int, int, bytes]:
+    """(change of depth, least depth, brackets left open at the first two depths above it), counted from the start of the data."""
+    at = np.flatnonzero(change)
+    level = np.cumsum(change[at])
+    end, low = (int(level[-1]), min(0, int(level.min()))) if len(at) else (0, 0)
+    left = [at[np.flatnonzero((level == d) & (change[at] > 0))[-1]] for d in range(low + 1, min(low + 2, end) + 1)]
+    return end, low, data[left].tobytes()
+
+
 def _measure(batches):
     seen: dict[tuple, list] = {}
     for file, block, raw in _by_split(batches):
         data = np.frombuffer(raw, np.uint8)
-        # per split: first structural byte, quotes, change of depth from outside and from inside
-        row = seen.setdefault((file, block), [raw.lstrip(b"\xef\xbb\xbf \t\r\n")[:1], 0, 0, 0])
+        # per split: first structural byte, quotes, (depth, least depth, open brackets) from outside and from inside
+        row = seen.setdefault((file, block), [raw.lstrip(b"\xef\xbb\xbf \t\r\n")[:1], 0, (0, 0, b""), (0, 0, b"")])
         odd = bool(row[1] % 2)
-        out, quotes = structure(data, odd)
-        row[2] += int(out.sum())
-        row[3] += int(structure(data, not odd)[0].sum())
+        for inside in (False, True):
+            change, quotes = structure(data, odd ^ inside)
+            depth, low, left = row[2 + inside]
+            d, m, more = _unclosed(data, change)
+            row[2 + inside] = depth + d, min(low, depth + m), (left[:max(0, depth + m - low)] + more)[:2]
         row[1] += quotes
-    for (file, block), (head, quotes, d0, d1) in seen.items():
-        yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([block], pa.int64()), pa.array([head == b"["]), pa.array([quotes % 2 == 1]),
-                                          pa.array([d0], pa.int64()), pa.array([d1], pa.int64())], names=["file", "block", "array", "odd", "d0", "d1"])
+    for (file, block), (head, quotes, outside, inside) in seen.items():
+        yield pa.RecordBatch.from_pylist([{"file": file, "block": block, "array": head == b"[", "odd": quotes % 2 == 1, "d0": outside[0], "low0": outside[1], "left0": outside[2],
+                                           "d1": inside[0], "low1": inside[1], "left1": inside[2]}], schema=_MEASURED)
 
 
-def _starts(summary: list) -> dict[tuple, tuple[bool, int, int]]:
-    """{(file, block): (inside a string, depth, depth of the records' surroundings)}."""
+def _starts(summary: list) -> dict[tuple, tuple[bool, int, int, bool]]:
+    """{(file, block): (inside a string, depth, depth of the records' surroundings, whether the element open there is an object)}."""
     out, file = {}, None
     for r in sorted(summary, key=lambda r: (r["file"], r["block"])):
         if r["file"] != file:
-            file, inside, depth, base = r["file"], False, 0, int(r["array"])
-        out[file, r["block"]] = (inside, depth, base)
-        depth += r["d1"] if inside else r["d0"]
+            file, inside, depth, base, record = r["file"], False, 0, int(r["array"]), False
+        out[file, r["block"]] = (inside, depth, base, record)
+        d, low, left = (r["d1"], r["low1"], r["left1"]) if inside else (r["d0"], r["low0"], r["left0"])
+        k = base - (depth + low)  # 0: the element open at the end stands on the split's least depth; below 0: it was open before
+        if k >= 0:
+            record = left[k:k + 1] == b"{"
+        depth += d
         inside ^= r["odd"]
     return out
 
@@ -110,29 +136,26 @@ def _extract(starts: dict):
         for file, block, raw in _by_split(batches):
             key = (file, block)
             if key not in state:
-                inside, depth, base = starts[key]
+                inside, depth, base, record = starts[key]
                 # inside, depth, base, open parts of a record, whether it began before the split
-                state[key] = [inside, depth, base, [] if depth > base else None, depth > base]
+                state[key] = [inside, depth, base, [] if record else None, record]
             inside, depth, base, parts, early = state[key]
             data = np.frombuffer(raw, np.uint8)
             change, quotes = structure(data, inside)
             at = np.flatnonzero(change)
             level = depth + np.cumsum(change[at])
-            begins = at[(level == base + 1) & (data[at] == 0x7B)]
-            ends = at[(level == base) & (data[at] == 0x7D)]
-            whole, pos = [], 0
+            # starts and ends of elements take turns
+            begins = at[(level == base + 1) & _OPEN[data[at]]]
+            ends = at[(level == base) & _CLOSE[data[at]]]
             if parts is not None:
-                if len(ends):
-                    parts.append(raw[:ends[0] + 1])
+                parts.append(raw[:ends[0] + 1] if len(ends) else raw)
+            if depth > base and len(ends):
+                if parts is not None:
                     yield batch(key, 1 if early else 0, [b"".join(parts)])
-                    ends, parts, early = ends[1:], None, False
-                else:
-                    parts.append(raw)
-            if parts is None:
-                for a, b in zip(begins, ends):
-                    whole.append(raw[a:b + 1])
-                if len(begins) > len(ends):
-                    parts, early = [raw[begins[-1]:]], False
+                ends, parts, early = ends[1:], None, False
+            whole = [raw[a:b + 1] for a, b in zip(begins, ends) if raw[a] == 0x7B]
+            if len(begins) > len(ends) and raw[begins[-1]] == 0x7B:
+                parts, early = [raw[begins[-1]:]], False
             if whole:
                 yield batch(key, 0, whole)
             state[key] = [inside ^ (quotes % 2 == 1), depth + int(change.sum()), base, parts, early]
@@ -146,7 +169,7 @@ def _extract(starts: dict):
 def json_records(spark: SparkSession, path: str) -> DataFrame:
     """(file, text): every record of the array files at ``path``, as text."""
     pieces = _pieces(spark, path)
-    summary = pieces.mapInArrow(_measure, "file string, block long, array boolean, odd boolean, d0 long, d1 long").collect()  # a row per split
+    summary = pieces.mapInArrow(_measure, "file string, block long, array boolean, odd boolean, d0 long, low0 long, left0 binary, d1 long, low1 long, left1 binary").collect()  # a row per split
     found = pieces.mapInArrow(_extract(_starts(summary)), "file string, block long, part int, text binary")
     whole = found.filter("part = 0").select("file", "text")
     # a cut record: its start, splits without any end, its end; an end comes before the next start of its split
@@ -160,3 +183,19 @@ def json_records(spark: SparkSession, path: str) -> DataFrame:
 def read_json_array(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """A row per record with the columns of ``schema``."""
     return json_records(spark, path).select(F.from_json("text", schema, {"mode": "PERMISSIVE"}).alias("r")).select("r.*")
+
+
+def write_json_array(df: DataFrame, path: str) -> None:
+    """One file at ``path`` that holds the rows as one array, an element a line, null fields included.
+
+    The elements' text is made by all tasks and written as a table; one task copies it into the file.
+    """
+    spark = df.sparkSession
+    with temporary_tables(spark):
+        text = materialize(df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("text")), "array_text")
+        last = text.count() - 1
+        line = text.coalesce(1).withColumn("at", F.monotonically_increasing_id())  # of one task: position in the file
+        line = line.select(F.concat(F.when(F.col("at") == 0, "[").otherwise(""), "text", F.when(F.col("at") == last, "]").otherwise(",")).alias("value"))
+        if last < 0:
+            line = spark.createDataFrame([("[]",)], "value string").coalesce(1)
+        line.write.text(path)
