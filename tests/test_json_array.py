@@ -3,6 +3,7 @@
 import json
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,3 +132,13 @@ def test_random_elements_at_any_split(spark, tmp_path, small_splits):
     for size in (100, 700):
         small_splits(size)
         assert sorted(r.text for r in json_records(spark, str(tmp_path)).collect()) == want, size
+
+
+def test_long_pieces_are_scanned_in_short_runs():
+    values = [b"x" * 300_000] * 50 + [b"y" * 5_000_000] + [b"z"] * 9
+    names = ["a"] * 20 + ["b"] * 40
+    batch = pa.RecordBatch.from_arrays([pa.array(names), pa.array([0] * 60, pa.int64()), pa.array(values, pa.binary())], names=["file", "block", "value"])
+    runs = list(JA._by_split([batch]))
+    for name in "ab":
+        assert b"".join(raw for file, _, raw in runs if file == name) == b"".join(v + b"}" for n, v in zip(names, values) if n == name)
+    assert sorted(len(raw) for _, _, raw in runs)[-2] < 3 << 20  # all but the one piece that is longer

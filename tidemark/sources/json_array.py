@@ -19,7 +19,8 @@ is settled in a first pass:
    cut by a split's end comes back in pieces, at most two a split and whatever
    lies between, which are put together by a window per file.
 
-A split is scanned batch by batch: memory is bounded by a batch and a record.
+A split is scanned in runs of some MB: memory is bounded by a batch, by a small
+multiple of a run and by a record.
 The records are the objects that are elements of the top-level array (or, where
 a file does not start with ``[``, the objects at its top level); other elements
 are skipped, however many splits they fill.  Encoding is UTF-8.  A record that
@@ -31,6 +32,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -40,6 +42,7 @@ from tidemark.operators.materialize import materialize, temporary_tables
 _OPEN, _CLOSE = np.zeros(256, bool), np.zeros(256, bool)
 _OPEN[[0x5B, 0x7B]] = True
 _CLOSE[[0x5D, 0x7D]] = True
+_RUN = 2 << 20  # the scan takes some 40 bytes a byte
 _MEASURED = pa.schema([("file", pa.string()), ("block", pa.int64()), ("array", pa.bool_()), ("odd", pa.bool_()), ("d0", pa.int64()), ("low0", pa.int64()), ("left0", pa.binary()),
                        ("d1", pa.int64()), ("low1", pa.int64()), ("left1", pa.binary())])
 
@@ -69,13 +72,14 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _by_split(batches):
-    """(file, block, bytes) of every run of pieces of one split in a batch; the brace that the reader cut off is put back."""
+    """(file, block, bytes) of every run of pieces of one split in a batch, ``_RUN`` bytes and a piece at most; the brace that the reader cut off is put back."""
     for batch in batches:
         if not batch.num_rows:
             continue
         block = batch.column(1).to_numpy()
         file = batch.column(0).to_pylist()
-        cut = [0, *[i for i in range(1, len(file)) if block[i] != block[i - 1] or file[i] != file[i - 1]], len(file)]
+        run = np.cumsum(pc.binary_length(batch.column(2)).to_numpy(), dtype=np.int64) // _RUN
+        cut = [0, *[i for i in range(1, len(file)) if run[i] != run[i - 1] or block[i] != block[i - 1] or file[i] != file[i - 1]], len(file)]
         for a, b in zip(cut[:-1], cut[1:]):
             yield file[a], int(block[a]), b"}".join(batch.column(2).slice(a, b - a).to_pylist()) + b"}"
 
